@@ -1,0 +1,29 @@
+"""Join helpers: broadcast only behind a row-count check.
+
+Dimension sides in this warehouse are bounded by their domain (zones: a few
+hundred; weather: 5 boroughs x hours in the loaded span; weather conditions:
+codes x 4 severities x 4 flag pairs).  Each is still checked before it is
+broadcast: `limit(n + 1).count()` stops after n + 1 rows, and above the bound
+the join is left to the planner (shuffle join, with AQE's skew-join split for
+hot keys).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension we ever broadcast (rows).  About 1.1M rows of ~100 bytes,
+# well under the default 8 GB broadcast limit and cheap to ship to every
+# executor.
+MAX_BROADCAST_ROWS = 1_100_000
+
+
+def within_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when `df` has at most `max_rows` rows (reads at most max_rows+1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """`broadcast(df)` when its row count is within the bound, else `df` unchanged."""
+    return F.broadcast(df) if within_rows(df, max_rows) else df
