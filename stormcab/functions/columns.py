@@ -154,7 +154,10 @@ def ts_text(ts: ColumnOrName, iso_minutes: bool = False) -> Column:
     """
     t = _c(ts)
     if iso_minutes:
-        return F.format_string("%04d-%02d-%02dT%02d:%02d", F.year(t), F.month(t),
+        text = F.format_string("%04d-%02d-%02dT%02d:%02d", F.year(t), F.month(t),
                                F.dayofmonth(t), F.hour(t), F.minute(t))
-    return F.format_string("%04d-%02d-%02d %02d:%02d:%02d", F.year(t), F.month(t),
-                           F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t))
+    else:
+        text = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", F.year(t), F.month(t),
+                               F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t))
+    # format_string prints NULL arguments as text; keep NULL NULL
+    return F.when(t.isNotNull(), text)

@@ -1,0 +1,88 @@
+"""Registered queries: name -> (Spark builder, DuckDB oracle SQL).
+
+Every builder takes (spark, sf_dir), reads the benchmark tables through the
+derived feeds and returns a lazy DataFrame over the whole tables.  Outputs
+carry no DECIMAL columns (cast to DOUBLE), mirroring `oracle.model_select`.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators import normalize
+from ..sources import driver_tables as feeds
+from . import oracle
+from .warehouse import Warehouse
+
+Builder = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Builder] = {}
+ORACLES: dict[str, str] = {}
+
+
+def to_output(df: DataFrame, rounded: tuple[str, ...] = ()) -> DataFrame:
+    """Cast DECIMAL columns to DOUBLE (nearest double of the exact value) and
+    round the named order-dependent means to `oracle.OUTPUT_DIGITS`."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double")
+        if f.name in rounded:
+            c = F.round(c, oracle.OUTPUT_DIGITS)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
+def register(name: str, sql: str | None):
+    def deco(fn: Builder) -> Builder:
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql
+        return fn
+    return deco
+
+
+def _model_query(model: str) -> None:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return to_output(getattr(Warehouse.from_driver_tables(spark, sf_dir), model),
+                         oracle.ROUNDED.get(model, ()))
+    register(model, oracle.with_models(oracle.model_select(model)))(build)
+
+
+for _m in Warehouse.MODELS:
+    _model_query(_m)
+
+
+# --- raw normalisation ------------------------------------------------------------
+
+@register("norm_trips_rename_cast", oracle.with_models(oracle.model_select("norm_trips")))
+def norm_trips_rename_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed trips renamed, coerced, stamped and hashed (before dedup)."""
+    landed = feeds.landed_trips(spark, sf_dir)
+    return to_output(normalize.normalize_trips(landed, feeds.FEED_MONTH, feeds.FEED_TRIP_FILE, feeds.FEED_RUN_TS))
+
+
+@register("norm_trip_dedup_hash", oracle.with_models(oracle.model_select("raw_trips")))
+def norm_trip_dedup_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per record hash (deterministic winner)."""
+    landed = feeds.landed_trips(spark, sf_dir)
+    return to_output(normalize.raw_trips(landed, feeds.FEED_MONTH, feeds.FEED_TRIP_FILE, feeds.FEED_RUN_TS))
+
+
+@register("norm_zone_lookup", oracle.with_models("SELECT * FROM raw_zone"))
+def norm_zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone lookup renamed and stamped."""
+    return normalize.raw_zones(feeds.landed_zones(spark, sf_dir), feeds.FEED_ZONE_FILE, feeds.FEED_RUN_TS)
+
+
+def queries() -> dict[str, Builder]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLES)
