@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from ..operators import normalize
 from ..sources import driver_tables as feeds
-from . import oracle
+from ..functions import fixed as serving_fixed
+from . import oracle, serving
 from .warehouse import Warehouse
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +81,227 @@ def norm_zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.raw_zones(feeds.landed_zones(spark, sf_dir), feeds.FEED_ZONE_FILE, feeds.FEED_RUN_TS)
 
 
+# --- serving queries ------------------------------------------------------------------
+
+def _serve(name: str, sql: str, rounded: tuple[str, ...] = ()):
+    """Register a serving query: `fn(warehouse) -> DataFrame` over whole marts."""
+    def deco(fn):
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return to_output(fn(Warehouse.from_driver_tables(spark, sf_dir)), rounded)
+        build.__name__ = name
+        build.__doc__ = fn.__doc__
+        rep = ", ".join(f"round({c}, {oracle.OUTPUT_DIGITS}) AS {c}" for c in rounded)
+        full = f"SELECT * REPLACE ({rep}) FROM ({sql}) q" if rounded else sql
+        register(name, oracle.with_models(full))(build)
+        return fn
+    return deco
+
+
+_SEV = ", ".join(f"'{v}'" for v in serving_fixed.SEVERITY_LEVELS)
+_PEAK = ", ".join(str(h) for h in serving_fixed.RUSH_HOURS)
+
+
+@_serve("q_hourly_weather_demand", """
+SELECT pickup_hour, borough, weather_severity, trip_count, avg_total_amount, avg_trip_duration_min
+FROM fct_weather_impact ORDER BY pickup_hour, borough, weather_severity""")
+def _q1(wh: Warehouse) -> DataFrame:
+    """V1: hourly demand under each weather severity."""
+    return serving.hourly_weather_demand(wh.fct_weather_impact)
+
+
+@_serve("q_top_zone_revenue", f"""
+SELECT l.zone AS pickup_zone, r.trip_count, CAST(r.total_revenue_amount AS DOUBLE) AS total_revenue_amount,
+       r.avg_fare_amount
+FROM fct_fare_revenue r JOIN dim_location l ON r.pickup_location_id = l.location_id
+ORDER BY r.total_revenue_amount DESC, r.fare_revenue_key LIMIT {serving_fixed.TOP_REVENUE_ROWS}""")
+def _q2(wh: Warehouse) -> DataFrame:
+    """V2: top revenue rows joined to their zone."""
+    return serving.top_zone_revenue(wh.fct_fare_revenue, wh.dim_location)
+
+
+@_serve("q_borough_severity_volume", f"""
+SELECT borough, weather_severity, CAST(SUM(trip_count) AS BIGINT) AS trip_count
+FROM fct_weather_impact WHERE weather_severity IN ({_SEV})
+GROUP BY borough, weather_severity ORDER BY borough, weather_severity""")
+def _q3(wh: Warehouse) -> DataFrame:
+    """V3: trip volume by borough and severity."""
+    return serving.borough_severity_volume(wh.fct_weather_impact)
+
+
+@_serve("m_trip_count", "SELECT CAST(COALESCE(SUM(trip_count), 0) AS BIGINT) AS trip_count FROM fct_hourly_demand")
+def _m0(wh: Warehouse) -> DataFrame:
+    """V4: Trip Count."""
+    return serving.trip_count(wh.fct_hourly_demand)
+
+
+_REVENUE_SQL = """
+SELECT CAST(tr AS DOUBLE) AS total_revenue, CAST(gf AS DOUBLE) AS gross_fare,
+       CAST(gf AS DOUBLE) / NULLIF(CAST(n AS DOUBLE), 0) AS average_fare,
+       CAST(tr AS DOUBLE) / NULLIF(CAST(n AS DOUBLE), 0) AS average_revenue_per_trip
+FROM (SELECT SUM(total_revenue_amount) AS tr, SUM(gross_fare_amount) AS gf, SUM(trip_count) AS n
+      FROM fct_fare_revenue) a"""
+
+
+@_serve("m_average_fare", _REVENUE_SQL)
+def _m1(wh: Warehouse) -> DataFrame:
+    """V5/V6: Total Revenue, Gross Fare, Average Fare, Average Revenue Per Trip."""
+    return serving.revenue_measures(wh.fct_fare_revenue)
+
+
+_UNWEIGHTED_SQL = """
+SELECT * FROM
+ (SELECT AVG(avg_trip_distance) AS average_trip_distance,
+         AVG(avg_trip_duration_min) AS average_trip_duration_min FROM fct_hourly_demand) h
+CROSS JOIN
+ (SELECT CAST(COALESCE(SUM(rush_hour_trip_count), 0) AS BIGINT) AS rush_hour_trip_count,
+         AVG(avg_precipitation_mm) AS average_precipitation,
+         AVG(avg_temperature_2m) AS average_temperature FROM fct_weather_impact) i"""
+
+
+@_serve("m_unweighted_averages", _UNWEIGHTED_SQL,
+        ("average_trip_distance", "average_trip_duration_min", "average_precipitation", "average_temperature"))
+def _m2(wh: Warehouse) -> DataFrame:
+    """V7/V8/V9: unweighted averages of the facts' means and the rush-hour count."""
+    return serving.unweighted_averages(wh.fct_hourly_demand, wh.fct_weather_impact)
+
+
+_SHARE_SQL = """
+SELECT rain_trip_count, snow_trip_count, trip_count,
+       CAST(rain_trip_count AS DOUBLE) / NULLIF(CAST(trip_count AS DOUBLE), 0) AS rain_trip_share,
+       CAST(snow_trip_count AS DOUBLE) / NULLIF(CAST(trip_count AS DOUBLE), 0) AS snow_trip_share
+FROM (SELECT CAST(COALESCE(SUM(CASE WHEN w.weather_group = 'rain' THEN h.trip_count END), 0) AS BIGINT) AS rain_trip_count,
+             CAST(COALESCE(SUM(CASE WHEN w.weather_group = 'snow' THEN h.trip_count END), 0) AS BIGINT) AS snow_trip_count,
+             CAST(COALESCE(SUM(h.trip_count), 0) AS BIGINT) AS trip_count
+      FROM fct_hourly_demand h LEFT JOIN dim_weather w ON h.weather_key = w.weather_key) a"""
+
+
+@_serve("m_rain_snow_share", _SHARE_SQL)
+def _m3(wh: Warehouse) -> DataFrame:
+    """Rain Trip Share and Snow Trip Share."""
+    return serving.rain_snow_share(wh.fct_hourly_demand, wh.dim_weather)
+
+
+@_serve("m_peak_offpeak", f"""
+SELECT peak_trip_count, trip_count - peak_trip_count AS off_peak_trip_count, trip_count
+FROM (SELECT CAST(COALESCE(SUM(CASE WHEN c.hour_of_day IN ({_PEAK}) THEN h.trip_count END), 0) AS BIGINT) AS peak_trip_count,
+             CAST(COALESCE(SUM(h.trip_count), 0) AS BIGINT) AS trip_count
+      FROM fct_hourly_demand h LEFT JOIN dim_date_time c ON h.date_hour_key = c.date_hour_key) a""")
+def _m4(wh: Warehouse) -> DataFrame:
+    """Peak Hour Trip Count and Off Peak Trip Count."""
+    return serving.peak_offpeak(wh.fct_hourly_demand, wh.dim_date_time)
+
+
+@_serve("m_kpis", f"""
+SELECT t.trip_count, r.total_revenue, r.average_fare, u.average_trip_duration_min, u.average_precipitation,
+       s.rain_trip_share
+FROM (SELECT CAST(COALESCE(SUM(trip_count), 0) AS BIGINT) AS trip_count FROM fct_hourly_demand) t
+CROSS JOIN ({_REVENUE_SQL}) r
+CROSS JOIN ({_UNWEIGHTED_SQL}) u
+CROSS JOIN ({_SHARE_SQL}) s""", ("average_trip_duration_min", "average_precipitation"))
+def _m5(wh: Warehouse) -> DataFrame:
+    """KPI card row."""
+    return serving.kpi_row(wh.fct_hourly_demand, wh.fct_fare_revenue, wh.fct_weather_impact, wh.dim_weather)
+
+
+@_serve("v_hourly_trip_line", """
+SELECT c.hour_ts, CAST(SUM(h.trip_count) AS BIGINT) AS trip_count
+FROM fct_hourly_demand h JOIN dim_date_time c ON h.date_hour_key = c.date_hour_key
+GROUP BY c.hour_ts ORDER BY c.hour_ts""")
+def _v12(wh: Warehouse) -> DataFrame:
+    """Trips by hour (line chart)."""
+    return serving.hourly_trip_line(wh.fct_hourly_demand, wh.dim_date_time)
+
+
+_PIVOT = ",\n".join(f"CAST(SUM(CASE WHEN c.hour_of_day = {h} THEN h.trip_count END) AS BIGINT) AS h{h:02d}"
+                    for h in serving.HOURS)
+
+
+@_serve("v_weekday_hour_matrix", f"""
+SELECT c.iso_weekday_number, c.weekday_name, {_PIVOT}
+FROM fct_hourly_demand h JOIN dim_date_time c ON h.date_hour_key = c.date_hour_key
+GROUP BY c.iso_weekday_number, c.weekday_name ORDER BY c.iso_weekday_number""")
+def _v13(wh: Warehouse) -> DataFrame:
+    """Weekday x hour matrix."""
+    return serving.weekday_hour_matrix(wh.fct_hourly_demand, wh.dim_date_time)
+
+
+@_serve("v_top15_zones_trips", f"""
+SELECT l.location_id, l.zone, CAST(SUM(h.trip_count) AS BIGINT) AS trip_count
+FROM fct_hourly_demand h JOIN dim_location l ON h.pickup_location_id = l.location_id
+GROUP BY l.location_id, l.zone ORDER BY trip_count DESC, l.location_id LIMIT {serving_fixed.TOP_ZONES}""")
+def _v16a(wh: Warehouse) -> DataFrame:
+    """Top pickup zones by trips."""
+    return serving.top_zones_by_trips(wh.fct_hourly_demand, wh.dim_location)
+
+
+@_serve("v_top15_zones_revenue", f"""
+SELECT l.location_id, l.zone, CAST(SUM(r.total_revenue_amount) AS DOUBLE) AS total_revenue
+FROM fct_fare_revenue r JOIN dim_location l ON r.pickup_location_id = l.location_id
+GROUP BY l.location_id, l.zone ORDER BY SUM(r.total_revenue_amount) DESC, l.location_id
+LIMIT {serving_fixed.TOP_ZONES}""")
+def _v16b(wh: Warehouse) -> DataFrame:
+    """Top pickup zones by revenue."""
+    return serving.top_zones_by_revenue(wh.fct_fare_revenue, wh.dim_location)
+
+
+@_serve("v_zone_map", """
+SELECT l.borough, l.zone, l.location_id, CAST(SUM(h.trip_count) AS BIGINT) AS trip_count
+FROM fct_hourly_demand h JOIN dim_location l ON h.pickup_location_id = l.location_id
+GROUP BY l.borough, l.zone, l.location_id""")
+def _v17(wh: Warehouse) -> DataFrame:
+    """Trips by borough and zone (map data)."""
+    return serving.zone_map(wh.fct_hourly_demand, wh.dim_location)
+
+
+@_serve("v_zone_table", """
+SELECT l.location_id, l.zone, t.trip_count,
+       CAST(r.gf AS DOUBLE) / NULLIF(CAST(r.rn AS DOUBLE), 0) AS average_fare, CAST(r.tr AS DOUBLE) AS total_revenue
+FROM (SELECT pickup_location_id, CAST(SUM(trip_count) AS BIGINT) AS trip_count FROM fct_hourly_demand
+      GROUP BY pickup_location_id) t
+JOIN (SELECT pickup_location_id, SUM(gross_fare_amount) AS gf, SUM(trip_count) AS rn,
+             SUM(total_revenue_amount) AS tr FROM fct_fare_revenue GROUP BY pickup_location_id) r
+  ON t.pickup_location_id = r.pickup_location_id
+JOIN dim_location l ON t.pickup_location_id = l.location_id""")
+def _v18(wh: Warehouse) -> DataFrame:
+    """Zone table."""
+    return serving.zone_table(wh.fct_hourly_demand, wh.fct_fare_revenue, wh.dim_location)
+
+
+@_serve("v_hourly_precip_trips", """
+SELECT pickup_hour, CAST(SUM(trip_count) AS BIGINT) AS trip_count, AVG(avg_precipitation_mm) AS average_precipitation
+FROM fct_weather_impact GROUP BY pickup_hour ORDER BY pickup_hour""", ("average_precipitation",))
+def _v19(wh: Warehouse) -> DataFrame:
+    """Trips and average precipitation by hour."""
+    return serving.hourly_precip_trips(wh.fct_weather_impact)
+
+
+@_serve("v_severity_profile", """
+SELECT weather_severity, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
+       SUM(avg_fare_amount * trip_count) / NULLIF(CAST(SUM(trip_count) AS DOUBLE), 0) AS average_fare
+FROM fct_weather_impact GROUP BY weather_severity""", ("average_fare",))
+def _v20(wh: Warehouse) -> DataFrame:
+    """Trips and average fare by severity."""
+    return serving.severity_profile(wh.fct_weather_impact)
+
+
+@_serve("v_precip_scatter", """
+SELECT borough, pickup_hour, AVG(avg_precipitation_mm) AS average_precipitation,
+       CAST(SUM(trip_count) AS BIGINT) AS trip_count
+FROM fct_weather_impact GROUP BY borough, pickup_hour""", ("average_precipitation",))
+def _v21(wh: Warehouse) -> DataFrame:
+    """Precipitation against trips per borough and hour."""
+    return serving.precip_scatter(wh.fct_weather_impact)
+
+
+@_serve("v_borough_severity_matrix", """
+SELECT pickup_borough AS borough, weather_severity, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
+       AVG(avg_trip_duration_min) AS average_trip_duration_min
+FROM fct_hourly_demand GROUP BY pickup_borough, weather_severity""", ("average_trip_duration_min",))
+def _v22(wh: Warehouse) -> DataFrame:
+    """Borough x severity matrix."""
+    return serving.borough_severity_matrix(wh.fct_hourly_demand)
+
+
 def queries() -> dict[str, Builder]:
     return dict(QUERIES)
 
