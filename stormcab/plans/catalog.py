@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import normalize
+from ..operators import normalize, quality
 from ..sources import driver_tables as feeds
 from ..functions import fixed as serving_fixed
 from . import oracle, serving
@@ -302,6 +302,116 @@ def _v22(wh: Warehouse) -> DataFrame:
     return serving.borough_severity_matrix(wh.fct_hourly_demand)
 
 
+# --- data-quality queries -------------------------------------------------------------
+
+_CTE_OF = {"raw_taxi_trips_yellow": "raw_trips", "raw_weather_hourly": "raw_weather",
+           "raw_taxi_zone_lookup": "raw_zone"}
+
+
+def _cte(model: str) -> str:
+    return _CTE_OF.get(model, model)
+
+
+def _dq_row(check: str, model: str, column: str, failures: str, frm: str) -> str:
+    return (f"SELECT '{check}' AS check_name, '{model}' AS model, '{column}' AS column_name, "
+            f"CAST({failures} AS BIGINT) AS failures FROM {frm}")
+
+
+_NOT_NULL_SQL = "\nUNION ALL\n".join(
+    _dq_row("not_null", m, c, f"COUNT(*) FILTER (WHERE {c} IS NULL)", _cte(m))
+    for m, cols in quality.NOT_NULL.items() for c in cols)
+_UNIQUE_SQL = "\nUNION ALL\n".join(
+    _dq_row("unique", m, c, "COUNT(*)",
+            f"(SELECT {c} FROM {_cte(m)} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1) d")
+    for m, c in quality.UNIQUE)
+_ACCEPTED_SQL = "\nUNION ALL\n".join(
+    _dq_row("accepted_values", m, c, "COUNT(*)",
+            f"(SELECT DISTINCT {c} FROM {_cte(m)} WHERE {c} IS NOT NULL AND {c} NOT IN "
+            f"({', '.join(repr(v) for v in vals)})) d")
+    for m, c, vals in quality.ACCEPTED_VALUES)
+_REL_SQL = "\nUNION ALL\n".join(
+    _dq_row("relationships", m, c, "COUNT(*)",
+            f"{_cte(m)} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {_cte(p)} pa WHERE pa.{pc} = ch.{c})")
+    for m, c, p, pc in quality.RELATIONSHIPS)
+
+
+@register("dq_not_null", oracle.with_models(_NOT_NULL_SQL))
+def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1: NULL rows of the 23 declared not-null columns."""
+    return quality.not_null_checks(Warehouse.from_driver_tables(spark, sf_dir).model)
+
+
+@register("dq_unique", oracle.with_models(_UNIQUE_SQL))
+def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2: duplicated values of the 13 declared unique columns."""
+    return quality.unique_checks(Warehouse.from_driver_tables(spark, sf_dir).model)
+
+
+@register("dq_accepted_values", oracle.with_models(_ACCEPTED_SQL))
+def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3-Q5: values outside the accepted lists."""
+    return quality.accepted_values_checks(Warehouse.from_driver_tables(spark, sf_dir).model)
+
+
+@register("dq_relationships", oracle.with_models(_REL_SQL))
+def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphan foreign keys of the 6 declared relationships."""
+    return quality.relationship_checks(Warehouse.from_driver_tables(spark, sf_dir).model)
+
+
+@register("dq_trip_ranges", oracle.with_models(
+    "SELECT * FROM (" + oracle.model_select("fct_taxi_trips") + ") f WHERE trip_duration_min <= 0 OR "
+    "trip_distance <= 0 OR fare_amount < 0 OR total_amount < 0 OR passenger_count < 0 OR passenger_count > 8"))
+def dq_trip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7: fact rows outside the valid ranges (empty = pass)."""
+    return to_output(quality.trip_range_violations(Warehouse.from_driver_tables(spark, sf_dir).fct_taxi_trips))
+
+
+@register("dq_weather_coverage", oracle.with_models(f"""
+SELECT pickup_month, trip_count, weather_join_coverage,
+       CAST({serving_fixed.MIN_WEATHER_JOIN_COVERAGE} AS DOUBLE) AS min_coverage,
+       weather_join_coverage >= CAST({serving_fixed.MIN_WEATHER_JOIN_COVERAGE} AS DOUBLE) AS passed
+FROM (SELECT CAST(date_trunc('month', pickup_ts_local) AS DATE) AS pickup_month, COUNT(*) AS trip_count,
+             CAST(COUNT(*) FILTER (WHERE weather_key <> 'unknown') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE)
+               AS weather_join_coverage
+      FROM fct_taxi_trips GROUP BY 1) c"""))
+def dq_weather_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather join coverage per pickup month against the threshold."""
+    return quality.weather_coverage(Warehouse.from_driver_tables(spark, sf_dir).fct_taxi_trips)
+
+
+@register("dq_hourly_consistency", oracle.with_models("""
+SELECT COALESCE(d.pickup_month, a.pickup_month) AS pickup_month,
+       COALESCE(d.n, 0) AS detailed_trip_count, CAST(COALESCE(a.n, 0) AS BIGINT) AS aggregated_trip_count,
+       COALESCE(d.n, 0) - CAST(COALESCE(a.n, 0) AS BIGINT) AS gap
+FROM (SELECT CAST(date_trunc('month', pickup_ts_local) AS DATE) AS pickup_month, COUNT(*) AS n
+      FROM fct_taxi_trips GROUP BY 1) d
+FULL OUTER JOIN (SELECT CAST(date_trunc('month', pickup_hour) AS DATE) AS pickup_month, SUM(trip_count) AS n
+                 FROM fct_hourly_demand GROUP BY 1) a
+  ON d.pickup_month = a.pickup_month"""))
+def dq_hourly_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip fact count minus hourly-mart rollup, per pickup month."""
+    wh = Warehouse.from_driver_tables(spark, sf_dir)
+    return quality.hourly_consistency(wh.fct_taxi_trips, wh.fct_hourly_demand)
+
+
+@register("dq_month_row_counts", oracle.with_models(f"""
+SELECT 'raw_taxi_trips_yellow' AS model, ingestion_month AS month, COUNT(*) AS row_count,
+       CAST({serving_fixed.MIN_TAXI_ROWS} AS DOUBLE) AS min_rows,
+       COUNT(*) >= CAST({serving_fixed.MIN_TAXI_ROWS} AS DOUBLE) AS passed
+FROM raw_trips GROUP BY ingestion_month
+UNION ALL
+SELECT 'raw_weather_hourly' AS model, source_month AS month, COUNT(*) AS row_count,
+       CAST(day(last_day(source_month)) * 24 * 5 AS DOUBLE) * CAST({serving_fixed.WEATHER_ROWS_FRACTION} AS DOUBLE) AS min_rows,
+       COUNT(*) >= CAST(day(last_day(source_month)) * 24 * 5 AS DOUBLE) * CAST({serving_fixed.WEATHER_ROWS_FRACTION} AS DOUBLE) AS passed
+FROM raw_weather GROUP BY source_month"""))
+def dq_month_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per loaded month against the minimums."""
+    wh = Warehouse.from_driver_tables(spark, sf_dir)
+    return quality.month_row_counts(wh.raw.trips, wh.raw.weather)
+
+
 def queries() -> dict[str, Builder]:
     return dict(QUERIES)
 

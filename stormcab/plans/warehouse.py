@@ -85,6 +85,15 @@ class Warehouse:
     def fct_weather_impact(self) -> DataFrame:
         return marts.fct_weather_impact(self.fct_taxi_trips)
 
+    RAW_NAMES = {"raw_taxi_trips_yellow": "trips", "raw_weather_hourly": "weather",
+                 "raw_taxi_zone_lookup": "zones"}
+
+    def model(self, name: str) -> DataFrame:
+        """Any table of the graph by its warehouse name (raw tables included)."""
+        if name in self.RAW_NAMES:
+            return getattr(self.raw, self.RAW_NAMES[name])
+        return getattr(self, name)
+
     MODELS = ("stg_taxi_trips", "stg_weather_hourly", "stg_locations", "dim_location", "dim_weather",
               "dim_date_time", "fct_taxi_trips", "fct_hourly_demand", "fct_fare_revenue",
               "fct_weather_impact")
