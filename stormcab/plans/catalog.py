@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..operators import normalize, quality
 from ..sources import driver_tables as feeds
 from ..functions import fixed as serving_fixed
-from . import oracle, serving
+from . import oracle, prototype, serving
 from .warehouse import Warehouse
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -412,6 +412,96 @@ def dq_month_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.month_row_counts(wh.raw.trips, wh.raw.weather)
 
 
+# --- prototype notebook ---------------------------------------------------------------
+
+def _proto(name: str, sql: str, rounded: tuple[str, ...] = ()):
+    def deco(fn):
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return to_output(fn(spark, sf_dir), rounded)
+        build.__name__ = name
+        build.__doc__ = fn.__doc__
+        rep = ", ".join(f"round({c}, {oracle.OUTPUT_DIGITS}) AS {c}" for c in rounded)
+        full = f"SELECT * REPLACE ({rep}) FROM ({sql}) q" if rounded else sql
+        register(name, oracle.with_models(full, oracle.PROTO_CTES))(build)
+        return fn
+    return deco
+
+
+def _proto_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prototype.clean_trips(feeds.landed_trips(spark, sf_dir))
+
+
+@_proto("proto_star_fact", """
+SELECT t.trip_id, t."VendorID", t.trip_id AS datetime_id, t.trip_id AS passenger_count_id,
+       t.trip_id AS trip_distance_id, t.trip_id AS rate_code_id, t.store_and_fwd_flag,
+       pu.pickup_location_id, dl.dropoff_location_id, t.trip_id AS payment_type_id,
+       t.fare_amount, t.extra, t.mta_tax, t.tip_amount, t.tolls_amount, t.improvement_surcharge, t.total_amount
+FROM proto_trips t
+JOIN (SELECT "PULocationID", CAST(row_number() OVER (ORDER BY "PULocationID" NULLS FIRST) - 1 AS INTEGER)
+             AS pickup_location_id FROM (SELECT DISTINCT "PULocationID" FROM proto_trips) x) pu
+  ON t."PULocationID" = pu."PULocationID"
+JOIN (SELECT "DOLocationID", CAST(row_number() OVER (ORDER BY "DOLocationID" NULLS FIRST) - 1 AS INTEGER)
+             AS dropoff_location_id FROM (SELECT DISTINCT "DOLocationID" FROM proto_trips) y) dl
+  ON t."DOLocationID" = dl."DOLocationID\"""")
+def _n6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prototype star fact (cleaned trips, location surrogates)."""
+    return prototype.star_fact(_proto_trips(spark, sf_dir))
+
+
+@_proto("proto_datetime_dim", """
+SELECT trip_id AS datetime_id, tpep_pickup_datetime,
+       CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pick_hour, CAST(day(tpep_pickup_datetime) AS INTEGER) AS pick_day,
+       CAST(month(tpep_pickup_datetime) AS INTEGER) AS pick_month, CAST(year(tpep_pickup_datetime) AS INTEGER) AS pick_year,
+       CAST(isodow(tpep_pickup_datetime) - 1 AS INTEGER) AS pick_weekday,
+       tpep_dropoff_datetime,
+       CAST(hour(tpep_dropoff_datetime) AS INTEGER) AS drop_hour, CAST(day(tpep_dropoff_datetime) AS INTEGER) AS drop_day,
+       CAST(month(tpep_dropoff_datetime) AS INTEGER) AS drop_month, CAST(year(tpep_dropoff_datetime) AS INTEGER) AS drop_year,
+       CAST(isodow(tpep_dropoff_datetime) - 1 AS INTEGER) AS drop_weekday
+FROM proto_trips""")
+def _n3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prototype calendar parts per trip."""
+    return prototype.datetime_dim(_proto_trips(spark, sf_dir))
+
+
+_RATE = " ".join(f"WHEN {k} THEN '{v}'" for k, v in serving_fixed.RATE_CODE_NAMES.items())
+
+
+@_proto("proto_rate_code_dim", f"""
+SELECT trip_id AS rate_code_id, "RatecodeID",
+       CASE "RatecodeID" {_RATE} ELSE '{serving_fixed.UNKNOWN_PAYMENT}' END AS rate_code_name
+FROM proto_trips""")
+def _n4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prototype rate-code dimension with names."""
+    return prototype.rate_code_dim(_proto_trips(spark, sf_dir))
+
+
+def _proto_trip_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = _proto_trips(spark, sf_dir)
+    weather = prototype.weather_frame(feeds.raw_weather(spark, sf_dir))
+    return prototype.trip_weather(trips, feeds.landed_zones(spark, sf_dir), weather)
+
+
+@_proto("proto_trip_weather", "SELECT * REPLACE (CAST(temperature_2m AS DOUBLE) AS temperature_2m, "
+                              "CAST(precipitation_mm AS DOUBLE) AS precipitation_mm) FROM proto_trip_weather")
+def _n8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips with pickup zone and pickup-hour weather (left joins)."""
+    return _proto_trip_weather(spark, sf_dir)
+
+
+@_proto("proto_weather_hourly_mart", """
+SELECT pickup_hour, borough, weather_severity, COUNT(trip_id) AS trip_count,
+       AVG(fare_amount) AS avg_fare, AVG(total_amount) AS avg_total_amount,
+       AVG(trip_duration_min) AS avg_duration_min, AVG(trip_distance) AS avg_distance,
+       AVG(fare_per_mile) AS avg_fare_per_mile,
+       CAST(SUM(precipitation_mm) AS DOUBLE) / CAST(COUNT(precipitation_mm) AS DOUBLE) AS avg_precipitation,
+       CAST(SUM(temperature_2m) AS DOUBLE) / CAST(COUNT(temperature_2m) AS DOUBLE) AS avg_temp
+FROM proto_trip_weather GROUP BY pickup_hour, borough, weather_severity""",
+        ("avg_fare", "avg_total_amount", "avg_duration_min", "avg_distance", "avg_fare_per_mile"))
+def _n9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prototype weather-hourly mart (NULL groups kept)."""
+    return prototype.weather_hourly_mart(_proto_trip_weather(spark, sf_dir))
+
+
 def queries() -> dict[str, Builder]:
     return dict(QUERIES)
 

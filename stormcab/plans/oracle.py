@@ -353,3 +353,56 @@ def model_select(model: str) -> str:
     if rep:
         return f"SELECT * REPLACE ({', '.join(rep)}) FROM {model}"
     return f"SELECT * FROM {model}"
+
+
+# --- prototype (notebook) models --------------------------------------------------
+
+# landed trip columns in order, with the kind that decides their canonical text
+LANDED_KINDS = (
+    ("VendorID", "int"), ("tpep_pickup_datetime", "ts"), ("tpep_dropoff_datetime", "ts"),
+    ("passenger_count", "num"), ("trip_distance", "num"), ("RatecodeID", "num"),
+    ("store_and_fwd_flag", "str"), ("PULocationID", "int"), ("DOLocationID", "int"),
+    ("payment_type", "int"), ("fare_amount", "num"), ("extra", "num"), ("mta_tax", "num"),
+    ("tip_amount", "num"), ("tolls_amount", "num"), ("improvement_surcharge", "num"),
+    ("total_amount", "num"), ("congestion_surcharge", "num"), ("Airport_fee", "num"),
+    ("cbd_congestion_fee", "num"),
+)
+
+
+def _canon(name: str, kind: str) -> str:
+    c = f'"{name}"'
+    if kind == "ts":
+        text = f"strftime({c}, {TS})"
+    elif kind == "num":
+        text = f"CAST(CAST({c} AS DECIMAL(20,4)) AS VARCHAR)"
+    else:
+        text = f"CAST({c} AS VARCHAR)"
+    return f"COALESCE({text}, 'null')"
+
+
+_DURATION = ("CAST(date_diff('microsecond', tpep_pickup_datetime, tpep_dropoff_datetime) AS DOUBLE) "
+             "/ 60000000.0::DOUBLE")
+
+PROTO_CTES: list[tuple[str, str]] = [
+    ("proto_trips", f"""
+SELECT md5(concat_ws('|', {', '.join(_canon(n, k) for n, k in LANDED_KINDS)})) AS trip_id, d.*,
+       {_DURATION} AS trip_duration_min
+FROM (SELECT DISTINCT * FROM landed_trips) d
+WHERE tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL
+  AND {_DURATION} > 0 AND fare_amount >= 0 AND trip_distance > 0"""),
+    ("proto_weather", f"""
+SELECT borough, weather_ts_hour, temperature_2m, precipitation_mm, rain_mm, snowfall_cm,
+       wind_speed_10m AS wind_speed, weathercode,
+       COALESCE(rain_mm, 0) > 0 AS is_rain, COALESCE(snowfall_cm, 0) > 0 AS is_snow,
+       {_severity('precipitation_mm', 'snowfall_cm')} AS weather_severity
+FROM latest_weather"""),
+    ("proto_trip_weather", """
+SELECT t.trip_id, t.tpep_pickup_datetime, date_trunc('hour', t.tpep_pickup_datetime) AS pickup_hour,
+       z.borough, z.zone AS pickup_zone, t.trip_distance, t.fare_amount, t.total_amount,
+       t.fare_amount / t.trip_distance AS fare_per_mile, t.trip_duration_min,
+       w.temperature_2m, w.precipitation_mm, w.is_rain, w.is_snow, w.weather_severity
+FROM proto_trips t
+LEFT JOIN raw_zone z ON t."PULocationID" = z.location_id
+LEFT JOIN proto_weather w ON date_trunc('hour', t.tpep_pickup_datetime) = w.weather_ts_hour
+                         AND z.borough = w.borough"""),
+]
