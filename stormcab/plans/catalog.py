@@ -502,6 +502,13 @@ def _n9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prototype.weather_hourly_mart(_proto_trip_weather(spark, sf_dir))
 
 
+@register("norm_weather_inline", oracle.with_models(oracle.WEATHER_DOC_SQL))
+def norm_weather_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather documents (parallel hourly arrays) -> raw weather rows."""
+    docs = feeds.landed_weather_documents(spark, sf_dir)
+    return to_output(normalize.raw_weather_from_documents(docs, feeds.FEED_RUN_TS))
+
+
 def queries() -> dict[str, Builder]:
     return dict(QUERIES)
 

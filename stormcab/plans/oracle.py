@@ -406,3 +406,20 @@ LEFT JOIN raw_zone z ON t."PULocationID" = z.location_id
 LEFT JOIN proto_weather w ON date_trunc('hour', t.tpep_pickup_datetime) = w.weather_ts_hour
                          AND z.borough = w.borough"""),
 ]
+
+
+# weather documents -> raw rows: the first reading per borough-hour in document
+# order is the one with the smallest event id (documents are cut by event id and
+# sorted by (hour, event) inside)
+WEATHER_DOC_SQL = f"""
+SELECT md5(borough || '|' || strftime(weather_ts_hour, {TS})) AS weather_record_id,
+       borough, weather_ts_hour,
+       CAST(temperature_2m AS DOUBLE) AS temperature_2m, CAST(precipitation_mm AS DOUBLE) AS precipitation_mm,
+       CAST(rain_mm AS DOUBLE) AS rain_mm, CAST(snowfall_cm AS DOUBLE) AS snowfall_cm,
+       CAST(wind_speed_10m AS DOUBLE) AS wind_speed_10m, weathercode,
+       CAST(date_trunc('month', weather_ts_hour) AS DATE) AS source_month,
+       printf('weather/%s/%s/part-%012d.json', strftime(weather_ts_hour, '%Y-%m'), borough,
+              event_id // {feeds.READINGS_PER_DOCUMENT}) AS source_file,
+       {RUN} AS ingested_at
+FROM readings
+QUALIFY row_number() OVER (PARTITION BY borough, weather_ts_hour ORDER BY event_id) = 1"""

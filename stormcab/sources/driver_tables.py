@@ -178,9 +178,12 @@ def landed_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                       chunk.alias("chunk"))
              .agg(F.sort_array(F.collect_list(reading)).alias("readings")))
     rd = F.col("readings")
-    hourly = F.struct(*[F.transform(rd, lambda x, f=f: x[f]).alias(f) for f in
-                        ("time", "temperature_2m", "precipitation", "rain", "snowfall",
-                         "windspeed_10m", "weathercode")])
+
+    def field(name: str) -> Column:
+        return F.transform(rd, lambda x: x[name]).alias(name)
+
+    hourly = F.struct(*[field(f) for f in ("time", "temperature_2m", "precipitation", "rain",
+                                           "snowfall", "windspeed_10m", "weathercode")])
     return docs.select(
         "requested_borough", "requested_month", hourly.alias("hourly"),
         F.format_string("weather/%s/%s/part-%012d.json", F.col("requested_month"),
