@@ -148,16 +148,13 @@ def nonneg_or_zero(c: ColumnOrName, dtype: str) -> Column:
 
 
 def ts_text(ts: ColumnOrName, iso_minutes: bool = False) -> Column:
-    """Text of a TIMESTAMP_NTZ built from its fields (zone-independent).
+    """Text of a TIMESTAMP_NTZ, zone-independent and without String.format.
 
-    'yyyy-MM-dd HH:mm:ss' by default, 'yyyy-MM-ddTHH:mm' for weather payloads.
+    'yyyy-MM-dd HH:mm:ss' (fraction dropped) by default, 'yyyy-MM-ddTHH:mm'
+    for weather payloads.  Casting NTZ to text never consults the session
+    zone, unlike date_format; NULL stays NULL.
     """
-    t = _c(ts)
+    text = F.substring(_c(ts).cast("timestamp_ntz").cast("string"), 1, 19)
     if iso_minutes:
-        text = F.format_string("%04d-%02d-%02dT%02d:%02d", F.year(t), F.month(t),
-                               F.dayofmonth(t), F.hour(t), F.minute(t))
-    else:
-        text = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", F.year(t), F.month(t),
-                               F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t))
-    # format_string prints NULL arguments as text; keep NULL NULL
-    return F.when(t.isNotNull(), text)
+        return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 5))
+    return text

@@ -122,13 +122,25 @@ def unique_checks(models: Models) -> DataFrame:
     return _union([_result(unique_failures(models(m), c), "unique", m, c, F.col("n")) for m, c in UNIQUE])
 
 
+def _by_model(decls):
+    grouped: dict[str, list] = {}
+    for d in decls:
+        grouped.setdefault(d[0], []).append(d[1:])
+    return grouped
+
+
 def accepted_values_checks(models: Models) -> DataFrame:
-    """Q3-Q5: distinct values outside the accepted list (NULL passes)."""
+    """Q3-Q5: distinct values outside the accepted list (NULL passes).
+
+    One aggregate pass per model: COUNT(DISTINCT CASE WHEN bad THEN value END)
+    for each declared column.
+    """
     frames = []
-    for m, c, values in ACCEPTED_VALUES:
-        bad = (models(m).select(c).filter(F.col(c).isNotNull() & ~F.col(c).isin(*values))
-                        .distinct().agg(F.count(F.lit(1)).alias("n")))
-        frames.append(_result(bad, "accepted_values", m, c, F.col("n")))
+    for m, decls in _by_model(ACCEPTED_VALUES).items():
+        aggs = [F.count_distinct(F.when(~F.col(c).isin(*values), F.col(c))).alias(f"n{i}")
+                for i, (c, values) in enumerate(decls)]
+        agg = models(m).agg(*aggs)
+        frames += [_result(agg, "accepted_values", m, c, F.col(f"n{i}")) for i, (c, _) in enumerate(decls)]
     return _union(frames)
 
 
@@ -140,11 +152,23 @@ def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
 
 def relationship_checks(models: Models) -> DataFrame:
-    """Orphan child rows per declared relationship."""
+    """Orphan child rows per declared relationship.
+
+    One pass over each child table: every parent's distinct keys are left-
+    joined (broadcast after a size check; distinct keys, so no fan-out) and
+    the orphans of all foreign keys are counted in the same aggregate.
+    """
     frames = []
-    for m, c, parent, pc in RELATIONSHIPS:
-        n = orphan_rows(models(m), c, models(parent), pc).agg(F.count(F.lit(1)).alias("n"))
-        frames.append(_result(n, "relationships", m, c, F.col("n")))
+    for m, decls in _by_model(RELATIONSHIPS).items():
+        df = models(m)
+        aggs = []
+        for i, (c, parent, pc) in enumerate(decls):
+            k = f"_pk{i}"
+            keys = bounded_broadcast(models(parent).select(F.col(pc).alias(k)).distinct())
+            df = df.join(keys, F.col(c) == F.col(k), "left")
+            aggs.append(F.count_if(F.col(c).isNotNull() & F.col(k).isNull()).alias(f"n{i}"))
+        agg = df.agg(*aggs)
+        frames += [_result(agg, "relationships", m, c, F.col(f"n{i}")) for i, (c, _, _) in enumerate(decls)]
     return _union(frames)
 
 

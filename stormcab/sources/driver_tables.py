@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fixed
+from .partitioning import spread
 
 # Feed constants (ours, not the original pipeline's).
 FEED_MONTH = "2024-01"
@@ -35,8 +36,9 @@ SERVICE_ZONES = ("Yellow Zone", "Boro Zone", "Airports")
 READINGS_PER_DOCUMENT = 64
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if spread_input else df
 
 
 def ntz(text: str) -> Column:
@@ -71,9 +73,9 @@ def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     a shuffle join.  lineitem, the big side, is shuffled as few times as the
     keys allow.
     """
-    li = table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem", spread_input=True).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    orders = table(spark, sf_dir, "orders", spread_input=True).select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     oc = orders.join(cust, orders.o_custkey == cust.c_custkey).select("o_orderkey", "c_nationkey")
@@ -119,7 +121,7 @@ def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-event weather readings (decimal measures as in the warehouse)."""
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    e = table(spark, sf_dir, "events", spread_input=True).select("event_id", "ts", "user_id")
     eid = F.col("event_id")
 
     def tenths(x: Column) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from .partitioning import spread
 
 
 def trip_month_dir(root: str, month: str, dataset: str = "yellow") -> str:
@@ -40,7 +41,7 @@ def zone_file(root: str) -> str:
 def read_trip_month(spark: SparkSession, root: str, month: str, dataset: str = "yellow") -> DataFrame:
     """One month of landed trips plus its file path (`source_file`)."""
     df = spark.read.parquet(trip_month_dir(root, month, dataset))
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+    return spread(df.withColumn("source_file", F.col("_metadata.file_path")))
 
 
 def read_trip_months(spark: SparkSession, root: str, months: list[str], dataset: str = "yellow") -> DataFrame:

@@ -1,0 +1,20 @@
+"""Input parallelism.
+
+A scan yields one task per file split (Parquet row group); a table stored as
+one big row group is read by a single task, and every narrow operation after
+it (casts, hashes, broadcast joins) stays on that one core until the first
+shuffle.  `spread` round-robins such an input over the cluster's default
+parallelism.  On real inputs (thousands of splits) it does nothing: the
+check compares planned partitions only and never runs a job.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
