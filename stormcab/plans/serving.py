@@ -1,10 +1,13 @@
 """Serving queries: the analysis SQL, the dashboard measures and visuals.
 
 All of them read the aggregated facts (a few rows per hour and zone), not the
-trip fact, as the dashboard guidance asks.  Dimension joins go through
-`bounded_broadcast`; one-row measure results are combined with cross joins
-of one-row frames only.  Every function accepts optional `Slicers` (the
-dashboard filters); the registered queries use none, i.e. whole tables.
+trip fact, as the dashboard guidance asks.  Dimensions join those aggregates
+with plain joins: both sides are small, and AQE broadcasts whichever side its
+measured shuffle size puts under the broadcast threshold (a sort-merge join
+otherwise), without an extra counting job.  One-row measure results are
+combined with cross joins of one-row frames only.  Every function accepts
+optional `Slicers` (the dashboard filters); the registered queries use none,
+i.e. whole tables.
 """
 
 from __future__ import annotations
@@ -15,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..operators.joins import bounded_broadcast
 
 
 @dataclass(frozen=True)
@@ -55,8 +57,7 @@ def apply_slicers(fact: DataFrame, s: Slicers, dim_weather: DataFrame | None = N
     if s.hours_of_day is not None and _hour_col(fact) is not None:
         fact = fact.filter(F.hour(_hour_col(fact)).isin(*s.hours_of_day))
     if s.weather_groups is not None and "weather_key" in cols and dim_weather is not None:
-        keys = bounded_broadcast(dim_weather.filter(F.col("weather_group").isin(*s.weather_groups))
-                                 .select("weather_key"))
+        keys = dim_weather.filter(F.col("weather_group").isin(*s.weather_groups)).select("weather_key")
         fact = fact.join(keys, "weather_key", "left_semi")
     return fact
 
@@ -81,7 +82,7 @@ def top_zone_revenue(revenue: DataFrame, dim_location: DataFrame, s: Slicers = N
                      n: int = fixed.TOP_REVENUE_ROWS) -> DataFrame:
     """The n revenue rows (day x zone x payment type) with most revenue."""
     f = apply_slicers(revenue, s)
-    loc = bounded_broadcast(dim_location.select("location_id", F.col("zone").alias("loc_zone")))
+    loc = dim_location.select("location_id", F.col("zone").alias("loc_zone"))
     j = f.join(loc, f.pickup_location_id == loc.location_id, "inner")
     return (j.orderBy(F.col("total_revenue_amount").desc_nulls_last(), F.col("fare_revenue_key").asc())
              .limit(n)
@@ -129,7 +130,7 @@ def unweighted_averages(hourly: DataFrame, impact: DataFrame, s: Slicers = NO_SL
 def rain_snow_share(hourly: DataFrame, dim_weather: DataFrame, s: Slicers = NO_SLICERS) -> DataFrame:
     """Share of trips in rain / snow weather groups (total stays unfiltered)."""
     f = apply_slicers(hourly, s)
-    dw = bounded_broadcast(dim_weather.select("weather_key", "weather_group"))
+    dw = dim_weather.select("weather_key", "weather_group")
     j = f.join(dw, "weather_key", "left")
     a = j.agg(F.coalesce(F.sum(F.when(F.col("weather_group") == "rain", F.col("trip_count"))), F.lit(0)).alias("rain_trip_count"),
               F.coalesce(F.sum(F.when(F.col("weather_group") == "snow", F.col("trip_count"))), F.lit(0)).alias("snow_trip_count"),
@@ -141,7 +142,7 @@ def rain_snow_share(hourly: DataFrame, dim_weather: DataFrame, s: Slicers = NO_S
 def peak_offpeak(hourly: DataFrame, dim_date_time: DataFrame, s: Slicers = NO_SLICERS) -> DataFrame:
     """Peak-hour trips (via the calendar's hour_of_day) and the rest."""
     f = apply_slicers(hourly, s)
-    cal = bounded_broadcast(dim_date_time.select("date_hour_key", "hour_of_day"))
+    cal = dim_date_time.select("date_hour_key", "hour_of_day")
     j = f.join(cal, "date_hour_key", "left")
     a = j.agg(F.coalesce(F.sum(F.when(F.col("hour_of_day").isin(*fixed.RUSH_HOURS), F.col("trip_count"))),
                          F.lit(0)).alias("peak_trip_count"),
@@ -165,7 +166,7 @@ def kpi_row(hourly: DataFrame, revenue: DataFrame, impact: DataFrame, dim_weathe
 def hourly_trip_line(hourly: DataFrame, dim_date_time: DataFrame, s: Slicers = NO_SLICERS) -> DataFrame:
     """Trips by calendar hour."""
     f = apply_slicers(hourly, s)
-    cal = bounded_broadcast(dim_date_time.select("date_hour_key", "hour_ts"))
+    cal = dim_date_time.select("date_hour_key", "hour_ts")
     return (f.join(cal, "date_hour_key", "inner").groupBy("hour_ts")
              .agg(F.sum("trip_count").alias("trip_count")).orderBy("hour_ts"))
 
@@ -176,8 +177,8 @@ HOURS = list(range(24))
 def weekday_hour_matrix(hourly: DataFrame, dim_date_time: DataFrame, s: Slicers = NO_SLICERS) -> DataFrame:
     """Weekday x hour-of-day matrix of trips (pivot on the 24 fixed hours)."""
     f = apply_slicers(hourly, s)
-    cal = bounded_broadcast(dim_date_time.select("date_hour_key", "iso_weekday_number", "weekday_name",
-                                                 "hour_of_day"))
+    cal = dim_date_time.select("date_hour_key", "iso_weekday_number", "weekday_name",
+                                                 "hour_of_day")
     p = (f.join(cal, "date_hour_key", "inner")
           .groupBy("iso_weekday_number", "weekday_name").pivot("hour_of_day", HOURS)
           .agg(F.sum("trip_count")))
@@ -186,7 +187,7 @@ def weekday_hour_matrix(hourly: DataFrame, dim_date_time: DataFrame, s: Slicers
 
 
 def _by_zone(fact: DataFrame, dim_location: DataFrame, measure: Column, name: str) -> DataFrame:
-    loc = bounded_broadcast(dim_location.select("location_id", "borough", "zone"))
+    loc = dim_location.select("location_id", "borough", "zone")
     g = fact.groupBy("pickup_location_id").agg(measure.alias(name))
     return g.join(loc, g.pickup_location_id == loc.location_id, "inner").drop("pickup_location_id")
 
@@ -219,7 +220,7 @@ def zone_table(hourly: DataFrame, revenue: DataFrame, dim_location: DataFrame, s
     rev = (apply_slicers(revenue, s).groupBy(F.col("pickup_location_id").alias("rev_location_id"))
            .agg(F.sum("gross_fare_amount").alias("gf"), F.sum("trip_count").alias("rn"),
                 F.sum("total_revenue_amount").alias("tr")))
-    loc = bounded_broadcast(dim_location.select("location_id", "zone"))
+    loc = dim_location.select("location_id", "zone")
     j = (trips.join(rev, trips.pickup_location_id == rev.rev_location_id, "inner")
               .join(loc, F.col("pickup_location_id") == loc.location_id, "inner"))
     return j.select("location_id", "zone", "trip_count", _ratio(F.col("gf"), F.col("rn")).alias("average_fare"),
