@@ -177,8 +177,7 @@ HOURS = list(range(24))
 def weekday_hour_matrix(hourly: DataFrame, dim_date_time: DataFrame, s: Slicers = NO_SLICERS) -> DataFrame:
     """Weekday x hour-of-day matrix of trips (pivot on the 24 fixed hours)."""
     f = apply_slicers(hourly, s)
-    cal = dim_date_time.select("date_hour_key", "iso_weekday_number", "weekday_name",
-                                                 "hour_of_day")
+    cal = dim_date_time.select("date_hour_key", "iso_weekday_number", "weekday_name", "hour_of_day")
     p = (f.join(cal, "date_hour_key", "inner")
           .groupBy("iso_weekday_number", "weekday_name").pivot("hour_of_day", HOURS)
           .agg(F.sum("trip_count")))

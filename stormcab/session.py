@@ -19,6 +19,12 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # ~128 MB per shuffle partition after AQE coalescing; AQE splits skewed
+    # partitions above 5x the median (and 256 MB) in sort-merge joins
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    # scan splits of at most 128 MB (Parquet row groups are the unit)
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
@@ -30,8 +36,9 @@ def build_session(master: str | None = None, app_name: str = "stormcab",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings above.
 
-    `shuffle_partitions` should be sized so one shuffle partition is roughly
-    100-200 MB at the target scale; AQE coalesces small ones at runtime.
+    `shuffle_partitions` is the initial shuffle width: size it for the largest
+    shuffle (about input bytes / 128 MB; e.g. 10 TB of trips -> ~80,000) and
+    AQE coalesces it down to the advisory size for smaller stages.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
