@@ -113,11 +113,29 @@ def weather_frame(raw_weather: DataFrame) -> DataFrame:
         C.weather_severity("precipitation_mm", "snowfall_cm").alias("weather_severity"))
 
 
+def pickup_date_bounds(trips: DataFrame) -> DataFrame:
+    """First and last pickup date (one row; partial min/max per task)."""
+    d = F.col("tpep_pickup_datetime").cast("date")
+    return trips.agg(F.min(d).alias("start_date"), F.max(d).alias("end_date"))
+
+
+def weather_in_window(weather: DataFrame, trips: DataFrame) -> DataFrame:
+    """Weather limited to the trips' date window, as the prototype requests it.
+
+    The window is a one-row frame, so the range condition is a broadcast
+    nested-loop join against exactly one row.
+    """
+    b = F.broadcast(pickup_date_bounds(trips))
+    return (weather.join(b, (F.col("weather_ts_hour") >= F.col("start_date").cast("timestamp_ntz"))
+                         & (F.col("weather_ts_hour") < F.date_add("end_date", 1).cast("timestamp_ntz")), "inner")
+                   .drop("start_date", "end_date"))
+
+
 def trip_weather(trips: DataFrame, landed_zones: DataFrame, weather: DataFrame) -> DataFrame:
     """Trips with pickup zone (left) and pickup-hour weather (left)."""
     z = bounded_broadcast(landed_zones.select(F.col("LocationID"), F.col("Borough").alias("borough"),
                                               F.col("Zone").alias("pickup_zone")))
-    w = bounded_broadcast(weather)
+    w = bounded_broadcast(weather_in_window(weather, trips))
     t = trips.join(z, trips.PULocationID == z.LocationID, "left")
     t = t.withColumn("pickup_hour", C.hour_floor("tpep_pickup_datetime"))
     t = t.join(w, (t.pickup_hour == w.weather_ts_hour) & (t.borough == w.borough), "left").drop(w.borough)
