@@ -17,7 +17,7 @@ from ..operators import normalize, quality
 from ..sources import driver_tables as feeds
 from ..functions import fixed as serving_fixed
 from . import oracle, prototype, serving
-from .warehouse import Warehouse
+from .warehouse import Warehouse, raw_from_driver_tables
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,31 @@ QUERIES: dict[str, Builder] = {}
 ORACLES: dict[str, str] = {}
 
 
+# One lazy model graph per (application, dataset): the graph is only a plan,
+# so queries share its construction (and its broadcast size checks) while
+# every action still reads the tables afresh.
+_GRAPHS: dict[tuple[str, str], Warehouse] = {}
+_LANDED: dict[tuple[str, str], DataFrame] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, sf_dir
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    k = _key(spark, sf_dir)
+    if k not in _GRAPHS:
+        _GRAPHS[k] = Warehouse(raw_from_driver_tables(spark, sf_dir, landed_trips(spark, sf_dir)))
+    return _GRAPHS[k]
+
+
+def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = _key(spark, sf_dir)
+    if k not in _LANDED:
+        _LANDED[k] = feeds.landed_trips(spark, sf_dir)
+    return _LANDED[k]
+
+
 def to_output(df: DataFrame, rounded: tuple[str, ...] = ()) -> DataFrame:
     """Cast DECIMAL columns to DOUBLE (nearest double of the exact value) and
     round the named order-dependent means to `oracle.OUTPUT_DIGITS`."""
@@ -50,7 +75,7 @@ def register(name: str, sql: str | None):
 
 def _model_query(model: str) -> None:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return to_output(getattr(Warehouse.from_driver_tables(spark, sf_dir), model),
+        return to_output(getattr(warehouse(spark, sf_dir), model),
                          oracle.ROUNDED.get(model, ()))
     register(model, oracle.with_models(oracle.model_select(model)))(build)
 
@@ -64,14 +89,14 @@ for _m in Warehouse.MODELS:
 @register("norm_trips_rename_cast", oracle.with_models(oracle.model_select("norm_trips")))
 def norm_trips_rename_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed trips renamed, coerced, stamped and hashed (before dedup)."""
-    landed = feeds.landed_trips(spark, sf_dir)
+    landed = landed_trips(spark, sf_dir)
     return to_output(normalize.normalize_trips(landed, feeds.FEED_MONTH, feeds.FEED_TRIP_FILE, feeds.FEED_RUN_TS))
 
 
 @register("norm_trip_dedup_hash", oracle.with_models(oracle.model_select("raw_trips")))
 def norm_trip_dedup_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per record hash (deterministic winner)."""
-    landed = feeds.landed_trips(spark, sf_dir)
+    landed = landed_trips(spark, sf_dir)
     return to_output(normalize.raw_trips(landed, feeds.FEED_MONTH, feeds.FEED_TRIP_FILE, feeds.FEED_RUN_TS))
 
 
@@ -87,7 +112,7 @@ def _serve(name: str, sql: str, rounded: tuple[str, ...] = ()):
     """Register a serving query: `fn(warehouse) -> DataFrame` over whole marts."""
     def deco(fn):
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return to_output(fn(Warehouse.from_driver_tables(spark, sf_dir)), rounded)
+            return to_output(fn(warehouse(spark, sf_dir)), rounded)
         build.__name__ = name
         build.__doc__ = fn.__doc__
         rep = ", ".join(f"round({c}, {oracle.OUTPUT_DIGITS}) AS {c}" for c in rounded)
@@ -339,25 +364,25 @@ _REL_SQL = "\nUNION ALL\n".join(
 @register("dq_not_null", oracle.with_models(_NOT_NULL_SQL))
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1: NULL rows of the 23 declared not-null columns."""
-    return quality.not_null_checks(Warehouse.from_driver_tables(spark, sf_dir).model)
+    return quality.not_null_checks(warehouse(spark, sf_dir).model)
 
 
 @register("dq_unique", oracle.with_models(_UNIQUE_SQL))
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2: duplicated values of the 13 declared unique columns."""
-    return quality.unique_checks(Warehouse.from_driver_tables(spark, sf_dir).model)
+    return quality.unique_checks(warehouse(spark, sf_dir).model)
 
 
 @register("dq_accepted_values", oracle.with_models(_ACCEPTED_SQL))
 def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3-Q5: values outside the accepted lists."""
-    return quality.accepted_values_checks(Warehouse.from_driver_tables(spark, sf_dir).model)
+    return quality.accepted_values_checks(warehouse(spark, sf_dir).model)
 
 
 @register("dq_relationships", oracle.with_models(_REL_SQL))
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orphan foreign keys of the 6 declared relationships."""
-    return quality.relationship_checks(Warehouse.from_driver_tables(spark, sf_dir).model)
+    return quality.relationship_checks(warehouse(spark, sf_dir).model)
 
 
 @register("dq_trip_ranges", oracle.with_models(
@@ -365,7 +390,7 @@ def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     "trip_distance <= 0 OR fare_amount < 0 OR total_amount < 0 OR passenger_count < 0 OR passenger_count > 8"))
 def dq_trip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7: fact rows outside the valid ranges (empty = pass)."""
-    return to_output(quality.trip_range_violations(Warehouse.from_driver_tables(spark, sf_dir).fct_taxi_trips))
+    return to_output(quality.trip_range_violations(warehouse(spark, sf_dir).fct_taxi_trips))
 
 
 @register("dq_weather_coverage", oracle.with_models(f"""
@@ -378,7 +403,7 @@ FROM (SELECT CAST(date_trunc('month', pickup_ts_local) AS DATE) AS pickup_month,
       FROM fct_taxi_trips GROUP BY 1) c"""))
 def dq_weather_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather join coverage per pickup month against the threshold."""
-    return quality.weather_coverage(Warehouse.from_driver_tables(spark, sf_dir).fct_taxi_trips)
+    return quality.weather_coverage(warehouse(spark, sf_dir).fct_taxi_trips)
 
 
 @register("dq_hourly_consistency", oracle.with_models("""
@@ -392,7 +417,7 @@ FULL OUTER JOIN (SELECT CAST(date_trunc('month', pickup_hour) AS DATE) AS pickup
   ON d.pickup_month = a.pickup_month"""))
 def dq_hourly_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip fact count minus hourly-mart rollup, per pickup month."""
-    wh = Warehouse.from_driver_tables(spark, sf_dir)
+    wh = warehouse(spark, sf_dir)
     return quality.hourly_consistency(wh.fct_taxi_trips, wh.fct_hourly_demand)
 
 
@@ -408,7 +433,7 @@ SELECT 'raw_weather_hourly' AS model, source_month AS month, COUNT(*) AS row_cou
 FROM raw_weather GROUP BY source_month"""))
 def dq_month_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per loaded month against the minimums."""
-    wh = Warehouse.from_driver_tables(spark, sf_dir)
+    wh = warehouse(spark, sf_dir)
     return quality.month_row_counts(wh.raw.trips, wh.raw.weather)
 
 
@@ -428,7 +453,7 @@ def _proto(name: str, sql: str, rounded: tuple[str, ...] = ()):
 
 
 def _proto_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prototype.clean_trips(feeds.landed_trips(spark, sf_dir))
+    return prototype.clean_trips(landed_trips(spark, sf_dir))
 
 
 @_proto("proto_star_fact", """

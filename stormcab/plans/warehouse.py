@@ -24,10 +24,10 @@ class RawTables:
     zones: DataFrame      # raw.taxi_zone_lookup
 
 
-def raw_from_driver_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+def raw_from_driver_tables(spark: SparkSession, sf_dir: str, landed: DataFrame | None = None) -> RawTables:
     """Raw tables for the feed month, derived from the benchmark tables."""
-    trips = normalize.raw_trips(feeds.landed_trips(spark, sf_dir), feeds.FEED_MONTH,
-                                feeds.FEED_TRIP_FILE, feeds.FEED_RUN_TS)
+    landed = landed if landed is not None else feeds.landed_trips(spark, sf_dir)
+    trips = normalize.raw_trips(landed, feeds.FEED_MONTH, feeds.FEED_TRIP_FILE, feeds.FEED_RUN_TS)
     zones = normalize.raw_zones(feeds.landed_zones(spark, sf_dir), feeds.FEED_ZONE_FILE, feeds.FEED_RUN_TS)
     return RawTables(trips=trips, weather=feeds.raw_weather(spark, sf_dir), zones=zones)
 
