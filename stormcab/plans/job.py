@@ -46,23 +46,40 @@ class JobReport:
         return self.raw_errors + tests + self.warehouse_errors
 
 
+@dataclass
+class MonthFeeds:
+    raw: RawTables
+    boroughs: int           # distinct boroughs among the weather documents
+    trips_empty: bool       # the landed trip month has no rows
+    weather_empty: bool     # no weather documents landed
+
+
 def normalize_month(spark: SparkSession, landing: str, month: str, ingested_at: str,
-                    dataset: str = "yellow", weather_multi_line: bool = True) -> tuple[RawTables, int]:
-    """L2: the month's landed feeds as raw rows; also the number of weather boroughs."""
+                    dataset: str = "yellow", weather_multi_line: bool = True) -> MonthFeeds:
+    """L2: the month's landed feeds as raw rows, plus what the checks need.
+
+    Normalisation and dedup keep at least one row per record hash, so
+    a month is empty after it exactly when its landed input is; the cheap
+    `isEmpty` of the input (first row only) is what the loader uses.
+    """
     trips_landed = landed.read_trip_month(spark, landing, month, dataset)
     trips = normalize.raw_trips(trips_landed, month, F.col("source_file"), ingested_at)
     docs = landed.read_weather_documents(spark, landing, month, weather_multi_line)
     boroughs = docs.select("requested_borough").distinct().count()
     weather = normalize.raw_weather_from_documents(docs, ingested_at)
     zones = normalize.raw_zones(landed.read_zone_lookup(spark, landing), landed.zone_file(landing), ingested_at)
-    return RawTables(trips=trips, weather=weather, zones=zones), boroughs
+    return MonthFeeds(RawTables(trips=trips, weather=weather, zones=zones), boroughs,
+                      trips_landed.isEmpty(), boroughs == 0)
 
 
-def load_month(raw: RawTables, warehouse: str, month: str) -> None:
+def load_month(feeds: MonthFeeds, warehouse: str, month: str) -> None:
     """L3: K3 zone full refresh, K4/K5 month replacement of trips and weather."""
+    raw = feeds.raw
     writers.overwrite_table(raw.zones, f"{warehouse}/{RAW_TABLES['zones']}")
-    writers.replace_month(raw.trips, f"{warehouse}/{RAW_TABLES['trips']}", "ingestion_month", month)
-    writers.replace_month(raw.weather, f"{warehouse}/{RAW_TABLES['weather']}", "source_month", month)
+    writers.replace_month(raw.trips, f"{warehouse}/{RAW_TABLES['trips']}", "ingestion_month", month,
+                          empty=feeds.trips_empty)
+    writers.replace_month(raw.weather, f"{warehouse}/{RAW_TABLES['weather']}", "source_month", month,
+                          empty=feeds.weather_empty)
 
 
 def read_raw(spark: SparkSession, warehouse: str) -> RawTables:
@@ -106,7 +123,7 @@ def table_models(spark: SparkSession, warehouse: str):
 def run_tests(spark: SparkSession, warehouse: str) -> list[dict]:
     """The 46 declared tests plus the singular ones; returns failing rows only."""
     models = table_models(spark, warehouse)
-    results = quality.generic_checks(models)
+    results = quality.generic_checks_by_model(models)
     fct, hourly = models("fct_taxi_trips"), models("fct_hourly_demand")
     ranges = quality.trip_range_violations(fct).agg(F.count(F.lit(1)).alias("n"))
     singular = ranges.select(F.lit("trip_ranges").alias("check_name"), F.lit("fct_taxi_trips").alias("model"),
@@ -126,11 +143,12 @@ def run_month(spark: SparkSession, landing: str, warehouse: str, month: str, *,
     """L1: the whole month; raises QualityCheckError on failures when `fail`."""
     ts = ingested_at or run_timestamp()
     report = JobReport(month)
-    raw, boroughs = normalize_month(spark, landing, month, ts, dataset, weather_multi_line)
-    report.raw_errors = quality.raw_extract_checks(raw.trips, raw.weather, boroughs)
+    month_feeds = normalize_month(spark, landing, month, ts, dataset, weather_multi_line)
+    raw = month_feeds.raw
+    report.raw_errors = quality.raw_extract_checks(raw.trips, raw.weather, month_feeds.boroughs)
     if report.raw_errors and fail:
         quality.raise_if_failed(report.raw_errors)
-    load_month(raw, warehouse, month)
+    load_month(month_feeds, warehouse, month)
     build_marts(spark, warehouse)
     report.test_failures = run_tests(spark, warehouse)
     models = table_models(spark, warehouse)

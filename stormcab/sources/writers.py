@@ -24,11 +24,16 @@ def _delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def replace_month(df: DataFrame, table_path: str, partition_column: str, month: str) -> None:
-    """K4/K5: replace one month partition (DELETE month + INSERT, idempotent)."""
+def replace_month(df: DataFrame, table_path: str, partition_column: str, month: str,
+                  empty: bool | None = None) -> None:
+    """K4/K5: replace one month partition (DELETE month + INSERT, idempotent).
+
+    `empty` may be passed by a caller that already knows whether the month
+    has rows (e.g. from its source), which saves evaluating `df` twice.
+    """
     first = F.lit(f"{month}-01").cast("date")
     rows = df.filter(F.col(partition_column) == first)
-    if rows.isEmpty():
+    if rows.isEmpty() if empty is None else empty:
         _delete_path(df.sparkSession, f"{table_path}/{partition_column}={month}-01")
         return
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -96,3 +96,10 @@ def test_streaming_loader_available_now(spark, scratch):
     raw = landed.read_table(spark, wh, "raw_taxi_trips_yellow")
     assert raw.count() == feeds.landed_trips(spark, SMOKE).count()
     assert {str(r.ingestion_month) for r in raw.select("ingestion_month").distinct().collect()} == {"2024-01-01"}
+
+
+def test_combined_checks_equal_family_checks(spark):
+    wh = Warehouse.from_driver_tables(spark, SMOKE)
+    a = {tuple(r) for r in quality.generic_checks(wh.model).collect()}
+    b = {tuple(r) for r in quality.generic_checks_by_model(wh.model).collect()}
+    assert a == b and len(a) == 46
