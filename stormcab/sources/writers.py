@@ -16,10 +16,19 @@ from pyspark.sql import functions as F
 from . import landed
 
 
-def _delete_path(spark: SparkSession, path: str) -> None:
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return fs.exists(p)
+
+
+def _delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
 

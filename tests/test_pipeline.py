@@ -103,3 +103,17 @@ def test_combined_checks_equal_family_checks(spark):
     a = {tuple(r) for r in quality.generic_checks(wh.model).collect()}
     b = {tuple(r) for r in quality.generic_checks_by_model(wh.model).collect()}
     assert a == b and len(a) == 46
+
+
+def test_incremental_month_rebuild_matches_full_refresh(spark, scratch):
+    land, full, inc = f"{scratch}/landing", f"{scratch}/full", f"{scratch}/inc"
+    _land(spark, land)
+    ts = "2024-02-01 00:00:00"
+    job.run_month(spark, land, full, "2024-01", weather_multi_line=False, fail=False, ingested_at=ts)
+    job.run_month(spark, land, inc, "2024-01", weather_multi_line=False, fail=False, ingested_at=ts)
+    job.run_month(spark, land, inc, "2024-01", weather_multi_line=False, fail=False, ingested_at=ts,
+                  incremental=True)
+    for name in ("fct_taxi_trips", "fct_hourly_demand", "fct_weather_impact"):
+        a = landed.read_table(spark, full, name)
+        b = landed.read_table(spark, inc, name).select(*a.columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
