@@ -131,7 +131,6 @@ MIN_WEATHER_JOIN_COVERAGE = 0.95
 WEATHER_ROWS_FRACTION = 0.95
 WEATHER_FILES_PER_MONTH = 5
 MIN_WEATHER_EXTRACT_ROWS = 24 * 20
-RAW_CHECK_SAMPLE_ROWS = 5000
 
 # Processed-extract columns the raw checks require.
 REQUIRED_PROCESSED_TAXI_COLUMNS = (

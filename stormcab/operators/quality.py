@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -82,7 +82,6 @@ RELATIONSHIPS: tuple[tuple[str, str, str, str], ...] = (
 # --- end of declared checks ----------------------------------------------------
 
 Models = Callable[[str], DataFrame]
-RESULT_COLUMNS = ("check_name", "model", "column_name", "failures")
 
 
 def _result(df: DataFrame, check: str, model: str, column: str, failures) -> DataFrame:
@@ -144,13 +143,6 @@ def accepted_values_checks(models: Models) -> DataFrame:
     return _union(frames)
 
 
-def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row (anti join)."""
-    keys = bounded_broadcast(parent.select(F.col(parent_column).alias("_parent_key")).distinct())
-    return (child.filter(F.col(column).isNotNull())
-                 .join(keys, F.col(column) == F.col("_parent_key"), "left_anti"))
-
-
 def relationship_checks(models: Models) -> DataFrame:
     """Orphan child rows per declared relationship.
 
@@ -179,8 +171,9 @@ def trip_range_violations(fct: DataFrame) -> DataFrame:
                       | (F.col("fare_amount") < 0) | (F.col("total_amount") < 0) | (pax < 0) | (pax > 8))
 
 
-def pickup_month(ts) -> "F.Column":
-    return F.trunc(F.col(ts).cast("date"), "MM") if isinstance(ts, str) else F.trunc(ts.cast("date"), "MM")
+def pickup_month(ts: str) -> Column:
+    """First day of the month of a timestamp column."""
+    return F.trunc(F.col(ts).cast("date"), "MM")
 
 
 def weather_coverage(fct: DataFrame, min_coverage: float = fixed.MIN_WEATHER_JOIN_COVERAGE) -> DataFrame:
@@ -216,7 +209,7 @@ def hourly_consistency(fct: DataFrame, hourly: DataFrame) -> DataFrame:
                     (dt - at).alias("gap"))
 
 
-def expected_weather_rows(month_col) -> "F.Column":
+def expected_weather_rows(month_col: Column) -> Column:
     """days in month x 24 hours x 5 boroughs."""
     return F.dayofmonth(F.last_day(month_col)) * 24 * len(fixed.NYC_BOROUGHS)
 
@@ -275,8 +268,7 @@ def generic_checks_by_model(models: Models) -> DataFrame:
 
 # --- raw-file checks (schema and counts of a processed extract) ------------------
 
-def raw_extract_checks(trips: DataFrame, weather: DataFrame, weather_files: int,
-                       spark: SparkSession | None = None) -> list[str]:
+def raw_extract_checks(trips: DataFrame, weather: DataFrame, weather_files: int) -> list[str]:
     """Q10-Q12: required columns (plan only), five weather files, weather rows.
 
     Returns the list of failure messages.  Only the schema and two counts

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..functions import fixed
 from .partitioning import spread
 
 # Feed constants (ours, not the original pipeline's).
@@ -192,10 +191,3 @@ def landed_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("requested_borough"), F.col("chunk")).alias("source_file"),
     )
 
-
-def feed_month() -> str:
-    return FEED_MONTH
-
-
-def boroughs() -> tuple[str, ...]:
-    return fixed.NYC_BOROUGHS

@@ -141,3 +141,18 @@ def test_months_with_different_spellings_union_by_name(spark, scratch):
     assert len(raw) == 10 and all(r.airport_fee is not None for r in raw)
     assert sum(r.cbd_congestion_fee is None for r in raw) == 10
     assert {r.source_file.rsplit("/", 2)[-2] for r in raw} == {"month=01", "month=02"}
+
+
+def test_model_columns_follow_declared_order(spark):
+    from stormcab import schemas
+    from stormcab.operators import staging
+    from stormcab.plans import marts, prototype
+    wh = Warehouse.from_driver_tables(spark, SMOKE)
+    assert tuple(wh.raw.trips.columns) == tuple(f.name for f in schemas.RAW_TRIPS.fields)
+    assert tuple(wh.stg_taxi_trips.columns) == staging.STG_TRIP_COLUMNS
+    assert tuple(wh.stg_weather_hourly.columns) == staging.STG_WEATHER_COLUMNS
+    assert tuple(wh.dim_weather.columns) == marts.DIM_WEATHER_COLUMNS
+    assert tuple(wh.dim_date_time.columns) == marts.DIM_DATE_TIME_COLUMNS
+    assert tuple(wh.fct_taxi_trips.columns) == marts.FCT_TRIP_COLUMNS and len(marts.FCT_TRIP_COLUMNS) == 48
+    trips = prototype.clean_trips(feeds.landed_trips(spark, SMOKE))
+    assert tuple(prototype.star_fact(trips).columns) == prototype.PROTO_FACT_COLUMNS

@@ -3,7 +3,6 @@
 from datetime import datetime
 from decimal import Decimal as D
 
-from pyspark.sql import functions as F
 
 from stormcab import schemas
 from stormcab.operators import staging
