@@ -8,6 +8,7 @@ carry no DECIMAL columns (cast to DOUBLE), mirroring `oracle.model_select`.
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,7 @@ ORACLES: dict[str, str] = {}
 # above it, and lets all queries share one model graph.
 _GRAPHS: dict[tuple[str, str], Warehouse] = {}
 _LANDED: dict[tuple[str, str], DataFrame] = {}
+_LOCK = threading.RLock()  # queries may be planned from several threads
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -53,21 +55,23 @@ def materialize(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> D
 def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landed trip month derived from the benchmark tables (written once)."""
     k = _key(spark, sf_dir)
-    if k not in _LANDED:
-        _LANDED[k] = materialize(spark, sf_dir, "landed_trips", feeds.landed_trips(spark, sf_dir))
-    return _LANDED[k]
+    with _LOCK:
+        if k not in _LANDED:
+            _LANDED[k] = materialize(spark, sf_dir, "landed_trips", feeds.landed_trips(spark, sf_dir))
+        return _LANDED[k]
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The model graph over the written raw tables (one per application and dataset)."""
     k = _key(spark, sf_dir)
-    if k not in _GRAPHS:
-        raw = raw_from_driver_tables(spark, sf_dir, landed_trips(spark, sf_dir))
-        _GRAPHS[k] = Warehouse(RawTables(
-            trips=materialize(spark, sf_dir, "raw_taxi_trips_yellow", raw.trips),
-            weather=materialize(spark, sf_dir, "raw_weather_hourly", raw.weather),
-            zones=materialize(spark, sf_dir, "raw_taxi_zone_lookup", raw.zones)))
-    return _GRAPHS[k]
+    with _LOCK:
+        if k not in _GRAPHS:
+            raw = raw_from_driver_tables(spark, sf_dir, landed_trips(spark, sf_dir))
+            _GRAPHS[k] = Warehouse(RawTables(
+                trips=materialize(spark, sf_dir, "raw_taxi_trips_yellow", raw.trips),
+                weather=materialize(spark, sf_dir, "raw_weather_hourly", raw.weather),
+                zones=materialize(spark, sf_dir, "raw_taxi_zone_lookup", raw.zones)))
+        return _GRAPHS[k]
 
 
 def to_output(df: DataFrame, rounded: tuple[str, ...] = ()) -> DataFrame:
