@@ -286,6 +286,25 @@ def raw_extract_checks(trips: DataFrame, weather: DataFrame, weather_files: int)
     return errors
 
 
+def load_constraint_violations(table: str, df: DataFrame, schema, key: str | None) -> list[str]:
+    """K6: what the warehouse DDL would reject on load.
+
+    NOT NULL columns of the declared schema are counted in one aggregate
+    pass, and when `key` is given, duplicate non-NULL keys are counted too
+    (a partial-aggregated group-by).  Returns one message per violated
+    constraint.
+    """
+    required = [f.name for f in schema.fields if not f.nullable]
+    aggs = [F.count_if(F.col(c).isNull()).alias(c) for c in required]
+    row = df.agg(*aggs).first() if aggs else None
+    errors = [f"{table}.{c} has {row[c]} NULL rows" for c in required if row and row[c]]
+    if key:
+        dup = unique_failures(df, key).first()["n"]
+        if dup:
+            errors.append(f"{table}.{key} has {dup} duplicated keys")
+    return errors
+
+
 @dataclass(frozen=True)
 class WarehouseGate:
     """Q13-Q16 thresholds (defaults of the original settings)."""

@@ -18,6 +18,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators import normalize, quality, staging
 from ..sources import landed, writers
 from . import marts
@@ -72,6 +73,14 @@ def normalize_month(spark: SparkSession, landing: str, month: str, ingested_at:
                       trips_landed.isEmpty(), boroughs == 0)
 
 
+def load_constraints(raw: RawTables) -> list[str]:
+    """K6 before loading.  Trips need no key check (deduplicated on the key)
+    and their NOT NULL columns are literals, a file path and an MD5; weather
+    is deduplicated on its key too, but its hour may fail to parse."""
+    return (quality.load_constraint_violations(RAW_TABLES["weather"], raw.weather, schemas.RAW_WEATHER, None)
+            + quality.load_constraint_violations(RAW_TABLES["zones"], raw.zones, schemas.RAW_ZONE, "location_id"))
+
+
 def load_month(feeds: MonthFeeds, warehouse: str, month: str) -> None:
     """L3: K3 zone full refresh, K4/K5 month replacement of trips and weather."""
     raw = feeds.raw
@@ -164,6 +173,7 @@ def run_month(spark: SparkSession, landing: str, warehouse: str, month: str, *,
     month_feeds = normalize_month(spark, landing, month, ts, dataset, weather_multi_line)
     raw = month_feeds.raw
     report.raw_errors = quality.raw_extract_checks(raw.trips, raw.weather, month_feeds.boroughs)
+    report.raw_errors += load_constraints(raw)
     if report.raw_errors and fail:
         quality.raise_if_failed(report.raw_errors)
     load_month(month_feeds, warehouse, month)

@@ -156,3 +156,17 @@ def test_model_columns_follow_declared_order(spark):
     assert tuple(wh.fct_taxi_trips.columns) == marts.FCT_TRIP_COLUMNS and len(marts.FCT_TRIP_COLUMNS) == 48
     trips = prototype.clean_trips(feeds.landed_trips(spark, SMOKE))
     assert tuple(prototype.star_fact(trips).columns) == prototype.PROTO_FACT_COLUMNS
+
+
+def test_load_constraints_reject_what_the_ddl_rejects(spark):
+    from stormcab import schemas
+    from stormcab.plans.warehouse import RawTables
+    z = spark.createDataFrame([(1, "Bronx", "a", None, "f", datetime(2024, 1, 1)),
+                               (1, "Bronx", "b", None, "f", datetime(2024, 1, 1)),
+                               (2, None, "c", None, "f", datetime(2024, 1, 1))],
+                              "location_id int, borough string, zone string, service_zone string, "
+                              "source_file string, ingested_at timestamp_ntz")
+    errs = quality.load_constraint_violations("raw_taxi_zone_lookup", z, schemas.RAW_ZONE, "location_id")
+    assert any("borough has 1 NULL" in e for e in errs) and any("1 duplicated" in e for e in errs)
+    wh = Warehouse.from_driver_tables(spark, SMOKE)
+    assert job.load_constraints(RawTables(trips=wh.raw.trips, weather=wh.raw.weather, zones=wh.raw.zones)) == []
