@@ -61,3 +61,39 @@ def start_trip_landing_stream(spark: SparkSession, root: str, warehouse: str, da
          .option("checkpointLocation", f"{checkpoint_dir(spark)}/{name}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+RAW_WEATHER = "raw_weather_hourly"
+
+
+def load_changed_weather_months(spark: SparkSession, root: str, warehouse: str, multi_line: bool,
+                                ingested_at: str | None = None):
+    """foreachBatch handler: replace the raw weather of every month that received documents."""
+    from ..plans.job import run_timestamp
+
+    def handle(batch: DataFrame, epoch_id: int) -> None:
+        ts = ingested_at or run_timestamp()
+        for month in changed_months(batch):
+            docs = landed.read_weather_documents(spark, root, month, multi_line)
+            raw = normalize.raw_weather_from_documents(docs, ts)
+            writers.replace_month(raw, f"{warehouse}/{RAW_WEATHER}", "source_month", month)
+    return handle
+
+
+def start_weather_landing_stream(spark: SparkSession, root: str, warehouse: str, multi_line: bool = True,
+                                 name: str = "weather_landing", available_now: bool = True,
+                                 ingested_at: str | None = None) -> StreamingQuery:
+    """Like the trip stream, for weather documents under <root>/weather/year=/month=."""
+    from pyspark.sql import types as T
+
+    from .. import schemas
+    schema = T.StructType([*schemas.WEATHER_PAYLOAD.fields, T.StructField("year", T.IntegerType()),
+                           T.StructField("month", T.IntegerType())])
+    stream = (spark.readStream.schema(schema)
+              .option("multiLine", multi_line).option("basePath", f"{root}/weather")
+              .json(f"{root}/weather"))
+    w = (stream.writeStream
+         .foreachBatch(load_changed_weather_months(spark, root, warehouse, multi_line, ingested_at))
+         .option("checkpointLocation", f"{checkpoint_dir(spark)}/{name}"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()

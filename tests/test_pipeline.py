@@ -170,3 +170,15 @@ def test_load_constraints_reject_what_the_ddl_rejects(spark):
     assert any("borough has 1 NULL" in e for e in errs) and any("1 duplicated" in e for e in errs)
     wh = Warehouse.from_driver_tables(spark, SMOKE)
     assert job.load_constraints(RawTables(trips=wh.raw.trips, weather=wh.raw.weather, zones=wh.raw.zones)) == []
+
+
+def test_weather_streaming_loader_available_now(spark, scratch):
+    from stormcab.streaming.landing import start_weather_landing_stream
+    land, wh = f"{scratch}/landing", f"{scratch}/warehouse"
+    writers.land_weather_documents(feeds.landed_weather_documents(spark, SMOKE), land, "2024-01")
+    q = start_weather_landing_stream(spark, land, wh, multi_line=False, name=f"w{abs(hash(scratch))}",
+                                     ingested_at="2024-02-01 00:00:00")
+    q.awaitTermination(300)
+    raw = landed.read_table(spark, wh, "raw_weather_hourly")
+    assert raw.count() > 0
+    assert raw.count() == raw.select("weather_record_id").distinct().count()
