@@ -1 +1 @@
-"""operators."""
+"""DataFrame operators: raw normalisation, staging, checked broadcast joins, data quality."""

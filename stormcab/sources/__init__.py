@@ -1 +1 @@
-"""sources."""
+"""Readers of landed feeds and warehouse tables, sinks, derived benchmark feeds, input spreading."""

@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming loaders that replace landed months as files arrive."""
