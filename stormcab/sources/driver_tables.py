@@ -164,7 +164,7 @@ def landed_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     r = _weather_readings(spark, sf_dir)
     month = F.format_string("%04d-%02d", F.year("weather_ts_hour"), F.month("weather_ts_hour"))
-    chunk = F.floor(F.col("event_id") / READINGS_PER_DOCUMENT)
+    chunk = F.expr(f"event_id div {READINGS_PER_DOCUMENT}")
     reading = F.struct(
         F.col("weather_ts_hour").alias("h"), F.col("event_id").alias("e"),
         C.ts_text("weather_ts_hour", iso_minutes=True).alias("time"),
