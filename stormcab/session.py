@@ -57,14 +57,17 @@ def build_session(master: str | None = None, app_name: str = "stormcab",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (`spark.checkpoint.dir`).
 
-    Only when the setting is absent (local tests) a folder of our own is made
-    and registered; on a cluster the configured shared folder is always used.
+    Read from the session.  Only when neither that setting nor a context
+    checkpoint directory exists (local tests) a folder of our own is
+    registered with `setCheckpointDir`; the setting itself is never changed
+    (Spark does not allow it at runtime).
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
         return configured
+    existing = spark.sparkContext.getCheckpointDir()
+    if existing:
+        return existing
     local = tempfile.mkdtemp(prefix="stormcab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
-    return local
+    return spark.sparkContext.getCheckpointDir() or local
