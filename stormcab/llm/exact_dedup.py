@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,7 +145,7 @@ def probe(groups: DataFrame, slots: DataFrame, index: DataFrame, buckets: int) -
                     packed = (size + 7) // 8
                     levels.append(np.unpackbits(np.frombuffer(raw, np.uint8, packed, at + 8))[:size].astype(bool))
                     at += 8 + packed
-            rows = rows.filter(pa.compute.is_valid(rows.column("digest")))
+            rows = rows.filter(pc.is_valid(rows.column("digest")))
             if rows.num_rows:
                 found = lookup(levels, words_of(rows.column("digest")))
                 yield frame(schema, bucket=rows.column("bucket"), slot=found, digest=rows.column("digest"), winner=rows.column("winner"), n=rows.column("n"))
