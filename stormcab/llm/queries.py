@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, near_dedup, sharding, substring_dedup, token_counts
+from . import exact_dedup, language_id, near_dedup, projected_neighbours, sharding, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_sharding": sharding.op4_sharding,
+    "op7_projected_neighbours": projected_neighbours.op7_projected_neighbours,
     "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_language_id": language_id.op10_language_id,
