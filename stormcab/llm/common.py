@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # White space of the word rule `[^\x20\x09-\x0D]+`; `bytes.split()` follows the same rule.
@@ -21,22 +21,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """`df` written to the shared folder in `spark.checkpoint.dir` and read back, so that a lost
-    executor costs a re-read and not a recomputation of what came before.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint directory in the folder that `spark.checkpoint.dir` names.
 
-    Spark deletes the files when the frame is no longer used
-    (`spark.cleaner.referenceTracking.cleanCheckpoints`).  Only a session with
-    neither that setting nor a checkpoint directory (a local test) gets a folder here."""
-    sc = df.sparkSession.sparkContext
+    Only a local session with neither that setting nor a checkpoint directory (a test) gets a folder here."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp")))
+    return sc.getCheckpointDir()
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """`df` written to the shared folder and read back, so that a lost executor costs a re-read and not
+    a recomputation of what came before.
+
+    Spark deletes the files when the frame is no longer used
+    (`spark.cleaner.referenceTracking.cleanCheckpoints`)."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def row_of(text_col: str) -> Column:
+    """`row`: with the id, names a row even where one id has several texts."""
+    return F.xxhash64(text_col).alias("row")
+
+
+def kept_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of `docs` that `decided` (doc_id, row) names, each once."""
+    once = Window.partitionBy("doc_id", "row").orderBy("doc_id")
+    wanted = docs.withColumn("row", row_of("text")).join(decided.select("doc_id", "row"), ["doc_id", "row"], "left_semi")
+    return wanted.withColumn("again", F.row_number().over(once)).where("again = 1").select(*docs.columns)
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle width, used for explicit repartitionings."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -33,22 +33,24 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_signed, frame, mix64, saved, sorted_groups, split_join, table, texts
+from .common import frame, mix64, row_of, saved, sorted_groups, split_join, table, texts
 
 BUCKET_DIGESTS = 4096  # mean number of digests in a bucket
 GAMMA = 2.0  # bits of a level for each digest that is still unplaced
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, digest): SHA-256 of the text with A-Z lower-cased, as 32 bytes."""
-    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary())])
+    """(doc_id, row, digest): SHA-256 of the text with A-Z lower-cased, as 32 bytes; `row` tells apart
+    rows of one id with different texts."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("digest", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [hashlib.sha256(t.lower()).digest() for t in texts(batch, text_col)]  # bytes.lower is A-Z only
-            yield frame(schema, doc_id=batch.column(id_col).cast(pa.int64()), digest=hashes)
+            hashes = [hashlib.sha256(t.lower()).digest() for t in texts(batch)]  # bytes.lower is A-Z only
+            yield frame(schema, doc_id=batch.column("doc_id").cast(pa.int64()), row=batch.column("row"), digest=hashes)
 
-    return docs.select(id_col, text_col).mapInArrow(run, "doc_id long, digest binary")
+    named = docs.select(F.col(id_col).alias("doc_id"), row_of(text_col), F.col(text_col).alias("text"))
+    return named.mapInArrow(run, "doc_id long, row long, digest binary")
 
 
 def digest_groups(rows: DataFrame) -> DataFrame:
@@ -161,7 +163,7 @@ def probe(groups: DataFrame, slots: DataFrame, index: DataFrame, buckets: int) -
 
 
 def exact_dedup(docs: DataFrame, is_history, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256, repeats_history) for every row of `docs`.
+    """(doc_id, row, keep_id, group_size, kept, text_sha256, repeats_history) for every row of `docs`.
 
     `is_history` is a column over the id that tells which rows are the past; every row is in the
     result and groups run across both parts."""
@@ -178,7 +180,7 @@ def exact_dedup(docs: DataFrame, is_history, id_col: str = "doc_id", text_col: s
              .select("digest", F.col("winner").alias("keep_id"), F.col("n").alias("group_size"), F.lit(False).alias("member")))
     groups = saved(repeats.unionByName(new).unionByName(alone))
     return split_join(rows, groups, "digest", "group_size").select(
-        "doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"),
+        "doc_id", "row", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"), (~F.col("past") & F.col("member")).alias("repeats_history"))
 
 
@@ -189,7 +191,7 @@ def earlier_half(id_col: str = "doc_id"):
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winner, group size and digest of every document."""
-    return exact_dedup(table(spark, sf_dir, "documents"), earlier_half())
+    return exact_dedup(table(spark, sf_dir, "documents"), earlier_half()).drop("row")
 
 
 OP3_SQL = """

@@ -27,6 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Memo, frame, table, texts
 
@@ -126,10 +127,11 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     return Model(languages, known, grams_known, np.full(len(languages), -20.0))
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) for every row of `docs`."""
+def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """`docs` with lang_pred and score; columns of these names are replaced, all others passed through."""
+    own = [c for c in docs.columns if c not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.words, model.grams, model.floor))
-    kind = docs.schema[id_col].dataType.simpleString()
+    schema = T.StructType([*(docs.schema[c] for c in own), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
@@ -156,9 +158,9 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 odds = np.exp((mean - mean[best]) * min(len(words), EVIDENCE))
                 predicted.append(model.languages[best])
                 scores.append(float(1.0 / odds.sum()))
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())], [id_col, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(predicted, pa.string()), pa.array(scores, pa.float64())], [*own, "lang_pred", "score"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
+    return docs.select(*own).mapInArrow(run, schema)
 
 
 def model_mean(words: list[str], memo: Memo, rows: list[np.ndarray]) -> np.ndarray:
@@ -181,5 +183,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, by a model of the documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
     model = train(training_rows(docs))
-    found = identify(docs, model)
+    found = identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"), "lang_pred", "score")

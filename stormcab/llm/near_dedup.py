@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, as_signed, components, frame, mix64, partitions, saved, sorted_groups, split_join, table, texts, windows, word_hashes
+from .common import Memo, as_signed, components, frame, mix64, partitions, row_of, saved, sorted_groups, split_join, table, texts, windows, word_hashes
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 SYMBOLS, CHUNK, DISTANCE = 64, 4, 31
@@ -84,22 +84,22 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, cls, sig): one row for each document; cls identifies its shingle set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("sig", pa.binary())])
+def sketch(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, n_shingles, cls, sig): one row for each document; cls identifies its shingle set."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(xxhash.xxh3_64_intdigest, KEPT_WORDS)
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
                 batch = whole.slice(start, 500)
-                sets = [shingle_set(t, memo) for t in texts(batch, text_col)]
+                sets = [shingle_set(t, memo) for t in texts(batch)]
                 full = [s for s in sets if len(s)]
                 made = iter(signatures(full)) if full else iter(())
-                yield frame(schema, doc_id=batch.column(id_col).cast(pa.int64()), n_shingles=[len(s) for s in sets],
+                yield frame(schema, doc_id=batch.column("doc_id"), row=batch.column("row"), n_shingles=[len(s) for s in sets],
                             cls=[xxhash.xxh3_64_intdigest(s.tobytes()) >> 1 for s in sets], sig=[next(made).tobytes() if len(s) else None for s in sets])
 
-    return docs.select(id_col, text_col).mapInArrow(run, "doc_id long, n_shingles long, cls long, sig binary")
+    return docs.select("doc_id", row_of("text"), "text").mapInArrow(run, "doc_id long, row long, n_shingles long, cls long, sig binary")
 
 
 def chunk_keys(classes: DataFrame) -> DataFrame:
@@ -326,7 +326,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of `docs`."""
+    """(doc_id, row, n_shingles, component_id, kept) for every row of `docs`."""
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = saved(sketch(named))
     full = rows.where("n_shingles > 0 and doc_id is not null")
@@ -337,11 +337,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     parts = saved(parts)
     least = parts.groupBy("part").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("n"))
     named_parts = saved(split_join(parts, saved(least), "part", "n").select("cls", "rows", "component_id"))
-    found = split_join(full.drop("sig"), named_parts, "cls", "rows").select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    found = split_join(full.drop("sig"), named_parts, "cls", "rows").select("doc_id", "row", "n_shingles", "component_id")
+    alone = rows.where("n_shingles = 0 or doc_id is null").select("doc_id", "row", "n_shingles", F.col("doc_id").alias("component_id"))
     return found.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
-    return near_dedup(table(spark, sf_dir, "documents"))
+    return near_dedup(table(spark, sf_dir, "documents")).drop("row")

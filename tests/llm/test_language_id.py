@@ -36,9 +36,9 @@ def test_held_out_accuracy(spark):
 def test_labels_are_no_input_of_a_prediction(spark):
     docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
     model = language_id.train(language_id.training_rows(docs))
-    found = {r.doc_id: r for r in language_id.identify(docs, model).collect()}
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs, model).collect()}
     other = docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit(None).cast("string"))
-    assert {r.doc_id: r for r in language_id.identify(other, model).collect()} == found
+    assert {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(other, model).collect()} == found
 
 
 def test_edges(spark):
