@@ -1,26 +1,34 @@
 """Registered queries: name -> (Spark builder, DuckDB oracle SQL).
 
-Every builder takes (spark, sf_dir), reads the benchmark tables through the
-derived feeds and returns a lazy DataFrame over the whole tables.  Outputs
-carry no DECIMAL columns (cast to DOUBLE), mirroring `oracle.model_select`.
+Every builder takes (spark, sf_dir), reads the given tables through the
+derived feeds and returns a DataFrame over the whole tables.  A builder only
+plans: no job runs before the result is used, but for those of the load path
+(`src_*`, `sink_*`, `dq_raw_extract`, `dq_load_constraints`, `job_month_marts`), whose
+subject is writing and reading files.  They write under the shared folder in
+`spark.checkpoint.dir`.  Outputs carry no DECIMAL columns (cast to DOUBLE),
+mirroring `oracle.model_select`.
 """
 
 from __future__ import annotations
 
-import hashlib
-import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import normalize, quality
-from ..session import checkpoint_dir
-from ..sources import driver_tables as feeds
-from ..functions import fixed as serving_fixed
-from . import marts, oracle, prototype, serving
-from .warehouse import RawTables, Warehouse, raw_from_driver_tables
+from stormcab import schemas
+from stormcab.functions import columns as C
+from stormcab.functions import fixed as serving_fixed
+from stormcab.operators import normalize, quality
+from stormcab.plans import job, prototype, serving
+from stormcab.plans.warehouse import RawTables, Warehouse
+from stormcab.session import checkpoint_dir
+from stormcab.sources import landed as landed_files
+from stormcab.sources import writers
+
+from . import feeds, oracle
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -28,90 +36,25 @@ QUERIES: dict[str, Builder] = {}
 ORACLES: dict[str, str] = {}
 
 
-# The derived feeds play the part of the loaded raw tables: like the job,
-# which loads raw tables once and builds every model from them, the catalog
-# writes each derived feed once per (application, dataset) as Parquet under
-# the cluster's shared `spark.checkpoint.dir` and reads it back.  That cuts
-# the lineage (a lost executor recomputes from the written table, not from
-# the 4-way feed join), keeps Parquet pushdown and pruning for every model
-# above it, and lets all queries share one model graph.
-_GRAPHS: dict[tuple[str, str], Warehouse] = {}
-_LANDED: dict[tuple[str, str], DataFrame] = {}
-_LOCK = threading.RLock()  # queries may be planned from several threads
-
+def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.landed_trips(spark, sf_dir)
 
-def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return spark.sparkContext.applicationId, sf_dir
 
+def _file_columns() -> tuple:
+    month = F.col("file_month")
+    return month, feeds.trip_file(month), feeds.RUN_TS
 
-def materialize(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
-    """Write `df` once under the shared checkpoint folder and read it back."""
-    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
-    path = f"{checkpoint_dir(spark)}/stormcab-feeds/{spark.sparkContext.applicationId}/{tag}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
 
-
-def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landed trip month derived from the benchmark tables (written once)."""
-    k = _key(spark, sf_dir)
-    with _LOCK:
-        if k not in _LANDED:
-            _LANDED[k] = materialize(spark, sf_dir, "landed_trips", feeds.landed_trips(spark, sf_dir))
-        return _LANDED[k]
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    """The raw tables of the feed, all months."""
+    return RawTables(trips=normalize.raw_trips(landed_trips(spark, sf_dir), *_file_columns()),
+                     weather=feeds.raw_weather(spark, sf_dir),
+                     zones=normalize.raw_zones(feeds.landed_zones(spark, sf_dir), feeds.ZONE_FILE, feeds.RUN_TS))
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The model graph over the written raw tables (one per application and dataset)."""
-    k = _key(spark, sf_dir)
-    with _LOCK:
-        if k not in _GRAPHS:
-            raw = raw_from_driver_tables(spark, sf_dir, landed_trips(spark, sf_dir))
-            _GRAPHS[k] = Warehouse(RawTables(
-                trips=materialize(spark, sf_dir, "raw_taxi_trips_yellow", raw.trips),
-                weather=materialize(spark, sf_dir, "raw_weather_hourly", raw.weather),
-                zones=materialize(spark, sf_dir, "raw_taxi_zone_lookup", raw.zones)))
-        return _GRAPHS[k]
-
-
-class BuiltMarts:
-    """The warehouse after a build: marts as written tables, staging as views.
-
-    Serving and quality queries read marts the way the original analysis SQL,
-    dashboard and tests read the mart tables a build left behind; the model
-    queries themselves (stg_*, dim_*, fct_*) still compute their model.
-    """
-
-    def __init__(self, wh: Warehouse, tables: dict[str, DataFrame]):
-        self.wh = wh
-        self.tables = tables
-
-    def __getattr__(self, name: str) -> DataFrame:
-        tables = self.__dict__.get("tables", {})
-        return tables[name] if name in tables else getattr(self.__dict__["wh"], name)
-
-    def model(self, name: str) -> DataFrame:
-        return self.tables[name] if name in self.tables else self.wh.model(name)
-
-
-_BUILT: dict[tuple[str, str], BuiltMarts] = {}
-
-
-def built(spark: SparkSession, sf_dir: str) -> BuiltMarts:
-    """Dimensions and facts written once per (application, dataset); the
-    aggregate facts are computed from the written trip fact."""
-    k = _key(spark, sf_dir)
-    with _LOCK:
-        if k not in _BUILT:
-            wh = warehouse(spark, sf_dir)
-            t = {n: materialize(spark, sf_dir, n, getattr(wh, n))
-                 for n in ("dim_location", "dim_weather", "dim_date_time")}
-            fct = marts.fct_taxi_trips(wh.stg_taxi_trips, t["dim_location"], wh.stg_weather_hourly)
-            t["fct_taxi_trips"] = materialize(spark, sf_dir, "fct_taxi_trips", fct)
-            for n in ("fct_hourly_demand", "fct_fare_revenue", "fct_weather_impact"):
-                t[n] = materialize(spark, sf_dir, n, getattr(marts, n)(t["fct_taxi_trips"]))
-            _BUILT[k] = BuiltMarts(wh, t)
-        return _BUILT[k]
+    """The model graph over the feed: asking for a model plans what it depends on and nothing else."""
+    return Warehouse(raw_tables(spark, sf_dir))
 
 
 def to_output(df: DataFrame, rounded: tuple[str, ...] = ()) -> DataFrame:
@@ -153,21 +96,19 @@ for _m in Warehouse.MODELS:
 @register("norm_trips_rename_cast", oracle.with_models(oracle.model_select("norm_trips")))
 def norm_trips_rename_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed trips renamed, coerced, stamped and hashed (before dedup)."""
-    landed = landed_trips(spark, sf_dir)
-    return to_output(normalize.normalize_trips(landed, feeds.FEED_MONTH, feeds.FEED_TRIP_FILE, feeds.FEED_RUN_TS))
+    return to_output(normalize.normalize_trips(landed_trips(spark, sf_dir), *_file_columns()))
 
 
 @register("norm_trip_dedup_hash", oracle.with_models(oracle.model_select("raw_trips")))
 def norm_trip_dedup_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per record hash (deterministic winner)."""
-    landed = landed_trips(spark, sf_dir)
-    return to_output(normalize.raw_trips(landed, feeds.FEED_MONTH, feeds.FEED_TRIP_FILE, feeds.FEED_RUN_TS))
+    return to_output(normalize.raw_trips(landed_trips(spark, sf_dir), *_file_columns()))
 
 
 @register("norm_zone_lookup", oracle.with_models("SELECT * FROM raw_zone"))
 def norm_zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup renamed and stamped."""
-    return normalize.raw_zones(feeds.landed_zones(spark, sf_dir), feeds.FEED_ZONE_FILE, feeds.FEED_RUN_TS)
+    return normalize.raw_zones(feeds.landed_zones(spark, sf_dir), feeds.ZONE_FILE, feeds.RUN_TS)
 
 
 # --- serving queries ------------------------------------------------------------------
@@ -176,7 +117,7 @@ def _serve(name: str, sql: str, rounded: tuple[str, ...] = ()):
     """Register a serving query: `fn(warehouse) -> DataFrame` over whole marts."""
     def deco(fn):
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return to_output(fn(built(spark, sf_dir)), rounded)
+            return to_output(fn(warehouse(spark, sf_dir)), rounded)
         build.__name__ = name
         build.__doc__ = fn.__doc__
         rep = ", ".join(f"round({c}, {oracle.OUTPUT_DIGITS}) AS {c}" for c in rounded)
@@ -391,6 +332,57 @@ def _v22(wh: Warehouse) -> DataFrame:
     return serving.borough_severity_matrix(wh.fct_hourly_demand)
 
 
+# --- slicers: one query for each, on a fact it applies to ------------------------------
+
+@_serve("v_sliced_date", """
+SELECT c.hour_ts, CAST(SUM(h.trip_count) AS BIGINT) AS trip_count
+FROM fct_hourly_demand h JOIN dim_date_time c ON h.date_hour_key = c.date_hour_key
+WHERE CAST(h.pickup_hour AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-02-05' GROUP BY c.hour_ts""")
+def _s1(wh: Warehouse) -> DataFrame:
+    """F16: date range."""
+    return serving.hourly_trip_line(wh.fct_hourly_demand, wh.dim_date_time, serving.Slicers(date_from="2024-01-10", date_to="2024-02-05"))
+
+
+@_serve("v_sliced_borough", """
+SELECT l.borough, l.zone, l.location_id, CAST(SUM(h.trip_count) AS BIGINT) AS trip_count
+FROM fct_hourly_demand h JOIN dim_location l ON h.pickup_location_id = l.location_id
+WHERE h.pickup_borough IN ('Bronx', 'EWR') GROUP BY l.borough, l.zone, l.location_id""")
+def _s2(wh: Warehouse) -> DataFrame:
+    """F16: borough."""
+    return serving.zone_map(wh.fct_hourly_demand, wh.dim_location, serving.Slicers(boroughs=("Bronx", "EWR")))
+
+
+@_serve("v_sliced_severity", """
+SELECT pickup_borough AS borough, weather_severity, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
+       AVG(avg_trip_duration_min) AS average_trip_duration_min
+FROM fct_hourly_demand WHERE weather_severity IN ('light', 'severe') GROUP BY pickup_borough, weather_severity""", ("average_trip_duration_min",))
+def _s3(wh: Warehouse) -> DataFrame:
+    """F16: weather severity."""
+    return serving.borough_severity_matrix(wh.fct_hourly_demand, serving.Slicers(severities=("light", "severe")))
+
+
+@_serve("v_sliced_payment", _REVENUE_SQL.replace("FROM fct_fare_revenue", "FROM fct_fare_revenue WHERE payment_type_name = 'Cash'"))
+def _s4(wh: Warehouse) -> DataFrame:
+    """F16: payment type."""
+    return serving.revenue_measures(wh.fct_fare_revenue, serving.Slicers(payment_types=("Cash",)))
+
+
+@_serve("v_sliced_hour", """
+SELECT pickup_hour, CAST(SUM(trip_count) AS BIGINT) AS trip_count, AVG(avg_precipitation_mm) AS average_precipitation
+FROM fct_weather_impact WHERE hour(pickup_hour) IN (7, 8, 9) GROUP BY pickup_hour""", ("average_precipitation",))
+def _s5(wh: Warehouse) -> DataFrame:
+    """F16: hour of day."""
+    return serving.hourly_precip_trips(wh.fct_weather_impact, serving.Slicers(hours_of_day=(7, 8, 9)))
+
+
+@_serve("v_sliced_weather_group", """
+SELECT CAST(COALESCE(SUM(h.trip_count), 0) AS BIGINT) AS trip_count
+FROM fct_hourly_demand h WHERE h.weather_key IN (SELECT weather_key FROM dim_weather WHERE weather_group = 'rain')""")
+def _s6(wh: Warehouse) -> DataFrame:
+    """F16: weather group."""
+    return serving.trip_count(wh.fct_hourly_demand, serving.Slicers(weather_groups=("rain",)), wh.dim_weather)
+
+
 # --- data-quality queries -------------------------------------------------------------
 
 _CTE_OF = {"raw_taxi_trips_yellow": "raw_trips", "raw_weather_hourly": "raw_weather",
@@ -428,25 +420,25 @@ _REL_SQL = "\nUNION ALL\n".join(
 @register("dq_not_null", oracle.with_models(_NOT_NULL_SQL))
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1: NULL rows of the 23 declared not-null columns."""
-    return quality.not_null_checks(built(spark, sf_dir).model)
+    return quality.not_null_checks(warehouse(spark, sf_dir).model)
 
 
 @register("dq_unique", oracle.with_models(_UNIQUE_SQL))
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2: duplicated values of the 13 declared unique columns."""
-    return quality.unique_checks(built(spark, sf_dir).model)
+    return quality.unique_checks(warehouse(spark, sf_dir).model)
 
 
 @register("dq_accepted_values", oracle.with_models(_ACCEPTED_SQL))
 def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3-Q5: values outside the accepted lists."""
-    return quality.accepted_values_checks(built(spark, sf_dir).model)
+    return quality.accepted_values_checks(warehouse(spark, sf_dir).model)
 
 
 @register("dq_relationships", oracle.with_models(_REL_SQL))
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orphan foreign keys of the 6 declared relationships."""
-    return quality.relationship_checks(built(spark, sf_dir).model)
+    return quality.relationship_checks(warehouse(spark, sf_dir).model)
 
 
 @register("dq_trip_ranges", oracle.with_models(
@@ -454,7 +446,45 @@ def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     "trip_distance <= 0 OR fare_amount < 0 OR total_amount < 0 OR passenger_count < 0 OR passenger_count > 8"))
 def dq_trip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7: fact rows outside the valid ranges (empty = pass)."""
-    return to_output(quality.trip_range_violations(built(spark, sf_dir).fct_taxi_trips))
+    return to_output(quality.trip_range_violations(warehouse(spark, sf_dir).fct_taxi_trips))
+
+
+_RANGES = ("trip_duration_min <= 0 OR trip_distance <= 0 OR fare_amount < 0 OR total_amount < 0 OR passenger_count < 0 "
+           "OR passenger_count > 8")
+
+
+@register("dq_trip_ranges_raw", oracle.with_models(f"""
+SELECT record_hash, trip_duration_min FROM (
+  SELECT *, CAST(date_diff('microsecond', pickup_datetime, dropoff_datetime) AS DOUBLE) / 60000000.0::DOUBLE AS trip_duration_min FROM raw_trips) r
+WHERE {_RANGES}"""))
+def dq_trip_ranges_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7 on the raw trips, which have rows that staging removes."""
+    trips = raw_tables(spark, sf_dir).trips
+    timed = trips.withColumn("trip_duration_min", C.minutes_between("pickup_datetime", "dropoff_datetime"))
+    return quality.trip_range_violations(timed).select("record_hash", "trip_duration_min")
+
+
+@register("dq_weather_coverage_total", oracle.with_models(f"""
+SELECT weather_join_coverage, CAST({serving_fixed.MIN_WEATHER_JOIN_COVERAGE} AS DOUBLE) AS min_coverage,
+       weather_join_coverage >= CAST({serving_fixed.MIN_WEATHER_JOIN_COVERAGE} AS DOUBLE) AS passed
+FROM (SELECT COALESCE(CAST(COUNT(*) FILTER (WHERE weather_key <> 'unknown') AS DOUBLE) / CAST(NULLIF(COUNT(*), 0) AS DOUBLE), 0.0)
+               AS weather_join_coverage FROM fct_taxi_trips) c"""))
+def dq_weather_coverage_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9: weather join coverage of the whole table against the threshold."""
+    return quality.coverage_total(warehouse(spark, sf_dir).fct_taxi_trips)
+
+
+@register("dq_month_gate", oracle.with_models(f"""
+SELECT (SELECT COUNT(*) FROM raw_trips WHERE ingestion_month = DATE '{feeds.MONTHS[1]}-01') AS taxi_rows,
+       (SELECT COUNT(*) FROM raw_weather WHERE source_month = DATE '{feeds.MONTHS[1]}-01') AS weather_rows,
+       (SELECT CAST(COUNT(*) FILTER (WHERE weather_key <> 'unknown') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) FROM fct_taxi_trips
+        WHERE pickup_ts_local >= DATE '{feeds.MONTHS[1]}-01' AND pickup_ts_local < DATE '{feeds.MONTHS[2]}-01') AS weather_join_coverage,
+       CAST((SELECT COUNT(*) FROM fct_taxi_trips WHERE pickup_ts_local >= DATE '{feeds.MONTHS[1]}-01' AND pickup_ts_local < DATE '{feeds.MONTHS[2]}-01')
+        - (SELECT SUM(trip_count) FROM fct_hourly_demand WHERE pickup_hour >= DATE '{feeds.MONTHS[1]}-01' AND pickup_hour < DATE '{feeds.MONTHS[2]}-01') AS BIGINT) AS gap"""))
+def dq_month_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q13-Q16 figures of one month (F10 load month, F11 pickup month)."""
+    wh = warehouse(spark, sf_dir)
+    return quality.month_gate(feeds.MONTHS[1], wh.raw.trips, wh.raw.weather, wh.fct_taxi_trips, wh.fct_hourly_demand)
 
 
 @register("dq_weather_coverage", oracle.with_models(f"""
@@ -467,7 +497,7 @@ FROM (SELECT CAST(date_trunc('month', pickup_ts_local) AS DATE) AS pickup_month,
       FROM fct_taxi_trips GROUP BY 1) c"""))
 def dq_weather_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather join coverage per pickup month against the threshold."""
-    return quality.weather_coverage(built(spark, sf_dir).fct_taxi_trips)
+    return quality.weather_coverage(warehouse(spark, sf_dir).fct_taxi_trips)
 
 
 @register("dq_hourly_consistency", oracle.with_models("""
@@ -481,7 +511,7 @@ FULL OUTER JOIN (SELECT CAST(date_trunc('month', pickup_hour) AS DATE) AS pickup
   ON d.pickup_month = a.pickup_month"""))
 def dq_hourly_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip fact count minus hourly-mart rollup, per pickup month."""
-    wh = built(spark, sf_dir)
+    wh = warehouse(spark, sf_dir)
     return quality.hourly_consistency(wh.fct_taxi_trips, wh.fct_hourly_demand)
 
 
@@ -497,7 +527,7 @@ SELECT 'raw_weather_hourly' AS model, source_month AS month, COUNT(*) AS row_cou
 FROM raw_weather GROUP BY source_month"""))
 def dq_month_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per loaded month against the minimums."""
-    wh = built(spark, sf_dir)
+    wh = warehouse(spark, sf_dir)
     return quality.month_row_counts(wh.raw.trips, wh.raw.weather)
 
 
@@ -517,21 +547,15 @@ def _proto(name: str, sql: str, rounded: tuple[str, ...] = ()):
 
 
 def _proto_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prototype.clean_trips(landed_trips(spark, sf_dir))
+    return prototype.clean_trips(landed_trips(spark, sf_dir).drop("file_month"))
 
 
 @_proto("proto_star_fact", """
-SELECT t.trip_id, t."VendorID", t.trip_id AS datetime_id, t.trip_id AS passenger_count_id,
-       t.trip_id AS trip_distance_id, t.trip_id AS rate_code_id, t.store_and_fwd_flag,
-       pu.pickup_location_id, dl.dropoff_location_id, t.trip_id AS payment_type_id,
-       t.fare_amount, t.extra, t.mta_tax, t.tip_amount, t.tolls_amount, t.improvement_surcharge, t.total_amount
-FROM proto_trips t
-JOIN (SELECT "PULocationID", CAST(row_number() OVER (ORDER BY "PULocationID" NULLS FIRST) - 1 AS INTEGER)
-             AS pickup_location_id FROM (SELECT DISTINCT "PULocationID" FROM proto_trips) x) pu
-  ON t."PULocationID" = pu."PULocationID"
-JOIN (SELECT "DOLocationID", CAST(row_number() OVER (ORDER BY "DOLocationID" NULLS FIRST) - 1 AS INTEGER)
-             AS dropoff_location_id FROM (SELECT DISTINCT "DOLocationID" FROM proto_trips) y) dl
-  ON t."DOLocationID" = dl."DOLocationID\"""")
+SELECT trip_id, "VendorID", trip_id AS datetime_id, trip_id AS passenger_count_id,
+       trip_id AS trip_distance_id, trip_id AS rate_code_id, store_and_fwd_flag,
+       "PULocationID" AS pickup_location_id, "DOLocationID" AS dropoff_location_id, trip_id AS payment_type_id,
+       fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount
+FROM proto_trips WHERE "PULocationID" IS NOT NULL AND "DOLocationID" IS NOT NULL""")
 def _n6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prototype star fact (cleaned trips, location surrogates)."""
     return prototype.star_fact(_proto_trips(spark, sf_dir))
@@ -564,6 +588,48 @@ def _n4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prototype.rate_code_dim(_proto_trips(spark, sf_dir))
 
 
+_PAYMENT = " ".join(f"WHEN {k} THEN '{v}'" for k, v in serving_fixed.PAYMENT_TYPE_NAMES.items())
+
+
+@_proto("proto_payment_type_dim", f"""
+SELECT trip_id AS payment_type_id, payment_type,
+       CASE payment_type {_PAYMENT} ELSE '{serving_fixed.UNKNOWN_PAYMENT}' END AS payment_type_name
+FROM proto_trips""")
+def _n4b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prototype payment-type dimension with names."""
+    return prototype.payment_type_dim(_proto_trips(spark, sf_dir))
+
+
+@_proto("proto_passenger_count_dim", "SELECT trip_id AS passenger_count_id, passenger_count FROM proto_trips")
+def _n4c(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prototype passenger-count dimension."""
+    return prototype.passenger_count_dim(_proto_trips(spark, sf_dir))
+
+
+@_proto("proto_trip_distance_dim", "SELECT trip_id AS trip_distance_id, trip_distance FROM proto_trips")
+def _n4d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prototype trip-distance dimension."""
+    return prototype.trip_distance_dim(_proto_trips(spark, sf_dir))
+
+
+@_proto("proto_pickup_location_dim", 'SELECT DISTINCT "PULocationID" AS pickup_location_id, "PULocationID" FROM proto_trips')
+def _n5a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prototype pickup locations."""
+    return prototype.location_dim(_proto_trips(spark, sf_dir), "PULocationID", "pickup_location_id")
+
+
+@_proto("proto_dropoff_location_dim", 'SELECT DISTINCT "DOLocationID" AS dropoff_location_id, "DOLocationID" FROM proto_trips')
+def _n5b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prototype dropoff locations."""
+    return prototype.location_dim(_proto_trips(spark, sf_dir), "DOLocationID", "dropoff_location_id")
+
+
+@_proto("proto_date_bounds", "SELECT MIN(CAST(tpep_pickup_datetime AS DATE)) AS start_date, MAX(CAST(tpep_pickup_datetime AS DATE)) AS end_date FROM proto_trips")
+def _a11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last pickup date."""
+    return prototype.pickup_date_bounds(_proto_trips(spark, sf_dir))
+
+
 def _proto_trip_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = _proto_trips(spark, sf_dir)
     weather = prototype.weather_frame(feeds.raw_weather(spark, sf_dir))
@@ -591,11 +657,121 @@ def _n9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prototype.weather_hourly_mart(_proto_trip_weather(spark, sf_dir))
 
 
-@register("norm_weather_inline", oracle.with_models(oracle.WEATHER_DOC_SQL))
+_DOC_WEATHER = "SELECT * REPLACE (" + ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in oracle.WMEAS) + f") FROM ({oracle.WEATHER_DOC_SQL}) w"
+
+
+@register("norm_weather_inline", oracle.with_models(_DOC_WEATHER))
 def norm_weather_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weather documents (parallel hourly arrays) -> raw weather rows."""
+    """Weather documents of all months (parallel hourly arrays) -> raw weather rows."""
     docs = feeds.landed_weather_documents(spark, sf_dir)
-    return to_output(normalize.raw_weather_from_documents(docs, feeds.FEED_RUN_TS))
+    return to_output(normalize.raw_weather_from_documents(docs, F.col("requested_month"), feeds.RUN_TS))
+
+
+@register("norm_weather_month", oracle.with_models(
+    f"SELECT * FROM ({_DOC_WEATHER}) m WHERE source_month = DATE '{feeds.MONTHS[1]}-01'"))
+def norm_weather_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of one month; the month is the argument, the documents do not say it."""
+    docs = feeds.month_documents(spark, sf_dir, feeds.MONTHS[1]).drop("requested_month")
+    return to_output(normalize.raw_weather_from_documents(docs, feeds.MONTHS[1], feeds.RUN_TS))
+
+
+# --- load path: files under the shared folder -------------------------------------------
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4()}"
+
+
+@register("src_trip_parquet", oracle.with_models("SELECT * EXCLUDE (file_month) FROM landed_trips"))
+def src_trip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three landed trip months, read back together by name."""
+    root = _folder(spark, "trips")
+    for month in feeds.MONTHS:
+        writers.land_trip_month(feeds.landed_month(spark, sf_dir, month), root, month)
+    return landed_files.read_trip_months(spark, root, list(feeds.MONTHS)).drop("source_file")
+
+
+@register("src_weather_json", oracle.with_models(
+    f"SELECT * EXCLUDE (source_file) FROM ({_DOC_WEATHER}) m WHERE source_month = DATE '{feeds.MONTHS[0]}-01'"))
+def src_weather_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month of multi-line JSON documents, read back and normalised."""
+    root, month = _folder(spark, "weather"), feeds.MONTHS[0]
+    writers.land_weather_documents(feeds.month_documents(spark, sf_dir, month), root, month, multi_line=True)
+    docs = landed_files.read_weather_documents(spark, root, month)
+    return to_output(normalize.raw_weather_from_documents(docs, month, feeds.RUN_TS)).drop("source_file")
+
+
+@register("src_zone_csv", oracle.with_models("SELECT location_id, borough, zone, service_zone FROM raw_zone"))
+def src_zone_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3/K3: the zone lookup as CSV, read back."""
+    root = _folder(spark, "zones")
+    writers.land_zone_lookup(feeds.landed_zones(spark, sf_dir), root)
+    zones = normalize.raw_zones(landed_files.read_zone_lookup(spark, root), feeds.ZONE_FILE, feeds.RUN_TS)
+    return zones.select("location_id", "borough", "zone", "service_zone")
+
+
+def _monthly_trips(spark: SparkSession, sf_dir: str, month: str) -> DataFrame:
+    return normalize.raw_trips(feeds.landed_month(spark, sf_dir, month), month, feeds.trip_file(F.lit(month)), feeds.RUN_TS)
+
+
+@register("sink_month_replace", oracle.with_models(
+    f"SELECT record_hash, ingestion_month FROM raw_trips WHERE ingestion_month <> DATE '{feeds.MONTHS[1]}-01' OR vendor_id = 1",
+    replaced=oracle.LOADED))
+def sink_month_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: three months loaded, the second replaced by the trips of one vendor, read back."""
+    path = _folder(spark, "raw")
+    for month in feeds.MONTHS:
+        writers.replace_month(_monthly_trips(spark, sf_dir, month), path, "ingestion_month", month)
+    again = _monthly_trips(spark, sf_dir, feeds.MONTHS[1]).where("vendor_id = 1")
+    writers.replace_month(again, path, "ingestion_month", feeds.MONTHS[1])
+    return spark.read.parquet(path).select("record_hash", "ingestion_month")
+
+
+@register("sink_csv_export", oracle.with_models("SELECT location_id, borough, zone, service_zone, is_nyc_borough FROM dim_location"))
+def sink_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: a dimension exported as CSV, read back."""
+    path = _folder(spark, "export")
+    dim = warehouse(spark, sf_dir).dim_location
+    writers.export_csv(dim, path)
+    return spark.read.schema(dim.schema).option("header", True).csv(path)
+
+
+@register("dq_raw_extract", oracle.with_models(f"""
+SELECT COUNT(DISTINCT borough) AS documents, COUNT(*) AS weather_rows,
+       CAST((COUNT(DISTINCT borough) <> {serving_fixed.WEATHER_FILES_PER_MONTH})::INTEGER
+            + (COUNT(*) <= {serving_fixed.MIN_WEATHER_EXTRACT_ROWS})::INTEGER AS BIGINT) AS failures
+FROM raw_weather WHERE source_month = DATE '{feeds.MONTHS[0]}-01'""", replaced=oracle.LOADED))
+def dq_raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q10-Q12: schema and counts of one month's extract."""
+    month = feeds.MONTHS[0]
+    docs = feeds.month_documents(spark, sf_dir, month)
+    weather = normalize.raw_weather_from_documents(docs, month, feeds.RUN_TS)
+    found = docs.count()
+    errors = quality.raw_extract_checks(_monthly_trips(spark, sf_dir, month), weather, found)
+    return weather.agg(F.lit(found).cast("bigint").alias("documents"), F.count(F.lit(1)).alias("weather_rows"), F.lit(len(errors)).cast("bigint").alias("failures"))
+
+
+@register("dq_load_constraints", oracle.with_models("""
+SELECT 'raw_taxi_zone_lookup' AS model, 'location_id' AS column_name, COUNT(*) AS failures FROM raw_zone WHERE location_id % 5 = 0
+UNION ALL SELECT 'raw_taxi_zone_lookup', 'zone', COUNT(*) FROM raw_zone WHERE location_id % 5 = 0"""))
+def dq_load_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: constraint violations of a zone table in which every fifth zone is there twice, once without its name."""
+    zones = raw_tables(spark, sf_dir).zones
+    twice = zones.unionByName(zones.where("location_id % 5 = 0").withColumn("zone", F.lit(None).cast("string")))
+    found = quality.constraint_counts(twice, schemas.RAW_ZONE, "location_id")
+    return spark.createDataFrame([("raw_taxi_zone_lookup", c, n) for c, n in found.items() if n], "model string, column_name string, failures bigint")
+
+
+@register("job_month_marts", oracle.with_models(oracle.model_select("fct_hourly_demand"), replaced=oracle.LOADED))
+def job_month_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1-L3: three months landed, loaded month by month, marts built and published; the hourly mart."""
+    landing, root = _folder(spark, "landing"), _folder(spark, "warehouse")
+    writers.land_zone_lookup(feeds.landed_zones(spark, sf_dir), landing)
+    for month in feeds.MONTHS:
+        writers.land_trip_month(feeds.landed_month(spark, sf_dir, month), landing, month)
+        writers.land_weather_documents(feeds.month_documents(spark, sf_dir, month), landing, month)
+        job.load_month(spark, job.normalize_month(spark, landing, root, month, feeds.RUN_TS, weather_multi_line=False), root, month)
+    job.build_marts(spark, root)
+    return to_output(job.read_mart(spark, root, "fct_hourly_demand").drop(job.PICKUP_MONTH))
 
 
 def queries() -> dict[str, Builder]:

@@ -9,8 +9,9 @@ a client library renders decimals.
 
 from __future__ import annotations
 
-from ..functions import fixed
-from ..sources import driver_tables as feeds
+from stormcab.functions import fixed
+
+from . import feeds
 
 
 def _case(expr: str, values: tuple[str, ...]) -> str:
@@ -46,19 +47,24 @@ def _day_key(ts: str) -> str:
     return f"CAST(strftime({ts}, '%Y%m%d') AS BIGINT)"
 
 
+def _mean_minutes(x: str) -> str:
+    return f"CAST(SUM(CAST(round({x} * 60000000.0) AS BIGINT)) AS DOUBLE) / 60000000.0 / CAST(COUNT({x}) AS DOUBLE)"
+
+
 def _mean(x: str) -> str:
     return f"CAST(SUM({x}) AS DOUBLE) / CAST(COUNT({x}) AS DOUBLE)"
 
 
 TS = "'%Y-%m-%d %H:%M:%S'"
-START = f"TIMESTAMP '{feeds.FEED_START}'"
-RUN = f"TIMESTAMP '{feeds.FEED_RUN_TS}'"
-MONTH = f"DATE '{feeds.FEED_MONTH}-01'"
+START = f"TIMESTAMP '{feeds.START}'"
+RUN = f"TIMESTAMP '{feeds.RUN_TS}'"
 MONEY = ("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge",
          "total_amount", "congestion_surcharge", "airport_fee", "cbd_congestion_fee")
 WMEAS = ("temperature_2m", "precipitation_mm", "rain_mm", "snowfall_cm", "wind_speed_10m")
 
-_PICKUP = f"({START} + to_minutes(CAST((l.l_orderkey * 37 + l.l_partkey * 11 + l.l_linenumber * 101) % 43200 AS BIGINT)))"
+_DAY = f"(date_diff('day', DATE '{feeds.FIRST_SHIP_DATE}', CAST(l.l_shipdate AS DATE)) % {feeds.DAYS})"
+_PICKUP = (f"({START} + to_seconds(CAST({_DAY} * 86400 + (l.l_orderkey * 37 + l.l_partkey * 11 + l.l_linenumber * 101) % 1440 * 60 "
+           "+ l.l_orderkey % 60 AS BIGINT)))")
 _FARE_C = ("(CASE WHEN l.l_suppkey % 29 = 0 THEN NULL WHEN l.l_partkey % 211 = 0 THEN 120000 "
            "ELSE (l.l_partkey * 31 + l.l_suppkey * 17 + l.l_linenumber * 1009) % 12000 - 100 END)")
 
@@ -68,13 +74,13 @@ SELECT
   CAST(1 + l.l_suppkey % 2 AS INTEGER) AS "VendorID",
   {_PICKUP} AS tpep_pickup_datetime,
   CASE WHEN l.l_partkey % 97 = 0 THEN NULL
-       ELSE {_PICKUP} + to_minutes(CAST(l.l_quantity AS BIGINT) - 2) END AS tpep_dropoff_datetime,
+       ELSE {_PICKUP} + to_seconds((CAST(l.l_quantity AS BIGINT) - 2) * 60 + l.l_partkey % 45) END AS tpep_dropoff_datetime,
   CAST(CASE WHEN l.l_partkey % 13 = 0 THEN NULL ELSE l.l_suppkey % 10 END AS DOUBLE) AS passenger_count,
   CAST((l.l_partkey * 7919 + CAST(l.l_quantity AS BIGINT) * 131 + l.l_linenumber * 17) % 21000 AS DOUBLE) / 100 AS trip_distance,
   CAST(NULLIF(l.l_partkey % 8, 0) AS DOUBLE) AS "RatecodeID",
   l.l_returnflag AS store_and_fwd_flag,
-  CAST(s.s_nationkey + 1 AS INTEGER) AS "PULocationID",
-  CAST(oc.c_nationkey + 1 AS INTEGER) AS "DOLocationID",
+  CAST(CASE WHEN l.l_partkey % 41 = 0 THEN {feeds.UNLISTED_PICKUP} ELSE s.s_nationkey + 1 END AS INTEGER) AS "PULocationID",
+  CAST(CASE WHEN l.l_partkey % 43 = 0 THEN {feeds.UNLISTED_DROPOFF} ELSE oc.c_nationkey + 1 END AS INTEGER) AS "DOLocationID",
   CAST(l.l_linenumber AS BIGINT) AS payment_type,
   CAST({_FARE_C} AS DOUBLE) / 100 AS fare_amount,
   CAST(l.l_linenumber * 50 AS DOUBLE) / 100 AS extra,
@@ -85,7 +91,8 @@ SELECT
   CAST(COALESCE({_FARE_C}, 0) + l.l_suppkey % 500 + l.l_linenumber * 50 + 150 AS DOUBLE) / 100 AS total_amount,
   CASE WHEN l.l_linenumber % 3 = 0 THEN NULL ELSE 2.5::DOUBLE END AS congestion_surcharge,
   0.0::DOUBLE AS "Airport_fee",
-  CAST(NULL AS DOUBLE) AS cbd_congestion_fee
+  CAST(NULL AS DOUBLE) AS cbd_congestion_fee,
+  CASE WHEN l.l_partkey % 53 = 0 THEN '{feeds.MONTHS[-1]}' ELSE strftime({_PICKUP}, '%Y-%m') END AS file_month
 FROM lineitem l
 JOIN (SELECT o.o_orderkey, c.c_nationkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey) oc
   ON l.l_orderkey = oc.o_orderkey
@@ -125,8 +132,8 @@ FROM (
     TRY_CAST(cbd_congestion_fee AS DECIMAL(12,2)) AS cbd_congestion_fee,
     date_trunc('hour', TRY_CAST(tpep_pickup_datetime AS TIMESTAMP)) AS pickup_hour,
     CAST(TRY_CAST(tpep_pickup_datetime AS TIMESTAMP) AS DATE) AS pickup_date,
-    {MONTH} AS ingestion_month,
-    '{feeds.FEED_TRIP_FILE}' AS source_file,
+    CAST(file_month || '-01' AS DATE) AS ingestion_month,
+    'yellow_tripdata_' || file_month || '.parquet' AS source_file,
     {RUN} AS ingested_at
   FROM landed_trips
 ) t"""),
@@ -142,14 +149,14 @@ QUALIFY row_number() OVER (PARTITION BY record_hash ORDER BY
 SELECT
   event_id,
   {_case('user_id % 5', feeds.REGION_BOROUGHS)} AS borough,
-  date_trunc('hour', ts) AS weather_ts_hour,
-  ts,
+  date_trunc('hour', ts + to_days(CAST(event_id % 3 * 30 AS INTEGER))) AS weather_ts_hour,
+  ts + to_days(CAST(event_id % 3 * 30 AS INTEGER)) AS ts,
   CAST(CAST(event_id % 700 AS DOUBLE) / 10 - 5 AS DECIMAL(8,2)) AS temperature_2m,
   CAST(CASE WHEN event_id % 7 = 0 THEN NULL
-            WHEN event_id % 3 = 0 THEN CAST(CAST(event_id % 120 AS DOUBLE) / 10 AS DECIMAL(8,2))
+            WHEN event_id % 4 = 0 THEN CAST(CAST(event_id % 120 AS DOUBLE) / 10 AS DECIMAL(8,2))
             ELSE 0 END AS DECIMAL(8,2)) AS precipitation_mm,
-  CAST(CASE WHEN event_id % 6 = 0 THEN CAST(CAST(event_id % 120 AS DOUBLE) / 10 AS DECIMAL(8,2)) ELSE 0 END AS DECIMAL(8,2)) AS rain_mm,
-  CAST(CASE WHEN event_id % 9 = 0 THEN CAST(CAST(event_id % 50 AS DOUBLE) / 10 AS DECIMAL(8,2)) ELSE 0 END AS DECIMAL(8,2)) AS snowfall_cm,
+  CAST(CASE WHEN event_id % 8 = 0 THEN CAST(CAST(event_id % 120 AS DOUBLE) / 10 AS DECIMAL(8,2)) ELSE 0 END AS DECIMAL(8,2)) AS rain_mm,
+  CAST(CASE WHEN event_id % 10 = 0 THEN CAST(CAST(event_id % 50 AS DOUBLE) / 10 AS DECIMAL(8,2)) ELSE 0 END AS DECIMAL(8,2)) AS snowfall_cm,
   CAST(event_id % 210 AS DECIMAL(8,2)) AS wind_speed_10m,
   CAST(CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id % 100 END AS INTEGER) AS weathercode
 FROM events"""),
@@ -167,9 +174,9 @@ SELECT
   CASE WHEN n_nationkey = {feeds.EWR_NATION} THEN 'EWR' ELSE {_case('n_regionkey', feeds.REGION_BOROUGHS)} END AS borough,
   n_name AS zone,
   {_case('n_nationkey % 3', feeds.SERVICE_ZONES)} AS service_zone,
-  '{feeds.FEED_ZONE_FILE}' AS source_file,
+  '{feeds.ZONE_FILE}' AS source_file,
   {RUN} AS ingested_at
-FROM nation WHERE n_nationkey <> {feeds.MISSING_NATION}"""),
+FROM nation"""),
     ("stg_taxi_trips", f"""
 SELECT
   record_hash AS trip_id, vendor_id,
@@ -285,7 +292,7 @@ SELECT
   COUNT(*) AS trip_count,
   SUM(passenger_count) AS passenger_count_total,
   {_mean('trip_distance')} AS avg_trip_distance,
-  AVG(trip_duration_min) AS avg_trip_duration_min,
+  {_mean_minutes('trip_duration_min')} AS avg_trip_duration_min,
   {_mean('fare_amount')} AS avg_fare_amount,
   {_mean('total_amount')} AS avg_total_amount
 FROM fct_taxi_trips
@@ -311,7 +318,7 @@ SELECT
   COUNT(*) AS trip_count,
   {_mean('fare_amount')} AS avg_fare_amount,
   {_mean('total_amount')} AS avg_total_amount,
-  AVG(trip_duration_min) AS avg_trip_duration_min,
+  {_mean_minutes('trip_duration_min')} AS avg_trip_duration_min,
   {_mean('trip_distance')} AS avg_trip_distance,
   {_mean('precipitation_mm')} AS avg_precipitation_mm,
   {_mean('temperature_2m')} AS avg_temperature_2m,
@@ -333,9 +340,10 @@ DECIMALS: dict[str, tuple[str, ...]] = {
 }
 
 
-def with_models(select: str, extra_ctes: list[tuple[str, str]] | None = None) -> str:
-    """`WITH <model CTEs> <select>`; DuckDB ignores the CTEs the select does not use."""
-    parts = [f"{name} AS ({body}\n)" for name, body in CTES + (extra_ctes or [])]
+def with_models(select: str, extra_ctes: list[tuple[str, str]] | None = None, replaced: dict[str, str] | None = None) -> str:
+    """`WITH <model CTEs> <select>`; DuckDB ignores the CTEs the select does not use.
+    `replaced` gives other definitions of some models."""
+    parts = [f"{name} AS ({(replaced or {}).get(name, body)}\n)" for name, body in CTES + (extra_ctes or [])]
     return "WITH " + ",\n".join(parts) + "\n" + select
 
 
@@ -387,7 +395,7 @@ PROTO_CTES: list[tuple[str, str]] = [
     ("proto_trips", f"""
 SELECT md5(concat_ws('|', {', '.join(_canon(n, k) for n, k in LANDED_KINDS)})) AS trip_id, d.*,
        {_DURATION} AS trip_duration_min
-FROM (SELECT DISTINCT * FROM landed_trips) d
+FROM (SELECT DISTINCT * EXCLUDE (file_month) FROM landed_trips) d
 WHERE tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL
   AND {_DURATION} > 0 AND fare_amount >= 0 AND trip_distance > 0"""),
     ("proto_weather", f"""
@@ -408,18 +416,17 @@ LEFT JOIN proto_weather w ON date_trunc('hour', t.tpep_pickup_datetime) = w.weat
 ]
 
 
-# weather documents -> raw rows: the first reading per borough-hour in document
-# order is the one with the smallest event id (documents are cut by event id and
-# sorted by (hour, event) inside)
+# weather documents -> raw rows: a document has the first reading (smallest event id) of each hour
 WEATHER_DOC_SQL = f"""
 SELECT md5(borough || '|' || strftime(weather_ts_hour, {TS})) AS weather_record_id,
-       borough, weather_ts_hour,
-       CAST(temperature_2m AS DOUBLE) AS temperature_2m, CAST(precipitation_mm AS DOUBLE) AS precipitation_mm,
-       CAST(rain_mm AS DOUBLE) AS rain_mm, CAST(snowfall_cm AS DOUBLE) AS snowfall_cm,
-       CAST(wind_speed_10m AS DOUBLE) AS wind_speed_10m, weathercode,
+       borough, weather_ts_hour, temperature_2m, precipitation_mm, rain_mm, snowfall_cm, wind_speed_10m, weathercode,
        CAST(date_trunc('month', weather_ts_hour) AS DATE) AS source_month,
-       printf('weather/%s/%s/part-%012d.json', strftime(weather_ts_hour, '%Y-%m'), borough,
-              event_id // {feeds.READINGS_PER_DOCUMENT}) AS source_file,
+       'weather/' || strftime(weather_ts_hour, '%Y-%m') || '/' || borough || '.json' AS source_file,
        {RUN} AS ingested_at
 FROM readings
 QUALIFY row_number() OVER (PARTITION BY borough, weather_ts_hour ORDER BY event_id) = 1"""
+
+# trips loaded month by month: deduplicated inside each month
+MONTHLY_TRIPS_SQL = dict(CTES)["raw_trips"].replace("PARTITION BY record_hash", "PARTITION BY ingestion_month, record_hash")
+# the raw tables as the job leaves them
+LOADED = {"raw_trips": MONTHLY_TRIPS_SQL, "raw_weather": WEATHER_DOC_SQL}

@@ -57,9 +57,22 @@ def is_rush_hour(ts: ColumnOrName) -> Column:
     return F.hour(_c(ts)).isin(*fixed.RUSH_HOURS)
 
 
+def _clock_micros(ts: ColumnOrName) -> Column:
+    """Microseconds of a TIMESTAMP_NTZ since 1970-01-01 00:00 on the same clock, by its fields."""
+    t = _c(ts)
+    seconds = F.unix_date(t.cast("date")).cast("bigint") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+    return seconds * 1000000 + (F.date_part(F.lit("SECOND"), t) * 1000000).cast("bigint")
+
+
 def minutes_between(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Fractional minutes from start to end (epoch-seconds difference / 60)."""
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)).cast("double") / F.lit(60000000.0)
+    """Fractional minutes of wall-clock time from start to end, whatever the session zone."""
+    return (_clock_micros(end) - _clock_micros(start)).cast("double") / F.lit(60000000.0)
+
+
+def mean_minutes(c: ColumnOrName) -> Column:
+    """Average of minutes that come from whole microseconds: an exact integer sum, divided once."""
+    x = _c(c)
+    return F.sum(F.round(x * F.lit(60000000.0)).cast("bigint")).cast("double") / F.lit(60000000.0) / F.count(x).cast("double")
 
 
 # --- code lookups -------------------------------------------------------------

@@ -13,6 +13,7 @@ Per table, all not_null columns are counted in one scan.
 
 from __future__ import annotations
 
+import calendar
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -20,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .joins import bounded_broadcast
 
 
 class QualityCheckError(RuntimeError):
@@ -131,36 +131,31 @@ def _by_model(decls):
 def accepted_values_checks(models: Models) -> DataFrame:
     """Q3-Q5: distinct values outside the accepted list (NULL passes).
 
-    One aggregate pass per model: COUNT(DISTINCT CASE WHEN bad THEN value END)
-    for each declared column.
+    One pass per model: each row gives its bad values, grouped with combining
+    before the shuffle.
     """
     frames = []
     for m, decls in _by_model(ACCEPTED_VALUES).items():
-        aggs = [F.count_distinct(F.when(~F.col(c).isin(*values), F.col(c))).alias(f"n{i}")
-                for i, (c, values) in enumerate(decls)]
-        agg = models(m).agg(*aggs)
-        frames += [_result(agg, "accepted_values", m, c, F.col(f"n{i}")) for i, (c, _) in enumerate(decls)]
+        bad = [F.when(~F.col(c).isin(*values), F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))) for c, values in decls]
+        found = (models(m).select(F.explode(F.array_compact(F.array(*bad))).alias("b")).groupBy("b").agg(F.lit(1).alias("one"))
+                 .agg(*[F.count_if(F.col("b.c") == c).alias(f"n{i}") for i, (c, _) in enumerate(decls)]))
+        frames += [_result(found, "accepted_values", m, c, F.col(f"n{i}")) for i, (c, _) in enumerate(decls)]
     return _union(frames)
 
 
 def relationship_checks(models: Models) -> DataFrame:
     """Orphan child rows per declared relationship.
 
-    One pass over each child table: every parent's distinct keys are left-
-    joined (broadcast after a size check; distinct keys, so no fan-out) and
-    the orphans of all foreign keys are counted in the same aggregate.
+    The child's rows are first counted by foreign key (combined before the
+    shuffle, so a key with a third of all rows is one row per task); the
+    counts then meet the parent's distinct keys.
     """
     frames = []
-    for m, decls in _by_model(RELATIONSHIPS).items():
-        df = models(m)
-        aggs = []
-        for i, (c, parent, pc) in enumerate(decls):
-            k = f"_pk{i}"
-            keys = bounded_broadcast(models(parent).select(F.col(pc).alias(k)).distinct())
-            df = df.join(keys, F.col(c) == F.col(k), "left")
-            aggs.append(F.count_if(F.col(c).isNotNull() & F.col(k).isNull()).alias(f"n{i}"))
-        agg = df.agg(*aggs)
-        frames += [_result(agg, "relationships", m, c, F.col(f"n{i}")) for i, (c, _, _) in enumerate(decls)]
+    for m, c, parent, pc in RELATIONSHIPS:
+        counts = models(m).filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+        keys = models(parent).select(F.col(pc).alias("_k")).distinct()
+        orphans = counts.join(keys, "_k", "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
+        frames.append(_result(orphans, "relationships", m, c, F.col("n")))
     return _union(frames)
 
 
@@ -187,12 +182,19 @@ def weather_coverage(fct: DataFrame, min_coverage: float = fixed.MIN_WEATHER_JOI
 
 
 def overall_weather_coverage(fct: DataFrame) -> DataFrame:
-    """Q9: whole-table coverage (0.0 on an empty table, which then fails)."""
+    """Q9: whole-table coverage in one row (0.0 on an empty table, which then fails)."""
     return fct.agg(F.coalesce(F.count_if(F.col("weather_key") != fixed.UNKNOWN_WEATHER).cast("double")
                               / F.nullif(F.count(F.lit(1)), F.lit(0)).cast("double"),
                               F.lit(0.0)).alias("weather_join_coverage"))
 
 
+def coverage_total(fct: DataFrame, min_coverage: float = fixed.MIN_WEATHER_JOIN_COVERAGE) -> DataFrame:
+    """Q9 as declared: whole-table coverage against the threshold."""
+    return overall_weather_coverage(fct).select(
+        "weather_join_coverage", F.lit(min_coverage).alias("min_coverage"),
+        (F.col("weather_join_coverage") >= min_coverage).alias("passed"))
+
+
 def hourly_consistency(fct: DataFrame, hourly: DataFrame) -> DataFrame:
     """Trips in the fact minus trips rolled up in the hourly mart, per month.
 
@@ -229,43 +231,11 @@ def month_row_counts(raw_trips: DataFrame, raw_weather: DataFrame,
 
 
 def generic_checks(models: Models) -> DataFrame:
-    """All 46 declared generic checks as one result frame (family by family)."""
+    """All 46 declared generic checks as one result frame."""
     return _union([not_null_checks(models), unique_checks(models), accepted_values_checks(models),
                    relationship_checks(models)])
 
 
-def generic_checks_by_model(models: Models) -> DataFrame:
-    """The same 46 results, reading each model at most twice.
-
-    Per model, one aggregate pass counts every not-null, accepted-value and
-    relationship failure (parents left-joined by broadcast after a size
-    check); unique keys need their own group-by.  Same rows as
-    `generic_checks`.
-    """
-    accepted, rels = _by_model(ACCEPTED_VALUES), _by_model(RELATIONSHIPS)
-    names = list(dict.fromkeys([*NOT_NULL, *accepted, *rels]))
-    frames = []
-    for m in names:
-        df = models(m)
-        aggs, meta = [], []
-        for c in NOT_NULL.get(m, ()):
-            aggs.append(F.count_if(F.col(c).isNull()))
-            meta.append(("not_null", c))
-        for c, values in accepted.get(m, ()):
-            aggs.append(F.count_distinct(F.when(~F.col(c).isin(*values), F.col(c))))
-            meta.append(("accepted_values", c))
-        for i, (c, parent, pc) in enumerate(rels.get(m, ())):
-            k = f"_pk{i}"
-            keys = bounded_broadcast(models(parent).select(F.col(pc).alias(k)).distinct())
-            df = df.join(keys, F.col(c) == F.col(k), "left")
-            aggs.append(F.count_if(F.col(c).isNotNull() & F.col(k).isNull()))
-            meta.append(("relationships", c))
-        agg = df.agg(*[a.alias(f"n{i}") for i, a in enumerate(aggs)])
-        frames += [_result(agg, check, m, c, F.col(f"n{i}")) for i, (check, c) in enumerate(meta)]
-    frames += [_result(unique_failures(models(m), c), "unique", m, c, F.col("n")) for m, c in UNIQUE]
-    return _union(frames)
-
-
 # --- raw-file checks (schema and counts of a processed extract) ------------------
 
 def raw_extract_checks(trips: DataFrame, weather: DataFrame, weather_files: int) -> list[str]:
@@ -276,33 +246,29 @@ def raw_extract_checks(trips: DataFrame, weather: DataFrame, weather_files: int)
     """
     errors = []
     if weather_files != fixed.WEATHER_FILES_PER_MONTH:
-        errors.append(f"Expected {fixed.WEATHER_FILES_PER_MONTH} borough weather files, found {weather_files}")
+        errors.append(f"weather documents: {weather_files} found, {fixed.WEATHER_FILES_PER_MONTH} required")
     if not set(fixed.REQUIRED_PROCESSED_TAXI_COLUMNS).issubset(trips.columns):
-        errors.append("Processed taxi columns are incomplete")
+        errors.append(f"trip extract: columns {sorted(set(fixed.REQUIRED_PROCESSED_TAXI_COLUMNS) - set(trips.columns))} are missing")
     if not set(fixed.REQUIRED_PROCESSED_WEATHER_COLUMNS).issubset(weather.columns):
-        errors.append("Processed weather columns are incomplete")
+        errors.append(f"weather extract: columns {sorted(set(fixed.REQUIRED_PROCESSED_WEATHER_COLUMNS) - set(weather.columns))} are missing")
     elif weather.limit(fixed.MIN_WEATHER_EXTRACT_ROWS + 1).count() <= fixed.MIN_WEATHER_EXTRACT_ROWS:
-        errors.append("Weather row count looks suspiciously low")
+        errors.append(f"weather extract: at most {fixed.MIN_WEATHER_EXTRACT_ROWS} rows, more required")
     return errors
 
 
-def load_constraint_violations(table: str, df: DataFrame, schema, key: str | None) -> list[str]:
-    """K6: what the warehouse DDL would reject on load.
-
-    NOT NULL columns of the declared schema are counted in one aggregate
-    pass, and when `key` is given, duplicate non-NULL keys are counted too
-    (a partial-aggregated group-by).  Returns one message per violated
-    constraint.
-    """
+def constraint_counts(df: DataFrame, schema, key: str | None) -> dict[str, int]:
+    """K6: NULL rows of each NOT NULL column of the declared schema (one aggregate
+    pass), and under `key` its NULL rows plus its duplicated values."""
     required = [f.name for f in schema.fields if not f.nullable]
-    aggs = [F.count_if(F.col(c).isNull()).alias(c) for c in required]
-    row = df.agg(*aggs).first() if aggs else None
-    errors = [f"{table}.{c} has {row[c]} NULL rows" for c in required if row and row[c]]
+    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first().asDict() if required else {}
     if key:
-        dup = unique_failures(df, key).first()["n"]
-        if dup:
-            errors.append(f"{table}.{key} has {dup} duplicated keys")
-    return errors
+        row[key] = row.get(key, 0) + unique_failures(df, key).first()["n"]
+    return row
+
+
+def load_constraint_violations(table: str, df: DataFrame, schema, key: str | None) -> list[str]:
+    """K6: what the warehouse DDL would reject on load, one message per column."""
+    return [f"{table}.{c}: {n} NULL rows or duplicated keys, 0 allowed" for c, n in constraint_counts(df, schema, key).items() if n]
 
 
 @dataclass(frozen=True)
@@ -313,34 +279,38 @@ class WarehouseGate:
     weather_fraction: float = fixed.WEATHER_ROWS_FRACTION
 
 
-def warehouse_checks(month: str, raw_trips: DataFrame, raw_weather: DataFrame, fct: DataFrame,
-                     hourly: DataFrame, gate: WarehouseGate = WarehouseGate()) -> list[str]:
-    """Q13-Q16 for one month; returns failure messages (empty = pass).
+def month_gate(month: str, raw_trips: DataFrame, raw_weather: DataFrame, fct: DataFrame, hourly: DataFrame) -> DataFrame:
+    """Q13-Q16 figures of one month, in one row.
 
-    Month filters are range predicates on the stored columns, so the scans
-    prune partitions / row groups of other months.
+    Month filters are range predicates on the stored columns (F10, F11), so the
+    scans prune partitions / row groups of other months.
     """
     first = F.lit(f"{month}-01").cast("date")
-    nxt = F.add_months(first, 1)
-    taxi_rows = raw_trips.filter(F.col("ingestion_month") == first).count()
-    weather_rows = raw_weather.filter(F.col("source_month") == first).count()
-    month_fct = fct.filter((F.col("pickup_ts_local") >= first.cast("timestamp_ntz"))
-                           & (F.col("pickup_ts_local") < nxt.cast("timestamp_ntz")))
-    month_hourly = hourly.filter((F.col("pickup_hour") >= first.cast("timestamp_ntz"))
-                                 & (F.col("pickup_hour") < nxt.cast("timestamp_ntz")))
-    coverage = overall_weather_coverage(month_fct).first()["weather_join_coverage"]
-    gap_row = hourly_consistency(month_fct, month_hourly).agg(F.coalesce(F.sum("gap"), F.lit(0)).alias("g")).first()
-    gap = gap_row["g"]
-    expected = (raw_trips.sparkSession.range(1).select(expected_weather_rows(first).alias("e")).first()["e"])
+    start, stop = first.cast("timestamp_ntz"), F.add_months(first, 1).cast("timestamp_ntz")
+    taxi = raw_trips.filter(F.col("ingestion_month") == first).agg(F.count(F.lit(1)).alias("taxi_rows"))
+    weather = raw_weather.filter(F.col("source_month") == first).agg(F.count(F.lit(1)).alias("weather_rows"))
+    month_fct = fct.filter((F.col("pickup_ts_local") >= start) & (F.col("pickup_ts_local") < stop))
+    month_hourly = hourly.filter((F.col("pickup_hour") >= start) & (F.col("pickup_hour") < stop))
+    gap = hourly_consistency(month_fct, month_hourly).agg(F.coalesce(F.sum("gap"), F.lit(0)).alias("gap"))
+    # one-row frames
+    return taxi.crossJoin(weather).crossJoin(overall_weather_coverage(month_fct)).crossJoin(gap)
+
+
+def warehouse_checks(month: str, raw_trips: DataFrame, raw_weather: DataFrame, fct: DataFrame,
+                     hourly: DataFrame, gate: WarehouseGate = WarehouseGate()) -> list[str]:
+    """Q13-Q16 for one month; returns failure messages (empty = pass)."""
+    row = month_gate(month, raw_trips, raw_weather, fct, hourly).first()
+    year, number = map(int, month.split("-"))
+    wanted = calendar.monthrange(year, number)[1] * 24 * len(fixed.NYC_BOROUGHS) * gate.weather_fraction
     errors = []
-    if taxi_rows < gate.min_taxi_rows:
-        errors.append(f"Taxi row count too low: {taxi_rows}")
-    if weather_rows < expected * gate.weather_fraction:
-        errors.append(f"Weather row count too low: {weather_rows}")
-    if coverage is None or coverage < gate.min_weather_join_coverage:
-        errors.append(f"Weather join coverage below threshold: {coverage}")
-    if gap != 0:
-        errors.append(f"Hourly demand mart is inconsistent by {gap} rows")
+    if row.taxi_rows < gate.min_taxi_rows:
+        errors.append(f"raw_taxi_trips_yellow {month}: {row.taxi_rows} rows, {gate.min_taxi_rows} required")
+    if row.weather_rows < wanted:
+        errors.append(f"raw_weather_hourly {month}: {row.weather_rows} rows, {wanted:g} required")
+    if row.weather_join_coverage < gate.min_weather_join_coverage:
+        errors.append(f"fct_taxi_trips {month}: weather coverage {row.weather_join_coverage}, {gate.min_weather_join_coverage} required")
+    if row.gap != 0:
+        errors.append(f"fct_hourly_demand {month}: {row.gap} trips fewer than in fct_taxi_trips, 0 required")
     return errors
 
 

@@ -1,17 +1,19 @@
 """The monthly job (L1-L4) as one Spark application.
 
-    normalise landed feeds -> raw-file checks -> replace the month in the raw
-    tables -> rebuild dimensions and facts from the written raw tables ->
-    declared tests and warehouse checks
+    normalise landed feeds, written once to a staging folder -> raw checks on
+    what was written -> replace the month in the raw tables -> rebuild
+    dimensions and facts -> declared tests and warehouse checks
 
 Every stage boundary is a written Parquet table, which cuts the lineage: an
 executor lost late in the job only recomputes from the last written table,
-and re-running the job for the same month gives the same tables (month
-replacement and full refresh are idempotent).
+and re-running the job for the same month gives the same tables.  A full
+refresh writes all marts to a new version folder and publishes it last, so
+readers keep the old marts until all new ones are there.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -26,6 +28,8 @@ from .warehouse import RawTables, Warehouse
 
 RAW_TABLES = {"trips": "raw_taxi_trips_yellow", "weather": "raw_weather_hourly", "zones": "raw_taxi_zone_lookup"}
 DIMENSIONS = ("dim_location", "dim_weather", "dim_date_time")
+HOURLY_WEATHER = "stg_weather_hourly"
+PICKUP_MONTH = "pickup_month"
 AGGREGATE_FACTS = ("fct_hourly_demand", "fct_fare_revenue", "fct_weather_impact")
 
 
@@ -49,28 +53,25 @@ class JobReport:
 
 @dataclass
 class MonthFeeds:
-    raw: RawTables
-    boroughs: int           # distinct boroughs among the weather documents
-    trips_empty: bool       # the landed trip month has no rows
-    weather_empty: bool     # no weather documents landed
+    raw: RawTables          # the month's rows, written to the staging folder
+    documents: int          # weather documents landed
+    months_before: set[str] = field(default_factory=set)  # pickup and weather months of the rows they replace
 
 
-def normalize_month(spark: SparkSession, landing: str, month: str, ingested_at: str,
+def normalize_month(spark: SparkSession, landing: str, warehouse: str, month: str, ingested_at: str,
                     dataset: str = "yellow", weather_multi_line: bool = True) -> MonthFeeds:
-    """L2: the month's landed feeds as raw rows, plus what the checks need.
+    """L2: the month's landed feeds as raw rows, each feed written once."""
+    staging_root = f"{warehouse}/staged/{uuid.uuid4()}"
 
-    Normalisation and dedup keep at least one row per record hash, so
-    a month is empty after it exactly when its landed input is; the cheap
-    `isEmpty` of the input (first row only) is what the loader uses.
-    """
-    trips_landed = landed.read_trip_month(spark, landing, month, dataset)
-    trips = normalize.raw_trips(trips_landed, month, F.col("source_file"), ingested_at)
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{staging_root}/{name}")
+        return spark.read.parquet(f"{staging_root}/{name}")
+
+    trips = staged(normalize.raw_trips(landed.read_trip_month(spark, landing, month, dataset), month, F.col("source_file"), ingested_at), "trips")
     docs = landed.read_weather_documents(spark, landing, month, weather_multi_line)
-    boroughs = docs.select("requested_borough").distinct().count()
-    weather = normalize.raw_weather_from_documents(docs, ingested_at)
-    zones = normalize.raw_zones(landed.read_zone_lookup(spark, landing), landed.zone_file(landing), ingested_at)
-    return MonthFeeds(RawTables(trips=trips, weather=weather, zones=zones), boroughs,
-                      trips_landed.isEmpty(), boroughs == 0)
+    weather = staged(normalize.raw_weather_from_documents(docs, month, ingested_at), "weather")
+    zones = staged(normalize.raw_zones(landed.read_zone_lookup(spark, landing), landed.zone_file(landing), ingested_at), "zones")
+    return MonthFeeds(RawTables(trips=trips, weather=weather, zones=zones), docs.select("requested_borough").count())
 
 
 def load_constraints(raw: RawTables) -> list[str]:
@@ -81,48 +82,92 @@ def load_constraints(raw: RawTables) -> list[str]:
             + quality.load_constraint_violations(RAW_TABLES["zones"], raw.zones, schemas.RAW_ZONE, "location_id"))
 
 
-def load_month(feeds: MonthFeeds, warehouse: str, month: str) -> None:
+def keys_in_other_months(spark: SparkSession, feeds: MonthFeeds, warehouse: str, month: str) -> list[str]:
+    """K4: trips of this load that another loaded month has already (the key is global)."""
+    path = f"{warehouse}/{RAW_TABLES['trips']}"
+    if not writers.path_exists(spark, path):
+        return []
+    first = F.lit(f"{month}-01").cast("date")
+    other = landed.read_table(spark, warehouse, RAW_TABLES["trips"]).filter(F.col("ingestion_month") != first)
+    n = feeds.raw.trips.join(other.select("record_hash"), "record_hash", "left_semi").count()
+    return [f"{RAW_TABLES['trips']} {month}: {n} record hashes are in other months, 0 allowed"] if n else []
+
+
+def _months(df: DataFrame, column: str) -> set[str]:
+    rows = df.select(F.substring(F.col(column).cast("string"), 1, 7).alias("m")).where("m is not null").distinct().collect()
+    return {r.m for r in rows}  # calendar months
+
+
+def affected_months(spark: SparkSession, raw: RawTables, month: str) -> set[str]:
+    """Pickup months whose facts depend on the rows of one load: those of its trips and of its weather."""
+    first = F.lit(f"{month}-01").cast("date")
+    return (_months(raw.trips.filter(F.col("ingestion_month") == first), "pickup_datetime")
+            | _months(raw.weather.filter(F.col("source_month") == first), "weather_ts_hour"))
+
+
+def load_month(spark: SparkSession, feeds: MonthFeeds, warehouse: str, month: str) -> None:
     """L3: K3 zone full refresh, K4/K5 month replacement of trips and weather."""
     raw = feeds.raw
+    if all(writers.path_exists(spark, f"{warehouse}/{RAW_TABLES[k]}") for k in ("trips", "weather")):
+        feeds.months_before = affected_months(spark, read_raw(spark, warehouse), month)
     writers.overwrite_table(raw.zones, f"{warehouse}/{RAW_TABLES['zones']}")
-    writers.replace_month(raw.trips, f"{warehouse}/{RAW_TABLES['trips']}", "ingestion_month", month,
-                          empty=feeds.trips_empty)
-    writers.replace_month(raw.weather, f"{warehouse}/{RAW_TABLES['weather']}", "source_month", month,
-                          empty=feeds.weather_empty)
+    writers.replace_month(raw.trips, f"{warehouse}/{RAW_TABLES['trips']}", "ingestion_month", month)
+    writers.replace_month(raw.weather, f"{warehouse}/{RAW_TABLES['weather']}", "source_month", month)
 
 
 def read_raw(spark: SparkSession, warehouse: str) -> RawTables:
     return RawTables(**{k: landed.read_table(spark, warehouse, v) for k, v in RAW_TABLES.items()})
 
 
-def build_marts(spark: SparkSession, warehouse: str, incremental_month: str | None = None) -> None:
-    """K7: staging stays lazy (views); dimensions and facts are written.
+def read_mart(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+    """K7: a dimension or fact of the published version."""
+    return landed.read_table(spark, writers.current_version(spark, f"{warehouse}/marts"), name)
 
-    The trip fact is written once (partitioned by ingestion month) and the
-    three aggregate facts are computed from the written table.
 
-    Default is a full refresh, as in the original project.  With
-    `incremental_month`, only that month's fact partition is rebuilt: the
-    raw scan is pruned to the month and the partition is replaced by
-    dynamic overwrite; older partitions keep the zones and weather they were
-    built with (run a full refresh after changing those).
-    """
+def build_marts(spark: SparkSession, warehouse: str) -> None:
+    """K7, full refresh: staging stays lazy (views); dimensions and facts are written, then published.
+
+    Dimensions and hourly weather come first, as tables, so that the planner
+    knows their bytes when the trip fact joins them.  Facts are partitioned by pickup month."""
     wh = Warehouse(read_raw(spark, warehouse))
-    for name in DIMENSIONS:
-        writers.overwrite_table(getattr(wh, name), f"{warehouse}/{name}")
-    dim_loc = landed.read_table(spark, warehouse, "dim_location")
-    fct_path = f"{warehouse}/fct_taxi_trips"
-    if incremental_month and writers.path_exists(spark, fct_path):
-        first = F.lit(f"{incremental_month}-01").cast("date")
-        month_trips = staging.stg_taxi_trips(wh.raw.trips.filter(F.col("ingestion_month") == first))
-        fct = marts.fct_taxi_trips(month_trips, dim_loc, wh.stg_weather_hourly)
-        writers.replace_month(fct, fct_path, "ingestion_month", incremental_month)
-    else:
-        fct = marts.fct_taxi_trips(wh.stg_taxi_trips, dim_loc, wh.stg_weather_hourly)
-        writers.overwrite_table(fct, fct_path, partition_by="ingestion_month")
-    written = landed.read_table(spark, warehouse, "fct_taxi_trips")
+    root = f"{warehouse}/marts"
+    version = writers.new_version(root)
+    for name in (*DIMENSIONS, HOURLY_WEATHER):
+        writers.overwrite_table(getattr(wh, name), f"{version}/{name}")
+    tables = {name: landed.read_table(spark, version, name) for name in ("dim_location", HOURLY_WEATHER)}
+    fct = marts.fct_taxi_trips(wh.stg_taxi_trips, tables["dim_location"], tables[HOURLY_WEATHER])
+    writers.overwrite_table(fct.withColumn(PICKUP_MONTH, F.trunc("pickup_date", "MM")), f"{version}/fct_taxi_trips", partition_by=PICKUP_MONTH)
+    written = landed.read_table(spark, version, "fct_taxi_trips")
     for name in AGGREGATE_FACTS:
-        writers.overwrite_table(getattr(marts, name)(written), f"{warehouse}/{name}")
+        writers.overwrite_table(by_month(getattr(marts, name)(written)), f"{version}/{name}", partition_by=PICKUP_MONTH)
+    writers.publish(spark, root, version)
+
+
+def by_month(fact: DataFrame) -> DataFrame:
+    """An aggregate fact with its pickup month (a function of its hour or day key)."""
+    day = F.col("pickup_date") if "pickup_date" in fact.columns else F.col("pickup_hour").cast("date")
+    return fact.withColumn(PICKUP_MONTH, F.trunc(day, "MM"))
+
+
+def rebuild_months(spark: SparkSession, warehouse: str, months: set[str]) -> None:
+    """K7, incremental: dimensions and hourly weather anew, and the facts of the given pickup months.
+
+    Same tables as a full refresh if `months` has every month that a changed trip or reading touches."""
+    wh = Warehouse(read_raw(spark, warehouse))
+    version = writers.current_version(spark, f"{warehouse}/marts")
+    for name in (*DIMENSIONS, HOURLY_WEATHER):
+        staged = f"{version}/{name}__staged"
+        writers.overwrite_table(getattr(wh, name), staged)
+        writers.swap_folder(spark, staged, f"{version}/{name}")
+    loc, weather = landed.read_table(spark, version, "dim_location"), landed.read_table(spark, version, HOURLY_WEATHER)
+    for month in sorted(months):
+        first = F.lit(f"{month}-01").cast("date")
+        here = (F.col("pickup_datetime") >= first.cast("timestamp_ntz")) & (F.col("pickup_datetime") < F.add_months(first, 1).cast("timestamp_ntz"))
+        fct = marts.fct_taxi_trips(staging.stg_taxi_trips(wh.raw.trips.filter(here)), loc, weather)
+        writers.replace_month(fct.withColumn(PICKUP_MONTH, F.trunc("pickup_date", "MM")), f"{version}/fct_taxi_trips", PICKUP_MONTH, month)
+        written = landed.read_table(spark, version, "fct_taxi_trips").filter(F.col(PICKUP_MONTH) == first)
+        for name in AGGREGATE_FACTS:
+            writers.replace_month(by_month(getattr(marts, name)(written)), f"{version}/{name}", PICKUP_MONTH, month)
 
 
 def table_models(spark: SparkSession, warehouse: str):
@@ -138,14 +183,14 @@ def table_models(spark: SparkSession, warehouse: str):
             return names[name]
         if name in views:
             return views[name]()
-        return landed.read_table(spark, warehouse, name)
+        return read_mart(spark, warehouse, name)
     return model
 
 
 def run_tests(spark: SparkSession, warehouse: str) -> list[dict]:
-    """The 46 declared tests plus the singular ones; returns failing rows only."""
+    """The 46 declared tests plus the three singular ones; returns failing rows only."""
     models = table_models(spark, warehouse)
-    results = quality.generic_checks_by_model(models)
+    results = quality.generic_checks(models)
     fct, hourly = models("fct_taxi_trips"), models("fct_hourly_demand")
     ranges = quality.trip_range_violations(fct).agg(F.count(F.lit(1)).alias("n"))
     singular = ranges.select(F.lit("trip_ranges").alias("check_name"), F.lit("fct_taxi_trips").alias("model"),
@@ -154,8 +199,10 @@ def run_tests(spark: SparkSession, warehouse: str) -> list[dict]:
     consistency = gap.select(F.lit("hourly_demand_consistency").alias("check_name"),
                              F.lit("fct_hourly_demand").alias("model"), F.lit("trip_count").alias("column_name"),
                              F.col("n").cast("bigint").alias("failures"))
+    covered = quality.coverage_total(fct).select(F.lit("weather_join_coverage").alias("check_name"), F.lit("fct_taxi_trips").alias("model"),
+                                                 F.lit("weather_key").alias("column_name"), (~F.col("passed")).cast("bigint").alias("failures"))
     # the summary is one row per declared check: a few dozen rows to the driver
-    rows = results.unionByName(singular).unionByName(consistency).filter(F.col("failures") > 0).collect()
+    rows = results.unionByName(singular).unionByName(consistency).unionByName(covered).filter(F.col("failures") > 0).collect()
     return [r.asDict() for r in rows]
 
 
@@ -165,19 +212,23 @@ def run_month(spark: SparkSession, landing: str, warehouse: str, month: str, *,
               incremental: bool = False) -> JobReport:
     """L1: the whole month; raises QualityCheckError on failures when `fail`.
 
-    `incremental=True` rebuilds only this month's trip-fact partition (see
-    `build_marts`); the default is the original full refresh.
+    `incremental=True` rebuilds only the facts of pickup months that the load
+    touches; the default is the original full refresh.
     """
     ts = ingested_at or run_timestamp()
     report = JobReport(month)
-    month_feeds = normalize_month(spark, landing, month, ts, dataset, weather_multi_line)
+    month_feeds = normalize_month(spark, landing, warehouse, month, ts, dataset, weather_multi_line)
     raw = month_feeds.raw
-    report.raw_errors = quality.raw_extract_checks(raw.trips, raw.weather, month_feeds.boroughs)
-    report.raw_errors += load_constraints(raw)
+    report.raw_errors = quality.raw_extract_checks(raw.trips, raw.weather, month_feeds.documents)
+    report.raw_errors += load_constraints(raw) + keys_in_other_months(spark, month_feeds, warehouse, month)
     if report.raw_errors and fail:
         quality.raise_if_failed(report.raw_errors)
-    load_month(month_feeds, warehouse, month)
-    build_marts(spark, warehouse, month if incremental else None)
+    load_month(spark, month_feeds, warehouse, month)
+    if incremental and writers.current_version(spark, f"{warehouse}/marts"):
+        rebuild_months(spark, warehouse, month_feeds.months_before | affected_months(spark, read_raw(spark, warehouse), month))
+    else:
+        build_marts(spark, warehouse)
+    writers.remove(spark, f"{warehouse}/staged")
     report.test_failures = run_tests(spark, warehouse)
     models = table_models(spark, warehouse)
     report.warehouse_errors = quality.warehouse_checks(

@@ -1,9 +1,10 @@
 """Star-schema marts: three dimensions and four facts.
 
 Each model is a function of the models it references, so Catalyst sees one
-plan from the raw scans to the mart.  The trip fact joins two small,
-bounded dimensions (zones, borough-hour weather) by broadcast after a row
-count check, so the trip side is never shuffled for those joins; the three
+plan from the raw scans to the mart.  The trip fact joins zones and
+borough-hour weather with plain joins: read from written tables their bytes
+are known, so the planner broadcasts them under its own threshold and the trip
+side is not shuffled; beyond it, AQE splits hot keys of the sort-merge join.  The three
 aggregate facts are hash aggregations with a map-side partial step, so a hot
 zone or hour collapses to one row per task before the shuffle.
 """
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fixed
-from ..operators.joins import bounded_broadcast
 
 
 def dim_location(stg_locations: DataFrame) -> DataFrame:
@@ -124,12 +124,12 @@ def fct_taxi_trips(stg_trips: DataFrame, dim_loc: DataFrame, stg_weather: DataFr
     Inner joins drop trips whose zone is unknown; the weather join is left,
     unmatched trips get the `unknown` weather member.
     """
-    loc = bounded_broadcast(dim_loc.select("location_id", "borough", "zone"))
+    loc = dim_loc.select("location_id", "borough", "zone")
     pu = loc.select(F.col("location_id").alias("pu_id"), F.col("borough").alias("pickup_borough"),
                     F.col("zone").alias("pickup_zone"))
     do = loc.select(F.col("location_id").alias("do_id"), F.col("borough").alias("dropoff_borough"),
                     F.col("zone").alias("dropoff_zone"))
-    w = bounded_broadcast(weather_for_join(stg_weather))
+    w = weather_for_join(stg_weather)
     t = (stg_trips
          .join(pu, stg_trips.pickup_location_id == pu.pu_id, "inner")
          .join(do, F.col("dropoff_location_id") == do.do_id, "inner"))
@@ -161,7 +161,7 @@ def fct_hourly_demand(fct: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("trip_count"),
         F.sum("passenger_count").alias("passenger_count_total"),
         C.mean_exact("trip_distance").alias("avg_trip_distance"),
-        F.avg("trip_duration_min").alias("avg_trip_duration_min"),
+        C.mean_minutes("trip_duration_min").alias("avg_trip_duration_min"),
         C.mean_exact("fare_amount").alias("avg_fare_amount"),
         C.mean_exact("total_amount").alias("avg_total_amount"))
     return g.select(C.md5_key("date_hour_key", "pickup_location_id", "weather_key").alias("hourly_demand_key"), "*")
@@ -188,7 +188,7 @@ def fct_weather_impact(fct: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("trip_count"),
         C.mean_exact("fare_amount").alias("avg_fare_amount"),
         C.mean_exact("total_amount").alias("avg_total_amount"),
-        F.avg("trip_duration_min").alias("avg_trip_duration_min"),
+        C.mean_minutes("trip_duration_min").alias("avg_trip_duration_min"),
         C.mean_exact("trip_distance").alias("avg_trip_distance"),
         C.mean_exact("precipitation_mm").alias("avg_precipitation_mm"),
         C.mean_exact("temperature_2m").alias("avg_temperature_2m"),

@@ -5,19 +5,19 @@ Semantics follow the prototype, with two re-aims for a distributed engine:
 * the prototype numbers trips by row position after cleaning; a global
   position needs every row in one task, so `trip_id` is the MD5 of the whole
   (deduplicated, hence unique) row in one canonical text form;
-* its per-trip "dimensions" share that id, so the fact needs no self-joins;
-  the pickup / dropoff location dimensions are true distinct dimensions with
-  a dense surrogate ordered by the natural id (a small, checked domain).
+* its per-trip "dimensions" are one row for each trip under that same key, so the
+  fact's five per-trip ids are the trip_id, by definition and without self-joins;
+* its location dimensions get their natural id as key, where it had a running
+  number: a number for each distinct value needs all values in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
-from ..operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast, within_rows
 from ..operators.staging import latest_weather
 
 
@@ -71,17 +71,19 @@ def payment_type_dim(trips: DataFrame) -> DataFrame:
                         C.payment_type_name("payment_type").alias("payment_type_name"))
 
 
-def location_dim(trips: DataFrame, natural: str, surrogate: str) -> DataFrame:
-    """Distinct location ids with a dense surrogate 0..n-1 by natural id.
+def passenger_count_dim(trips: DataFrame) -> DataFrame:
+    """Passenger count, one row per trip."""
+    return trips.select(F.col("trip_id").alias("passenger_count_id"), "passenger_count")
+
+
+def trip_distance_dim(trips: DataFrame) -> DataFrame:
+    """Trip distance, one row per trip."""
+    return trips.select(F.col("trip_id").alias("trip_distance_id"), "trip_distance")
 
-    The window has no partition key, so the distinct domain is checked to be
-    small first (zone ids: a few hundred).
-    """
-    ids = trips.select(natural).distinct()
-    if not within_rows(ids, MAX_BROADCAST_ROWS):
-        raise ValueError(f"{natural} has more distinct values than a location domain can have")
-    w = Window.orderBy(F.col(natural).asc_nulls_first())
-    return ids.select((F.row_number().over(w) - 1).alias(surrogate), natural)
+
+def location_dim(trips: DataFrame, natural: str, key: str) -> DataFrame:
+    """The distinct location ids, keyed by themselves."""
+    return trips.select(F.col(natural).alias(key), natural).distinct()
 
 
 PROTO_FACT_COLUMNS = ("trip_id", "VendorID", "datetime_id", "passenger_count_id", "trip_distance_id",
@@ -91,16 +93,14 @@ PROTO_FACT_COLUMNS = ("trip_id", "VendorID", "datetime_id", "passenger_count_id"
 
 
 def star_fact(trips: DataFrame) -> DataFrame:
-    """The fact table; per-trip dims share trip_id, locations join their surrogates."""
-    pu = bounded_broadcast(location_dim(trips, "PULocationID", "pickup_location_id"))
-    do = bounded_broadcast(location_dim(trips, "DOLocationID", "dropoff_location_id"))
-    j = trips.join(pu, "PULocationID", "inner").join(do, "DOLocationID", "inner")
-    return j.select(
-        "trip_id", "VendorID", F.col("trip_id").alias("datetime_id"),
-        F.col("trip_id").alias("passenger_count_id"), F.col("trip_id").alias("trip_distance_id"),
-        F.col("trip_id").alias("rate_code_id"), "store_and_fwd_flag", "pickup_location_id",
-        "dropoff_location_id", F.col("trip_id").alias("payment_type_id"), "fare_amount", "extra",
-        "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount")
+    """The fact table over cleaned trips.
+
+    Every foreign key is a column of the trip itself (see the module text), so
+    the prototype's inner joins can neither drop nor repeat a row and are left
+    out, but for trips without a location, which those joins dropped."""
+    per_trip = [F.col("trip_id").alias(f"{d}_id") for d in ("datetime", "passenger_count", "trip_distance", "rate_code", "payment_type")]
+    return trips.dropna(subset=["PULocationID", "DOLocationID"]).select(
+        "*", *per_trip, F.col("PULocationID").alias("pickup_location_id"), F.col("DOLocationID").alias("dropoff_location_id")).select(*PROTO_FACT_COLUMNS)
 
 
 def weather_frame(raw_weather: DataFrame) -> DataFrame:
@@ -119,23 +119,14 @@ def pickup_date_bounds(trips: DataFrame) -> DataFrame:
     return trips.agg(F.min(d).alias("start_date"), F.max(d).alias("end_date"))
 
 
-def weather_in_window(weather: DataFrame, trips: DataFrame) -> DataFrame:
-    """Weather limited to the trips' date window, as the prototype requests it.
+def trip_weather(trips: DataFrame, landed_zones: DataFrame, weather: DataFrame) -> DataFrame:
+    """Trips with pickup zone (left) and pickup-hour weather (left).
 
-    The window is a one-row frame, so the range condition is a broadcast
-    nested-loop join against exactly one row.
+    The prototype asks for weather between the first and last pickup date;
+    hours outside of them match no trip in the left join, so no bound is needed here.
     """
-    b = F.broadcast(pickup_date_bounds(trips))
-    return (weather.join(b, (F.col("weather_ts_hour") >= F.col("start_date").cast("timestamp_ntz"))
-                         & (F.col("weather_ts_hour") < F.date_add("end_date", 1).cast("timestamp_ntz")), "inner")
-                   .drop("start_date", "end_date"))
-
-
-def trip_weather(trips: DataFrame, landed_zones: DataFrame, weather: DataFrame) -> DataFrame:
-    """Trips with pickup zone (left) and pickup-hour weather (left)."""
-    z = bounded_broadcast(landed_zones.select(F.col("LocationID"), F.col("Borough").alias("borough"),
-                                              F.col("Zone").alias("pickup_zone")))
-    w = bounded_broadcast(weather_in_window(weather, trips))
+    z = landed_zones.select(F.col("LocationID"), F.col("Borough").alias("borough"), F.col("Zone").alias("pickup_zone"))
+    w = weather
     t = trips.join(z, trips.PULocationID == z.LocationID, "left")
     t = t.withColumn("pickup_hour", C.hour_floor("tpep_pickup_datetime"))
     t = t.join(w, (t.pickup_hour == w.weather_ts_hour) & (t.borough == w.borough), "left").drop(w.borough)

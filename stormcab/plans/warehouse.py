@@ -10,10 +10,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from ..operators import normalize, staging
-from ..sources import driver_tables as feeds
+from ..operators import staging
 from . import marts
 
 
@@ -24,24 +23,12 @@ class RawTables:
     zones: DataFrame      # raw.taxi_zone_lookup
 
 
-def raw_from_driver_tables(spark: SparkSession, sf_dir: str, landed: DataFrame | None = None) -> RawTables:
-    """Raw tables for the feed month, derived from the benchmark tables."""
-    landed = landed if landed is not None else feeds.landed_trips(spark, sf_dir)
-    trips = normalize.raw_trips(landed, feeds.FEED_MONTH, feeds.FEED_TRIP_FILE, feeds.FEED_RUN_TS)
-    zones = normalize.raw_zones(feeds.landed_zones(spark, sf_dir), feeds.FEED_ZONE_FILE, feeds.FEED_RUN_TS)
-    return RawTables(trips=trips, weather=feeds.raw_weather(spark, sf_dir), zones=zones)
-
-
 class Warehouse:
     """Lazy model graph over a set of raw tables."""
 
     def __init__(self, raw: RawTables):
         self.raw = raw
 
-    @classmethod
-    def from_driver_tables(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
-        return cls(raw_from_driver_tables(spark, sf_dir))
-
     # staging (views)
     @cached_property
     def stg_taxi_trips(self) -> DataFrame:

@@ -57,10 +57,8 @@ def build_session(master: str | None = None, app_name: str = "stormcab",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (`spark.checkpoint.dir`).
 
-    Read from the session.  Only when neither that setting nor a context
-    checkpoint directory exists (local tests) a folder of our own is
-    registered with `setCheckpointDir`; the setting itself is never changed
-    (Spark does not allow it at runtime).
+    Only a local session without one (a test), where one machine is all there is,
+    gets a folder of its own; on a cluster that would be lost to the others.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -68,6 +66,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
-    local = tempfile.mkdtemp(prefix="stormcab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp")))
+    return spark.sparkContext.getCheckpointDir()

@@ -1 +1 @@
-"""Readers of landed feeds and warehouse tables, sinks, derived benchmark feeds, input spreading."""
+"""Readers of landed feeds and warehouse tables, and sinks."""

@@ -1,15 +1,18 @@
 """Sinks (K1-K8): month replacement, full refresh, CSV export, landing files.
 
-Month replacement uses dynamic partition overwrite: only the partitions
-present in the written rows are replaced, other months survive, and a task
-that is retried after an executor loss rewrites the same files (the commit
-protocol moves them into place at job commit).  A month that arrives empty
-overwrites nothing by itself, so its old partition is removed explicitly,
-matching "delete the month, then load" of the original loader.
+Month replacement writes the month to a staging folder and moves it into the
+place of the old partition: other months survive, a failed write leaves the old
+month as it was, and a task that is retried after an executor loss rewrites the same files (the
+commit protocol moves them into place at job commit).  A month that arrives empty removes its old partition,
+matching "delete the month, then load" of the original loader.  A set of tables is
+published together by `publish`: they are written to a version folder of their own, and a
+pointer file names the version that readers use.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,26 +30,45 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _delete_path(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
     fs, p = _fs_path(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
 
 
-def replace_month(df: DataFrame, table_path: str, partition_column: str, month: str,
-                  empty: bool | None = None) -> None:
+def only_month(df: DataFrame, partition_column: str, month: str) -> DataFrame:
+    """`df`, failing when it is run if a row belongs to another month."""
+    first = F.lit(f"{month}-01").cast("date")
+    text = F.coalesce(F.col(partition_column).cast("string"), F.lit("no month"))
+    wrong = F.raise_error(F.concat(F.lit(f"a row of {partition_column} "), text, F.lit(f" in the load of {month}"))).cast("boolean")
+    # a filter, which stays in the plan when the column itself is not needed any more
+    return df.filter(F.when(F.col(partition_column) == first, True).otherwise(wrong))
+
+
+def replace_month(df: DataFrame, table_path: str, partition_column: str, month: str) -> None:
     """K4/K5: replace one month partition (DELETE month + INSERT, idempotent).
 
-    `empty` may be passed by a caller that already knows whether the month
-    has rows (e.g. from its source), which saves evaluating `df` twice.
-    """
-    first = F.lit(f"{month}-01").cast("date")
-    rows = df.filter(F.col(partition_column) == first)
-    if rows.isEmpty() if empty is None else empty:
-        _delete_path(df.sparkSession, f"{table_path}/{partition_column}={month}-01")
-        return
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_column).parquet(table_path))
+    A row of another month fails the load.  A month without rows is removed."""
+    spark = df.sparkSession
+    partition = f"{table_path}/{partition_column}={month}-01"
+    staged = f"{table_path}__staged/{uuid.uuid4()}"  # written once; the old month stays until all of the new one is there
+    only_month(df, partition_column, month).drop(partition_column).write.parquet(staged)
+    if spark.read.parquet(staged).isEmpty():
+        remove(spark, staged)
+        staged = None
+    swap_folder(spark, staged, partition)
+
+
+def swap_folder(spark: SparkSession, new: str | None, path: str) -> None:
+    """Put folder `new` (or nothing) in the place of `path` by renames, without rewriting data."""
+    fs, target = _fs_path(spark, path)
+    if fs.exists(target):
+        fs.delete(target, True)
+    if new is not None:
+        fs.mkdirs(target.getParent())
+        if not fs.rename(_fs_path(spark, new)[1], target):
+            raise OSError(f"{new} could not be moved to {path}")
 
 
 def overwrite_table(df: DataFrame, table_path: str, partition_by: str | None = None) -> None:
@@ -57,6 +79,34 @@ def overwrite_table(df: DataFrame, table_path: str, partition_by: str | None = N
     w.parquet(table_path)
 
 
+CURRENT = "_current"
+
+
+def new_version(root: str) -> str:
+    """A folder for a new version of the tables under `root`, not visible to readers yet."""
+    return f"{root}/versions/{uuid.uuid4()}"
+
+
+def publish(spark: SparkSession, root: str, version: str) -> None:
+    """Make a fully written version the one that readers see, and remove the one before.
+
+    The pointer is one small file, replaced last: until then a failure leaves the old version in use."""
+    before = current_version(spark, root)
+    pointer = spark.range(1).coalesce(1).select(F.lit(version).alias("value"))
+    staged = f"{root}/{CURRENT}__staged/{uuid.uuid4()}"
+    pointer.write.text(staged)
+    swap_folder(spark, staged, f"{root}/{CURRENT}")
+    if before and before != version:
+        remove(spark, before)
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The folder of the published version, if there is one."""
+    if not path_exists(spark, f"{root}/{CURRENT}"):
+        return None
+    return spark.read.text(f"{root}/{CURRENT}").first()["value"]
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """K8: CSV export with a header row (one file per task)."""
     df.write.mode("overwrite").option("header", True).csv(path)
@@ -69,10 +119,15 @@ def land_trip_month(landed_trips: DataFrame, root: str, month: str, dataset: str
     landed_trips.write.mode("overwrite").parquet(landed.trip_month_dir(root, month, dataset))
 
 
-def land_weather_documents(docs: DataFrame, root: str, month: str) -> None:
-    """Write weather documents as JSON lines under the month directory
-    (read them back with `multi_line=False`)."""
-    docs.drop("source_file").write.mode("overwrite").json(landed.weather_month_dir(root, month))
+def land_weather_documents(docs: DataFrame, root: str, month: str, multi_line: bool = False) -> None:
+    """Write weather documents under the month directory: JSON lines (read
+    them back with `multi_line=False`), or one indented document per file."""
+    docs, path = docs.drop("source_file"), landed.weather_month_dir(root, month)
+    if multi_line:
+        text = docs.select(F.to_json(F.struct(*docs.columns), {"pretty": "true"}).alias("value"))
+        text.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    else:
+        docs.write.mode("overwrite").json(path)
 
 
 def land_zone_lookup(zones: DataFrame, root: str) -> None:

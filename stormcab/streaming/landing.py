@@ -75,7 +75,7 @@ def load_changed_weather_months(spark: SparkSession, root: str, warehouse: str,
         ts = ingested_at or run_timestamp()
         for month in changed_months(batch):
             docs = landed.read_weather_documents(spark, root, month, multi_line)
-            raw = normalize.raw_weather_from_documents(docs, ts)
+            raw = normalize.raw_weather_from_documents(docs, month, ts)
             writers.replace_month(raw, f"{warehouse}/{RAW_WEATHER}", "source_month", month)
     return handle
 

@@ -11,9 +11,9 @@ SMOKE = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from stormcab.session import build_session, checkpoint_dir
-    s = build_session("local[*]", app_name="stormcab-tests", shuffle_partitions=8)
-    checkpoint_dir(s)  # sets our own folder only because none is configured
+    from stormcab.session import build_session
+    shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    s = build_session("local[*]", app_name="stormcab-tests", shuffle_partitions=8, extra={"spark.checkpoint.dir": shared})
     yield s
     s.stop()
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
@@ -73,7 +74,7 @@ def main():
     only = set(sys.argv[2:])
     import __spark_entry__ as E
     from stormcab.session import build_session
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp")})
     con = duck(sf_dir)
     qs, os_ = E.queries(), E.oracle_sql()
     for name, b in qs.items():

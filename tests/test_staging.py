@@ -89,6 +89,12 @@ def test_spring_forward_hour_stays_local(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
     assert str(r.pickup_hour) == "2025-03-09 02:00:00" and key == 2025030902
+    assert r.trip_duration_min == 40.0  # by the clock: the session's zone skips an hour here
+
+
+def test_duration_has_seconds_and_microseconds(spark):
+    rows = [{"pickup_datetime": datetime(2024, 12, 31, 23, 59, 59, 500000), "dropoff_datetime": datetime(2025, 1, 1, 0, 0, 30, 750000)}]
+    assert staging.stg_taxi_trips(raw_trip(spark, rows=rows)).first().trip_duration_min == 31250000 / 60000000
 
 
 def raw_weather(spark, rows):
