@@ -66,7 +66,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
-    if not spark.sparkContext.master.startswith("local["):
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp")))
     return spark.sparkContext.getCheckpointDir()
