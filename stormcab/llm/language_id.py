@@ -6,8 +6,7 @@ word is read by character n-grams: at each of its positions the longest known on
 its words; the prediction is the best language, and the score its posterior.
 
 Training counts words and n-grams of labelled documents with Spark, on a bounded
-sample: the `PER_LANGUAGE` documents of each language with the smallest hash of
-the text.  The model keeps the `WORDS` most frequent words and `GRAMS` most frequent
+sample: about `PER_LANGUAGE` documents of each language, drawn by a hash.  The model keeps the `WORDS` most frequent words and `GRAMS` most frequent
 n-grams of each length for each language, so its size depends on these bounds and
 on the number of languages and not on the data; it is sent to the workers.
 Prediction is one map over whole texts.
@@ -19,8 +18,11 @@ from, all are `und`; equal scores go to the alphabetically first language.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,45 +31,78 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Memo, frame, table, texts
+from .common import frame, saved, table, texts
 
-PER_LANGUAGE, WORDS, GRAMS, LONGEST = 3000, 30_000, 20_000, 4
+PER_LANGUAGE, WORDS, GRAMS, LONGEST = 3000, 20_000, 10_000, 4  # n-grams of up to 4: see Model.unseen
 UNKNOWN = "und"
 KEPT_WORDS = 300_000
 # the posterior counts this many words at most: words of a text are not independent
 EVIDENCE = 40
+FLOOR = -20.0  # log frequency of a character that no n-gram has
 RUN = 64  # letters of one word that are read at a time
-LETTERS = regex.compile(r"\p{L}+")
+LETTERS, ASCII_LETTERS = regex.compile(r"\p{L}+"), re.compile("[a-z]+")
 
 
 @dataclass
 class Model:
+    """Log frequencies by language: a row of `word_rows` for each word, of `gram_rows` for each n-gram."""
+
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
-    floor: np.ndarray
-
-    def word(self, word: str) -> np.ndarray:
-        """Log frequency of one word in each language."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        total, places = np.zeros(len(self.languages)), 0
-        padded = f"^{word}$"
-        for at in range(len(padded)):
-            for n in range(min(LONGEST, len(padded) - at), 0, -1):
-                scores = self.grams.get(padded[at:at + n])
-                if scores is not None:
-                    break
-            total += self.floor if scores is None else scores
-            places += 1
-        return total / places
+    words: dict[str, int]
+    word_rows: np.ndarray
+    grams: dict[str, int]
+    gram_rows: np.ndarray  # the last row is for a character that no n-gram has
+
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """Scores of words that training did not see: the mean over their positions of the longest known n-gram."""
+        get, found, ends = self.grams.get, [], []
+        nothing = len(self.gram_rows) - 1
+        for word in words:
+            padded = f"^{word}$"
+            for at in range(len(padded)):
+                row = get(padded[at:at + 4])
+                if row is None:
+                    row = get(padded[at:at + 3])
+                    if row is None:
+                        row = get(padded[at:at + 2])
+                        if row is None:
+                            row = get(padded[at], nothing)
+                found.append(row)
+            ends.append(len(found))
+        starts = np.array([0, *ends[:-1]])
+        return np.add.reduceat(self.gram_rows[found], starts, axis=0) / np.diff([0, *ends])[:, None]
+
+
+class Scorer:
+    """Scores whole texts; keeps the rows of about `KEPT_WORDS` unseen words."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.numbers = dict(model.words)
+        self.rows = model.word_rows
+
+    def mean(self, words: list[str]) -> np.ndarray:
+        """Mean score of a text's words in each language."""
+        if len(self.numbers) > len(self.model.words) + KEPT_WORDS:
+            self.numbers, self.rows = dict(self.model.words), self.model.word_rows
+        numbers = np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            new = list({words[i]: None for i in missing.tolist()})
+            first = len(self.numbers)
+            if first + len(new) > len(self.rows):
+                self.rows = np.concatenate([self.rows[:first], np.zeros((max(len(new), first), self.rows.shape[1]))])
+            self.rows[first:first + len(new)] = self.model.unseen(new)
+            self.numbers.update(zip(new, range(first, first + len(new))))
+            numbers[missing] = [self.numbers[words[i]] for i in missing.tolist()]
+        return self.rows[numbers].mean(axis=0)
 
 
 def letters(text: str) -> list[str]:
     """Lower-case words of letters; a very long run of letters is read in parts."""
-    words = LETTERS.findall(text.lower())
-    if any(len(w) > RUN for w in words):
+    text = text.lower()
+    words = (ASCII_LETTERS if text.isascii() else LETTERS).findall(text)
+    if words and max(map(len, words)) > RUN:
         words = [w[i:i + RUN] for w in words for i in range(0, len(w), RUN)]
     return words
 
@@ -78,11 +113,9 @@ def counted_words(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict = {}
+            counts: dict[str, Counter] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), texts(batch)):
-                own = counts.setdefault(lang, {})
-                for word in letters(text.decode("utf-8", "replace")):
-                    own[word] = own.get(word, 0) + 1
+                counts.setdefault(lang, Counter()).update(letters(text.decode("utf-8", "replace")))
             for lang, own in counts.items():
                 if own:
                     yield frame(schema, lang=[lang] * len(own), word=list(own), n=list(own.values()))
@@ -92,59 +125,62 @@ def counted_words(docs: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model of bounded size from `labelled` rows with a language."""
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    first = Window.partitionBy("lang").orderBy("h", "text")
-    chosen = rows.withColumn("h", F.xxhash64("text")).withColumn("k", F.row_number().over(first)).where(F.col("k") <= PER_LANGUAGE)
-    words = counted_words(chosen.select("lang", "text")).persist()
-    try:
-        padded = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
-        per_length = [F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i, n=n: F.substring(padded, i, F.lit(n))) for n in range(1, LONGEST + 1)]
-        grams = (words.withColumn("grams", F.flatten(F.array(*(F.when(F.length(padded) >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate(per_length, 1)))))
-                 .select("lang", F.explode("grams").alias("word"), "n").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-                 .withColumn("size", F.length("word")))
-        totals = {r.lang: r.n for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        gram_totals = {(r.lang, r["size"]): r.n for r in grams.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
-
-        def most_frequent(df: DataFrame, keys: list[str], limit: int) -> list:
-            order = Window.partitionBy(*keys).orderBy(F.desc("n"), "word")
-            return df.withColumn("k", F.row_number().over(order)).where(F.col("k") <= limit).drop("k").collect()  # at most `limit` for each key
-
-        word_rows = most_frequent(words.where("n > 1"), ["lang"], WORDS)
-        gram_rows = most_frequent(grams, ["lang", "size"], GRAMS)
-    finally:
-        words.unpersist()
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), *labelled_id(labelled)).where("lang is not null and text is not null")
+    # each language's rate follows from its number of rows, so no text is sorted to draw the sample
+    rates = rows.groupBy("lang").agg((F.lit(PER_LANGUAGE * (1 << 32)) / F.count(F.lit(1))).alias("below"))  # one row for each language
+    chosen = rows.join(F.broadcast(rates), "lang").where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 32)) < F.col("below"))
+    words = saved(counted_words(chosen.select("lang", "text")))
+    padded = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
+    per_length = [F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i, n=n: F.substring(padded, i, F.lit(n))) for n in range(1, LONGEST + 1)]
+    grams = (words.withColumn("grams", F.flatten(F.array(*(F.when(F.length(padded) >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate(per_length, 1)))))
+             .select("lang", F.explode("grams").alias("word"), "n").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+             .withColumn("size", F.length("word")))
+    # a word has as many n-grams as positions where one fits
+    places = [F.sum(F.col("n") * F.greatest(F.length(padded) - (n - 1), F.lit(0))).alias(f"n{n}") for n in range(1, LONGEST + 1)]
+    counted = words.groupBy("lang").agg(F.sum("n").alias("n"), *places).collect()  # one row for each language
+    totals = {r.lang: r.n for r in counted}
+    gram_totals = {(r.lang, n): r[f"n{n}"] for r in counted for n in range(1, LONGEST + 1)}
+
+    def most_frequent(df: DataFrame, keys: list[str], limit: int) -> pa.Table:
+        order = Window.partitionBy(*keys).orderBy(F.desc("n"), "word")
+        return df.withColumn("k", F.row_number().over(order)).where(F.col("k") <= limit).select("lang", "word", "n").toArrow()  # at most `limit` for each key
+
+    word_counts = most_frequent(words.where("n > 1"), ["lang"], WORDS)
+    gram_counts = most_frequent(grams, ["lang", "size"], GRAMS)
     languages = sorted(totals)
     at = {lang: i for i, lang in enumerate(languages)}
 
-    def scores(rows: list, total_of) -> dict[str, np.ndarray]:
-        counts: dict[str, np.ndarray] = {}
-        for r in rows:
-            counts.setdefault(r.word, np.zeros(len(languages)))[at[r.lang]] += r.n
-        return {w: np.log((c + 0.5) / (np.array([total_of(lang, len(w)) for lang in languages]) + 1.0)) for w, c in counts.items()}
+    def scores(counts: pa.Table, total_of) -> tuple[dict[str, int], np.ndarray]:
+        numbers: dict[str, int] = {}
+        for word in counts.column("word").to_pylist():
+            numbers.setdefault(word, len(numbers))
+        table = np.zeros((len(numbers), len(languages)))
+        rows = [numbers[w] for w in counts.column("word").to_pylist()]
+        table[rows, [at[x] for x in counts.column("lang").to_pylist()]] = counts.column("n").to_numpy()
+        total = np.zeros((max(map(len, numbers), default=0) + 1, len(languages)))
+        for size, lang in product(range(len(total)), languages):
+            total[size, at[lang]] = total_of(lang, size)
+        return numbers, np.log((table + 0.5) / (total[[len(w) for w in numbers]] + 1.0))
+
+    known, word_rows = scores(word_counts, lambda lang, _: totals[lang])
+    grams, gram_table = scores(gram_counts, lambda lang, size: gram_totals.get((lang, size), 0))
+    return Model(languages, known, word_rows, grams, np.vstack([gram_table, np.full((1, len(languages)), FLOOR)]))
 
-    known = scores(word_rows, lambda lang, _: totals[lang])
-    grams_known = scores(gram_rows, lambda lang, size: gram_totals.get((lang, size), 0))
-    return Model(languages, known, grams_known, np.full(len(languages), -20.0))
+
+def labelled_id(labelled: DataFrame) -> list:
+    """The id column, where there is one: copies of a text are drawn one by one."""
+    return [F.col("doc_id").alias("id")] if "doc_id" in labelled.columns else [F.lit(None).cast("long").alias("id")]
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """`docs` with lang_pred and score; columns of these names are replaced, all others passed through."""
     own = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.words, model.grams, model.floor))
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.words, model.word_rows, model.grams, model.gram_rows))
     schema = T.StructType([*(docs.schema[c] for c in own), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
-        rows: list[np.ndarray] = []
-
-        def number(word: str) -> int:
-            if len(rows) >= KEPT_WORDS:
-                rows.clear()
-                memo.clear()
-            rows.append(model.word(word))
-            return len(rows) - 1
-
-        memo = Memo(number, 1 << 60)  # cleared together with `rows`
+        scorer = Scorer(model)
         for batch in batches:
             predicted, scores = [], []
             for text in texts(batch, text_col):
@@ -153,7 +189,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                     predicted.append(UNKNOWN)
                     scores.append(0.0)
                     continue
-                mean = model_mean(words, memo, rows)
+                mean = scorer.mean(words)
                 best = int(mean.argmax())
                 odds = np.exp((mean - mean[best]) * min(len(words), EVIDENCE))
                 predicted.append(model.languages[best])
@@ -163,17 +199,6 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     return docs.select(*own).mapInArrow(run, schema)
 
 
-def model_mean(words: list[str], memo: Memo, rows: list[np.ndarray]) -> np.ndarray:
-    """Mean score of a text's words: distinct words times how often they occur."""
-    counts: dict[str, int] = {}
-    for w in words:
-        counts[w] = counts.get(w, 0) + 1
-    total = 0.0
-    for w, n in counts.items():
-        total = total + rows[memo[w]] * n
-    return total / len(words)
-
-
 def training_rows(docs: DataFrame) -> DataFrame:
     """Documents that the query may learn from."""
     return docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)

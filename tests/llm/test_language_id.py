@@ -13,10 +13,21 @@ from .brute import SMOKE, edge_docs
 
 def test_backoff_takes_the_longest_known_grams():
     one = np.array([-1.0, -2.0])
-    model = Model(["a", "b"], {"known": one}, {"^x": one * 2, "x": one * 9, "y$": one * 3, "$": one * 4}, np.array([-20.0, -20.0]))
-    assert (model.word("known") == one).all()
-    # positions of ^xy$: ^x, x, y$, $
-    assert np.allclose(model.word("xy"), (one * 2 + one * 9 + one * 3 + one * 4) / 4)
+    model = Model(["a", "b"], {"known": 0}, one[None], {"^x": 0, "x": 1, "y$": 2, "$": 3}, np.outer([2, 9, 3, 4, 20], one))
+    # positions of ^xy$: ^x, x, y$, $; of ^z$: ^, z (unknown), $
+    assert np.allclose(model.unseen(["xy", "z"]), [one * (2 + 9 + 3 + 4) / 4, one * (20 + 20 + 4) / 3])
+    scorer = language_id.Scorer(model)
+    assert np.allclose(scorer.mean(["known", "xy", "known", "z", "xy"]), (one * 2 + one * 4.5 * 2 + one * 44 / 3) / 5)
+    assert np.allclose(scorer.mean(["xy"]), one * 4.5)
+
+
+def test_kept_rows_are_bounded(monkeypatch):
+    monkeypatch.setattr(language_id, "KEPT_WORDS", 10)
+    model = Model(["a"], {}, np.zeros((0, 1)), {"x": 0}, np.array([[-1.0], [-20.0]]))
+    scorer = language_id.Scorer(model)
+    for i in range(50):
+        assert np.allclose(scorer.mean(["x" * (i + 1), "y"]), (model.unseen(["x" * (i + 1)])[0] + model.unseen(["y"])[0]) / 2)
+    assert len(scorer.numbers) <= 12
 
 
 def test_long_runs_are_read_whole():
