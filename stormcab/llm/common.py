@@ -28,7 +28,7 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None and not sc.master.startswith("local"):
+        if configured is None and not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp")))
     return sc.getCheckpointDir()

@@ -198,6 +198,14 @@ def answered(tasks: DataFrame, wanted: int) -> DataFrame:
     return ordered.mapInArrow(run, "vid long, least long, vec_id long, score double")
 
 
+def points_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The projections of vectors."""
+    for batch in batches:
+        if batch.num_rows:
+            points = projected(np.frombuffer(b"".join(batch.column("vec").to_pylist())).reshape(batch.num_rows, -1))
+            yield pa.RecordBatch.from_arrays([pa.array(points.tolist(), pa.list_(pa.float64()))], ["point"])
+
+
 def with_cells(entries: DataFrame, nodes: list) -> DataFrame:
     """`entries` with their cell and projection."""
     schema = pa.schema([("vid", pa.int64()), ("least", pa.int64()), ("vec", pa.binary()), ("ids", pa.list_(pa.int64())), ("asked", pa.bool_()), ("cell", pa.int64()), ("point", pa.list_(pa.float64()))])
@@ -222,8 +230,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = NEAREST, id_col: str = "
     asking = used.where(is_query).groupBy("vec").agg(F.count(F.lit(1)).alias("n"))
     entries = saved(first.join(asking, "vec", "left").select(F.xxhash64("vec").alias("vid"), F.col("ids")[0].alias("least"), "vec", "ids", F.col("n").isNotNull().alias("asked"), "n"))
     # a bounded sample fits the top of the tree
-    sample = entries.select("vec").orderBy(F.xxhash64("vec", F.lit(SEED))).limit(SAMPLE).collect()
-    points = projected(np.frombuffer(b"".join(r.vec for r in sample)).reshape(len(sample), dim)) if sample else np.zeros((0, PROJECTED))
+    sample = entries.select("vec").orderBy(F.xxhash64("vec", F.lit(SEED))).limit(SAMPLE).mapInArrow(points_of, "point array<double>").collect()
+    points = np.array([r.point for r in sample]).reshape(len(sample), PROJECTED)
     nodes = split_rule(points, min(max(1, entries.count() // CELL), max(1, SAMPLE // 16)))
     placed = saved(with_cells(entries, nodes))
     boxes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *(f(F.col("point")[d]).alias(f"{name}{d}") for name, f in (("low", F.min), ("high", F.max)) for d in range(PROJECTED))).collect()  # one row for each cell
