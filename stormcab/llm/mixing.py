@@ -7,7 +7,8 @@ its tokens is the probability of its documents; a document stays if a hash
 of its id, a number from 0 to 1, lies below.
 
 Scale: counting combines before the shuffle, so a source with a third of all
-rows is a few cells from then on; each sweep is three group-bys over cells.  Cells go back to the
+rows is a few cells from then on; each sweep is one sum over the sources' rows.  Languages and topics are
+small dimensions (their grid is on the driver), sources are not.  Cells go back to the
 rows by a join on the cell that broadcasts the at most 1,024 largest cells and shuffles the rest.
 
 Default targets: shares in proportion to the square root of the tokens, which
@@ -53,19 +54,54 @@ def root_targets(cells: DataFrame, dimension: str) -> DataFrame:
     return roots.crossJoin(roots.agg(F.sum("root").alias("all"))).select("value", (F.col("root") / F.col("all")).alias("share"))
 
 
+def factors(shares: dict[str, float], sums: dict[str, float]) -> dict[str, float]:
+    """What each value's cells are multiplied by to meet its share (0 where there is nothing to scale)."""
+    return {v: shares.get(v, 0.0) / held if held > 0 else 0.0 for v, held in sums.items()}
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, sweeps: int = SWEEPS) -> DataFrame:
-    """`cells` (source, lang, topic, n, tokens) with `w`, the calibrated share of each cell."""
-    for d in DIMENSIONS:
-        wanted = (targets or {}).get(d)
-        wanted = (root_targets(cells, d) if wanted is None else wanted).select(F.col("value").alias(d), F.col("share").alias(f"share_{d}"))
-        cells = cells.join(wanted, d, "left").withColumn(f"share_{d}", F.coalesce(f"share_{d}", F.lit(0.0)))
-    cells = saved(cells.withColumn("w", F.col("tokens").cast("double")))
-    for _ in range(sweeps):
-        for d in DIMENSIONS:
-            sums = cells.groupBy(d).agg(F.sum("w").alias("held"))
-            cells = cells.join(sums, d).withColumn("w", F.when(F.col("held") > 0, F.col("w") * F.col(f"share_{d}") / F.col("held")).otherwise(0.0)).drop("held")
-        cells = saved(cells)
-    return cells
+    """`cells` (source, lang, topic, n, tokens) with `w`, the calibrated share of each cell, and its targets.
+
+    A cell's share is its tokens times a factor of its source, of its language and of its topic.  The
+    cells of a source are one row, so its factor needs no shuffle; one sum over all sources by language and
+    topic then gives the other two factors.  That grid, and nothing that grows with the sources, is on the driver."""
+    shares = {d: (targets or {}).get(d) for d in DIMENSIONS}
+    shares = {d: (root_targets(cells, d) if wanted is None else wanted).select("value", "share") for d, wanted in shares.items()}
+    lang_share, topic_share = ({r.value: float(r.share) for r in shares[d].collect()} for d in ("lang", "topic"))
+    rows = (cells.groupBy("source").agg(F.collect_list(F.struct("lang", "topic", "n", "tokens")).alias("cells"))  # languages x topics
+            .join(shares["source"].select(F.col("value").alias("source"), F.col("share").alias("share_source")), "source", "left")
+            .withColumn("share_source", F.coalesce("share_source", F.lit(0.0))))
+    rows = saved(rows)
+    grid = rows.select(F.explode("cells").alias("c")).select("c.lang", "c.topic").distinct().collect()
+    lang_factor, topic_factor = {r.lang: 1.0 for r in grid}, {r.topic: 1.0 for r in grid}
+
+    def looked_up(factor: dict[str, float], key: Column) -> Column:
+        return F.create_map(*(F.lit(x) for pair in factor.items() for x in pair))[key] if factor else F.lit(None).cast("double")
+
+    def scaled() -> DataFrame:
+        """One row for each cell, with `x`: its tokens times all three factors."""
+        held = F.aggregate("cells", F.lit(0.0), lambda total, c: total + c["tokens"] * looked_up(lang_factor, c["lang"]) * looked_up(topic_factor, c["topic"]))
+        source_factor = F.when(F.col("held") > 0, F.col("share_source") / F.col("held")).otherwise(0.0)
+        return (rows.withColumn("held", held).select("source", "share_source", source_factor.alias("a"), F.explode("cells").alias("c"))
+                .select("source", "share_source", "c.*", "a"))
+
+    for _ in range(sweeps if grid else 0):
+        last = scaled()
+        sums = last.groupBy("lang", "topic").agg(F.sum(F.col("a") * F.col("tokens")).alias("x")).collect()  # languages x topics
+        by_lang: dict[str, float] = {}
+        for r in sums:
+            by_lang[r.lang] = by_lang.get(r.lang, 0.0) + r.x * topic_factor[r.topic]
+        lang_factor = factors(lang_share, by_lang)
+        by_topic: dict[str, float] = {}
+        for r in sums:
+            by_topic[r.topic] = by_topic.get(r.topic, 0.0) + r.x * lang_factor[r.lang]
+        topic_factor = factors(topic_share, by_topic)
+    if not grid:
+        return rows.select("source", F.lit("").alias("lang"), F.lit("").alias("topic"), F.lit(0).alias("n"), F.lit(0).alias("tokens"), F.lit(0.0).alias("w")).limit(0)
+    # `last` has the source factors of the last sweep
+    return last.select("source", "lang", "topic", "n", "tokens", "share_source", F.coalesce(looked_up(lang_share, F.col("lang")), F.lit(0.0)).alias("share_lang"),
+                       F.coalesce(looked_up(topic_share, F.col("topic")), F.lit(0.0)).alias("share_topic"),
+                       (F.col("tokens") * F.col("a") * looked_up(lang_factor, F.col("lang")) * looked_up(topic_factor, F.col("topic"))).alias("w"))
 
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
