@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 from collections.abc import Callable, Iterator
@@ -44,6 +45,15 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle and checkpoint files of frames that are no longer used.
+
+    Spark does so when the driver collects their handles, which a driver with memory to spare puts off; in a
+    loop the files of all rounds would lie on the disks together."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def row_of(text_col: str) -> Column:
     """`row`: with the id, names a row even where one id has several texts."""
     return F.xxhash64(text_col).alias("row")
@@ -180,6 +190,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
                                            F.struct(F.col("x").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").where("u <> v").distinct())
         links = saved(small)
+        release(links.sparkSession)
         # done when every node points at one root that points nowhere
         state = links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("u").cast("decimal(38,0)") * 31 + F.col("v").cast("decimal(38,0)")).alias("s")).first()
         if (state.n, state.s) == count:

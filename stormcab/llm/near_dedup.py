@@ -5,8 +5,8 @@ of 0.75 or more are linked, and every connected class is one component.
 
 1. Equal sets are one class from the start; only classes go on.
 2. A class has 64 MinHash symbols of 16 bits.  Linked classes differ in about
-   a quarter of them; more than 31 differ in about one linked pair of 100,000 at
-   exactly 0.75, and far fewer above it.  31 is the signature-distance threshold.
+   a quarter of them; more than 31 differ in about one linked pair of 70,000 at
+   exactly 0.75, one of 12 million at 0.8.  31 is the signature-distance threshold.
 3. Pigeonhole: 64 symbols are 16 chunks of four.  Two signatures that differ
    in at most 31 symbols agree in some chunk up to one error, since two errors in
    every chunk make 32.  For each chunk the four ways to leave out one symbol
@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, as_signed, components, frame, mix64, partitions, row_of, saved, sorted_groups, split_join, table, texts, windows, word_hashes
+from .common import Memo, as_signed, components, frame, mix64, partitions, release, row_of, saved, sorted_groups, split_join, table, texts, windows, word_hashes
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 SYMBOLS, CHUNK, DISTANCE = 64, 4, 31
@@ -293,6 +293,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, component) over the classes that are linked with others."""
     loose = components(bucket_links(chunk_keys(classes)))
+    release(docs.sparkSession)
     members = classes.drop("sig").join(loose.select(F.col("node").alias("cls"), F.col("component").alias("t1")), "cls")
     members = saved(members)
     sizes = saved(members.groupBy("t1").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("all_shingles"))
@@ -303,6 +304,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     to_first = sets.where("block = 0 and blocks > 1").withColumn("t2", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
     first = block_links(sets.withColumn("t2", F.col("block")).unionByName(to_first).withColumn("t3", F.lit(0).cast("long")))
     links = saved(first)
+    release(docs.sparkSession)
     many = sizes.where("blocks > 1").select("t1")
     parts = components(links)
     open_ = (sets.where("blocks > 1").select("t1", "cls", "block", "blocks")
@@ -312,13 +314,14 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     outside = saved(open_.join(largest, ["t1", "part"], "left_anti"))
     if many.isEmpty() or outside.isEmpty():
         return parts
-    rounds = outside.groupBy("t1").agg(F.count(F.lit(1)).alias("n")).join(sizes.select("t1", "blocks"), "t1").select(
-        "t1", F.greatest(F.ceil(F.col("n") / BLOCK), F.lit(1)).alias("asking"))
-    # hot components: the join's keys are components, so sort-merge joins that Spark can split
-    asking = (sets.join(outside.select("cls"), "cls", "left_semi").join(rounds, "t1")
+    rounds = saved(outside.groupBy("t1").agg(F.count(F.lit(1)).alias("n_outside")).join(sizes, "t1").select(
+        "t1", "n", F.greatest(F.ceil(F.col("n_outside") / BLOCK), F.lit(1)).alias("asking")))
+    # a component may hold most of these rows
+    blocks = split_join(sets.where("blocks > 1"), rounds, "t1", "n")
+    asking = (blocks.join(outside.select("cls"), "cls", "left_semi")
               .withColumn("t3", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("asking"))).withColumn("t2", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
               .where("t2 <> block"))
-    told = (sets.where("blocks > 1 and block > 0").join(rounds, "t1").withColumn("t2", F.col("block"))
+    told = (blocks.where("block > 0").withColumn("t2", F.col("block"))
             .withColumn("t3", F.explode(F.sequence(F.lit(0).cast("long"), F.col("asking") - 1))))
     columns = ["t1", "t2", "t3", "cls", "shingles"]
     second = block_links(asking.select(*columns).unionByName(told.select(*columns)))
