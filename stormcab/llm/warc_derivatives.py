@@ -11,6 +11,9 @@ record's type, so a task that runs again writes the same records.
 responses; `write_warc` writes records as WARC files with Spark's writer, one record after another, gzip by
 file; `parse_record` reads one record back.
 
+The visible text leaves out comments and the elements `script`, `style`, `noscript`, `noframes`, `template`
+and `title`; one that is not closed runs to the end of the page, as in browsers.
+
 A map over the rows: no shuffle, one batch in memory.
 
 Defined results: a null or empty body has an empty conversion and a metadata record; a null URL leaves out
@@ -36,7 +39,8 @@ DATE = "2024-01-01T00:00:00Z"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace of RFC 4122
 SLICE = 500
 
-UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+# a head may be left unclosed, so not the head goes but what of it is not shown
+UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|noframes|template|title)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
 BLOCKS = re.compile(r"</?(?:p|div|br|hr|h[1-6]|ul|ol|li|table|tr|section|article|nav|header|footer|blockquote|pre|body|html|main|aside|title|dl|dt|dd|form)\b[^>]*>", re.I)
 TAGS = re.compile(r"<(?:[a-zA-Z/!?][^>]*)>")
 TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)

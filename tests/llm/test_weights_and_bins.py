@@ -113,6 +113,15 @@ def test_plain_text():
     assert warc_derivatives.plain_text("a < b &lt;i&gt; <b>c") == "a < b <i> c"
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<!DOCTYPE html><html><head><title>x</title><body><p>hello world</p></body></html>", "hello world"),
+    ("<head><meta charset=utf-8><title>x</title><style>p{}</style><p>hello<p>world", "hello\nworld"),
+    ("<head><script>var x='</head>'; y()</script><title>x</title></head><body>hello", "hello"),
+    ("<head><title>x</title><p>hello</p><script>rest of the <p>page", "hello")])
+def test_a_head_may_be_left_unclosed(page, text):
+    assert warc_derivatives.plain_text(page) == text
+
+
 def test_warc_records(spark, scratch):
     pages = spark.read.parquet(f"{SMOKE}/pages.parquet")
     edges = spark.createDataFrame([(900, None, None, "x"), (901, "http://a/", "", "x"), (None, "http://b/", PAGE, "x"), (902, "http://c/\r\nX: y", PAGE, "x"), (902, "http://c/\r\nX: y", PAGE, "x")], "page_id long, url string, html string, header string")
