@@ -6,9 +6,9 @@ word is read by character n-grams: at each of its positions the longest known on
 its words; the prediction is the best language, and the score its posterior.
 
 Training counts words and n-grams of labelled documents with Spark, on a bounded
-sample: about `PER_LANGUAGE` documents of each language, drawn by a hash.  The model keeps the `WORDS` most frequent words and `GRAMS` most frequent
-n-grams of each length for each language, so its size depends on these bounds and
-on the number of languages and not on the data; it is sent to the workers.
+sample: about `PER_LANGUAGE` documents of each language, drawn by a hash.  The model keeps every word and
+n-gram of the sample, also those seen once, so its size depends on the texts of about that many documents a
+language and not on the number of documents; it is sent to the workers.
 Prediction is one map over whole texts.
 
 Defined results: a null text, or one without a letter, is `und` with score 0; rows with null
@@ -27,13 +27,13 @@ from itertools import product, repeat
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import frame, saved, table, texts
 
-PER_LANGUAGE, WORDS, GRAMS, LONGEST = 3000, 20_000, 10_000, 4  # n-grams of up to 4: see Model.unseen
+PER_LANGUAGE, LONGEST = 3000, 4  # n-grams of up to 4: see Model.unseen
 UNKNOWN = "und"
 KEPT_WORDS = 300_000
 # the posterior counts this many words at most: words of a text are not independent
@@ -133,20 +133,15 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     padded = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
     per_length = [F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i, n=n: F.substring(padded, i, F.lit(n))) for n in range(1, LONGEST + 1)]
     grams = (words.withColumn("grams", F.flatten(F.array(*(F.when(F.length(padded) >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate(per_length, 1)))))
-             .select("lang", F.explode("grams").alias("word"), "n").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-             .withColumn("size", F.length("word")))
+             .select("lang", F.explode("grams").alias("word"), "n").groupBy("lang", "word").agg(F.sum("n").alias("n")))
     # a word has as many n-grams as positions where one fits
     places = [F.sum(F.col("n") * F.greatest(F.length(padded) - (n - 1), F.lit(0))).alias(f"n{n}") for n in range(1, LONGEST + 1)]
     counted = words.groupBy("lang").agg(F.sum("n").alias("n"), *places).collect()  # one row for each language
     totals = {r.lang: r.n for r in counted}
     gram_totals = {(r.lang, n): r[f"n{n}"] for r in counted for n in range(1, LONGEST + 1)}
 
-    def most_frequent(df: DataFrame, keys: list[str], limit: int) -> pa.Table:
-        order = Window.partitionBy(*keys).orderBy(F.desc("n"), "word")
-        return df.withColumn("k", F.row_number().over(order)).where(F.col("k") <= limit).select("lang", "word", "n").toArrow()  # at most `limit` for each key
-
-    word_counts = most_frequent(words.where("n > 1"), ["lang"], WORDS)
-    gram_counts = most_frequent(grams, ["lang", "size"], GRAMS)
+    word_counts = words.select("lang", "word", "n").toArrow()  # words and n-grams of the sample
+    gram_counts = grams.toArrow()
     languages = sorted(totals)
     at = {lang: i for i, lang in enumerate(languages)}
 
