@@ -27,7 +27,7 @@ from itertools import product, repeat
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,7 +131,12 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     chosen = rows.join(F.broadcast(rates), "lang").where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 32)) < F.col("below"))
     words = saved(counted_words(chosen.select("lang", "text")))
     padded = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
-    per_length = [F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i, n=n: F.substring(padded, i, F.lit(n))) for n in range(1, LONGEST + 1)]
+
+    def of_length(n: int) -> Column:
+        # the lambda has one argument: a second one would be given the position
+        return F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i: F.substring(padded, i, F.lit(n)))
+
+    per_length = [of_length(n) for n in range(1, LONGEST + 1)]
     grams = (words.withColumn("grams", F.flatten(F.array(*(F.when(F.length(padded) >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate(per_length, 1)))))
              .select("lang", F.explode("grams").alias("word"), "n").groupBy("lang", "word").agg(F.sum("n").alias("n")))
     # a word has as many n-grams as positions where one fits

@@ -52,13 +52,15 @@ def test_labels_are_no_input_of_a_prediction(spark):
     assert {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(other, model).collect()} == found
 
 
-def test_every_word_of_the_sample_is_known(spark):
+def test_every_word_and_gram_of_the_sample_is_known(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     words = {f"{a}{b}{c}{d}" for a in letters[:20] for b in letters[:12] for c in letters[:11] for d in letters[:10]}
     often = sorted(words)[1:]
     docs = spark.createDataFrame([(1, "en", " ".join(often * 2) + " " + min(words)), (2, "fr", "once")], "doc_id long, lang string, text string")
     model = language_id.train(docs)
     assert len(words) > 25_000 and set(model.words) == words | {"once"}
+    padded = [f"^{w}$" for w in words | {"once"}]
+    assert set(model.grams) == {w[i:i + n] for w in padded for n in range(1, 5) for i in range(len(w) - n + 1)}
 
 
 def test_edges(spark):
