@@ -4,7 +4,9 @@ Documents are counted into cells by source, language and topic.  Iterative
 proportional fitting scales the cells' token shares to the target marginals of
 each of the three in turn, `SWEEPS` times over.  A cell's calibrated share of the budget over
 its tokens is the probability of its documents; a document stays if a hash
-of its id, a number from 0 to 1, lies below.
+of its id, a number from 0 to 1, lies below.  A cell whose share is more than its tokens would need a
+probability over 1; it gets 1, and what it lacks goes to no other cell, so where there are such cells
+the sample meets neither the targets nor the budget (figures in the README).
 
 Scale: counting combines before the shuffle, so a source with a third of all
 rows is a few cells from then on; each sweep is one sum over the sources' rows.  Languages and topics are
