@@ -8,7 +8,7 @@ successor of the piece's size, the smallest residual that has room, and goes on
 next larger one until a bin has neither the piece's source nor its cluster.  If none has, a bin is opened.
 
 Scale: documents are dealt by a hash of their id to packing groups of about `GROUP` documents, each
-packed by itself and held alone: bins at this size are as full as in one large group.  A source
+packed by itself and held alone; this takes about one bin in 100 more than one large group (README).  A source
 or cluster with a third of all rows is spread over all groups like any other.
 
 Defined results: a text without words has one row of no tokens and no bin; null sources
