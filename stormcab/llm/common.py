@@ -176,7 +176,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     """Connected components of undirected `edges`: (node, component), component the smallest node.
 
     Alternating large and small stars: each round relinks every node's larger neighbours, then its
-    smaller ones, to the smallest of them, until nothing changes.  Minima are combined before the
+    smaller ones, to the smallest of them, until nothing changes; if `rounds` run out before, that is an error.  Minima are combined before the
     shuffle; the joins on a hub's key are sort-merge joins, which Spark splits where they are skewed."""
     links = saved(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     count = None
@@ -189,12 +189,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
                  .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                                            F.struct(F.col("x").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").where("u <> v").distinct())
-        links = saved(small)
+        before, links = links, saved(small)
         release(links.sparkSession)
-        # done when every node points at one root that points nowhere
+        # done when every node points at one root that points nowhere: the round has changed no link
         state = links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("u").cast("decimal(38,0)") * 31 + F.col("v").cast("decimal(38,0)")).alias("s")).first()
-        if (state.n, state.s) == count:
+        if (state.n, state.s) == count and links.join(before, ["u", "v"], "left_anti").isEmpty():
             break
         count = (state.n, state.s)
+    else:
+        raise RuntimeError(f"components not found in {rounds} rounds")
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return saved(links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots))

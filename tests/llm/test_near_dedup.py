@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from stormcab.llm import near_dedup
+from stormcab.llm.common import components
 
 from .brute import SMOKE, edge_docs, rows_of
 
@@ -113,3 +114,11 @@ def test_pairs_within_the_distance_share_a_key():
     for _ in range(200):
         wrong = set(rng.sample(range(near_dedup.SYMBOLS), near_dedup.DISTANCE))
         assert any(sum(k in wrong for k in range(c, c + near_dedup.CHUNK)) <= 1 for c in range(0, near_dedup.SYMBOLS, near_dedup.CHUNK))
+
+
+def test_components_are_whole_or_an_error(spark):
+    path = spark.range(40).selectExpr("id AS a", "id + 1 AS b")
+    assert sorted(tuple(r) for r in components(path).collect()) == [(i, 0) for i in range(41)]
+    assert components(path.limit(0)).count() == 0
+    with pytest.raises(RuntimeError):
+        components(path, rounds=2)
