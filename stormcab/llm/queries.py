@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, mixing, near_dedup, packing, projected_neighbours, sharding, substring_dedup, token_counts, warc_derivatives
+from . import centroid_clustering, exact_dedup, language_id, mixing, near_dedup, packing, projected_neighbours, sharding, substring_dedup, token_counts, warc_derivatives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -19,9 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_language_id": language_id.op10_language_id,
+    "op11_centroid_clustering": centroid_clustering.op11_centroid_clustering,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op5_mixing": mixing.oracle_sql(),
+    "op11_centroid_clustering": centroid_clustering.oracle_sql(),
 }
