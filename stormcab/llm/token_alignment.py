@@ -75,7 +75,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.numbers, self.ids, self.used, self.starts, self.sizes, self.same = {}, np.zeros(1 << 16, np.int32), 0, [], [], []
+        self.numbers, self.ids, self.same = {}, np.zeros(0, np.int32), np.zeros(0, bool)
+        self.starts, self.sizes = np.zeros((2, 0), np.int64)
 
     def split(self, text: str) -> list[str]:
         """The parts of a text; no token crosses from one to the next."""
@@ -85,17 +86,15 @@ class Encoder:
         """Token ids of each part by the library."""
         raise NotImplementedError
 
-    def learn(self, parts: Iterable[str]) -> None:
-        new = list(parts)
-        for part, ids in zip(new, self.encode(new)):
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.numbers[part] = len(self.starts)
-            self.starts.append(self.used)
-            self.sizes.append(len(ids))
-            self.same.append(b"".join(map(self.tokens.__getitem__, ids)) == part.encode())
-            self.used += len(ids)
+    def learn(self, parts: list[str]) -> None:
+        """Keeps the tokens of new parts, and whether they give the part back."""
+        found = list(self.encode(parts))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+        same = np.fromiter((b"".join(map(self.tokens.__getitem__, i)) == p.encode() for p, i in zip(parts, found)), bool, len(parts))
+        self.numbers.update(zip(parts, range(len(self.numbers), len(self.numbers) + len(parts))))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.ids, self.sizes, self.same = (np.concatenate(x) for x in ((self.ids, ids), (self.sizes, sizes), (self.same, same)))
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Token ids of all texts in a row, how many each has, and do they give back space + text?"""
@@ -105,12 +104,11 @@ class Encoder:
         missing = {}
         for parts in split:
             missing.update(dict.fromkeys(set(parts).difference(self.numbers)))
-        self.learn(missing)
+        self.learn(list(missing))
         ends = np.cumsum([0, *map(len, split)])
         numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(ends[-1]))
-        starts, sizes = np.array(self.starts, np.int64), np.array(self.sizes, np.int64)
-        ids = self.ids[ragged(starts[numbers], sizes[numbers])]
-        tokens, wrong = (np.concatenate([[0], np.cumsum(x[numbers])])[ends] for x in (sizes, ~np.array(self.same, bool)))
+        ids = self.ids[ragged(self.starts[numbers], self.sizes[numbers])]
+        tokens, wrong = (np.concatenate([[0], np.cumsum(x[numbers])])[ends] for x in (self.sizes, ~self.same))
         return ids, np.diff(tokens), np.diff(wrong) == 0
 
 
