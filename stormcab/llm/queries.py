@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (centroid_clustering, exact_dedup, language_id, mixing, near_dedup, packing, projected_neighbours, sharding, substring_dedup,
+from . import (centroid_clustering, exact_dedup, language_id, mixing, near_dedup, packing, private_spans, projected_neighbours, sharding, substring_dedup,
                token_alignment, token_counts, warc_derivatives)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_language_id": language_id.op10_language_id,
     "op11_centroid_clustering": centroid_clustering.op11_centroid_clustering,
+    "op12_private_spans": private_spans.op12_private_spans,
     "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 

@@ -49,8 +49,8 @@ from .common import Memo, partitions, saved, table
 from .token_counts import byte_symbols
 
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
-# bytes of text in a chunk; parts whose tokens a worker keeps; links of one group made at a time
-CHUNK_BYTES, KEPT_PARTS, DENSE = 8 << 20, 400_000, 64
+# bytes of text in a chunk, and of those aligned at a time; parts whose tokens a worker keeps; groups of more links pair distinct ids
+CHUNK_BYTES, BLOCK_BYTES, KEPT_PARTS, DENSE = 8 << 20, 1 << 20, 150_000, 64
 SPACE = "▁"  # stands for a space in pieces
 
 DOCUMENT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
@@ -296,13 +296,24 @@ def chunks_of_texts(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES)
         yield ids, held
 
 
+def blocks_of(held: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Parts of a chunk of about `BLOCK_BYTES` each, with the number of their first text."""
+    first, size = 0, 0
+    for i, text in enumerate(held):
+        if i > first and size + len(text) > BLOCK_BYTES:
+            yield first, held[first:i]
+            first, size = i, 0
+        size += len(text)
+    yield first, held[first:]
+
+
 def alignments(docs: DataFrame, first: str | None = None, second: str | None = None) -> DataFrame:
     """Token ids of both vocabularies and the group of each token, by document."""
     first, second = first or public_tokenizers.path(FIRST), second or public_tokenizers.path(SECOND)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(first, second)
-        for ids, held in chunks_of_texts(batches):
+        for ids, held in chunks_of_texts(batches, BLOCK_BYTES):
             al = aligner.align(held)
             before = np.repeat(np.cumsum(al.group_counts) - al.group_counts, al.a_counts), np.repeat(np.cumsum(al.group_counts) - al.group_counts, al.b_counts)
 
@@ -334,15 +345,19 @@ def aligned_chunks(docs: DataFrame, first: str | None = None, second: str | None
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, task = Aligner(first, second), TaskContext.get().partitionId() << 32
         for number, (ids, held) in enumerate(chunks_of_texts(batches, limit)):
-            al = aligner.align(held)
-            docs_of, keys, times = al.pairs(aligner.width)
+            counts, entries, digests = [], [], []
+            for first_of, block in blocks_of(held):
+                al = aligner.align(block)
+                docs_of, keys, times = al.pairs(aligner.width)
+                entries.append((docs_of + first_of, keys, times))
+                ends = np.cumsum(al.group_counts)
+                links = np.concatenate([[0], np.cumsum(al.links)])
+                counts.append(np.stack([al.a_counts, al.b_counts, al.group_counts, links[ends] - links[ends - al.group_counts]]))
+                digests += [hashlib.sha256(d.encode()).hexdigest() if d else "" for d in aligner.described(al)]
+            docs_of, keys, times = (np.concatenate(x) for x in zip(*entries))
             pairs, code = np.unique(keys, return_inverse=True)
-            group_ends = np.cumsum(al.group_counts)
-            links = np.concatenate([[0], np.cumsum(al.links)])
-            n_links = links[group_ends] - links[group_ends - al.group_counts]
-            digests = [hashlib.sha256(d.encode()).hexdigest() if d else "" for d in aligner.described(al)]
             documents = pa.StructArray.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(al.a_counts), pa.array(al.b_counts), pa.array(al.group_counts), pa.array(n_links), pa.array(digests, pa.string())],
+                [pa.array(ids, pa.int64()), *map(pa.array, np.concatenate(counts, axis=1)), pa.array(digests, pa.string())],
                 names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([task + number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(documents)], pa.int32()), documents),
