@@ -50,7 +50,7 @@ from .token_counts import byte_symbols
 
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # bytes of text in a chunk, and of those aligned at a time; parts whose tokens a worker keeps; groups of more links pair distinct ids
-CHUNK_BYTES, BLOCK_BYTES, KEPT_PARTS, DENSE = 8 << 20, 1 << 20, 150_000, 64
+CHUNK_BYTES, BLOCK_BYTES, KEPT_PARTS, DENSE = 8 << 20, 1 << 20, 300_000, 64
 SPACE = "▁"  # stands for a space in pieces
 
 DOCUMENT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
@@ -91,7 +91,13 @@ class Encoder:
         found = list(self.encode(parts))
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         ids = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
-        same = np.fromiter((b"".join(map(self.tokens.__getitem__, i)) == p.encode() for p, i in zip(parts, found)), bool, len(parts))
+        said = "".join(parts)
+        lengths = np.fromiter(map(len, parts if said.isascii() else map(str.encode, parts)), np.int64, len(parts))
+        tokens = np.concatenate([[0], np.cumsum(self.bytes_of_token[ids])])[np.cumsum(sizes)]
+        if np.array_equal(tokens, np.cumsum(lengths)) and b"".join(map(self.tokens.__getitem__, ids.tolist())) == said.encode():
+            same = np.ones(len(parts), bool)
+        else:
+            same = np.fromiter((b"".join(map(self.tokens.__getitem__, i)) == p.encode() for p, i in zip(parts, found)), bool, len(parts))
         self.numbers.update(zip(parts, range(len(self.numbers), len(self.numbers) + len(parts))))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.ids, self.sizes, self.same = (np.concatenate(x) for x in ((self.ids, ids), (self.sizes, sizes), (self.same, same)))
@@ -132,6 +138,8 @@ class FirstEncoder(Encoder):
         for name, i in names.items():
             tokens[i] = bytes(byte[c] for c in name) if all(c in byte for c in name) else name.encode()
         self.agreed = Memo(self.agrees, 200_000)
+        self.symbols = str.maketrans({b: s for b, s in enumerate(byte_symbols()) if b < 128})
+        self.whole = set()  # texts that the library splits itself
         super().__init__(tokens)
 
     def agrees(self, c: str) -> bool:
@@ -145,31 +153,44 @@ class FirstEncoder(Encoder):
             return self.ASCII_PARTS.findall(text)
         if all(map(self.agreed.__getitem__, set(text))):
             return self.PARTS.findall(text)
+        self.whole.add(text)
         return [text]
 
     def encode(self, parts):
-        return (e.ids for e in self.library.encode_batch_fast(parts, add_special_tokens=False)) if parts else ()
+        """A part is one word of the library's pattern, so it goes to the merges directly."""
+        tokenize, symbols, marks = self.library.model.tokenize, self.symbols, byte_symbols()
+        for part in parts:
+            if part in self.whole:
+                yield self.library.encode(part, add_special_tokens=False).ids
+            else:
+                said = part.translate(symbols) if part.isascii() else "".join([marks[b] for b in part.encode()])
+                yield [t.id for t in tokenize(said)]
+        self.whole.clear()
 
 
 class SecondEncoder(Encoder):
     """Piece vocabulary of a sentencepiece file with byte fallback.
 
     No piece has a space after another character, and none a line end, so parts start at runs of spaces
-    and stop before line ends."""
+    and stop before line ends; and before a mark that no piece has behind a letter or digit."""
 
-    PARTS = re.compile(r"\n| *[^ \n]+| +")
+    WORD, MARKS = "A-Za-z0-9\u00c0-\u024f", ",.;:!?\"')(|-"
 
     def __init__(self, path: str):
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.library.id_to_piece(i) for i in range(len(self.library))]
         if any(SPACE in n.lstrip(SPACE) or "\n" in n for n in names):
             raise ValueError("pieces cross spaces or line ends: texts can't be split")
+        letter = re.compile(f"[{self.WORD}]")
+        inside = {b for n in names for a, b in zip(n, n[1:]) if letter.match(a)}
+        marks = "".join(re.escape(c) for c in self.MARKS if c not in inside)
+        self.parts = re.compile((rf" *[{self.WORD}]++(?=[{marks}])|" if marks else "") + r" *[^ \n]+| +|\n")
         # a lone space, and how the library starts a text that starts with a line end
         self.space, self.line = [self.library.piece_to_id(SPACE)], self.library.encode("\n")
         super().__init__([bytes([int(n[3:5], 16)]) if self.library.is_byte(i) else n.replace(SPACE, " ").encode() for i, n in enumerate(names)])
 
     def split(self, text):
-        return self.PARTS.findall(" " + text)
+        return self.parts.findall(" " + text)
 
     def encode(self, parts):
         """The library puts a space first, so a part's own first space is left out, and a part without one follows a line end."""

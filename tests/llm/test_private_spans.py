@@ -56,7 +56,7 @@ def test_rules_on_any_text(text):
 
 
 def test_long_texts_take_linear_time():
-    n = 1_000_000
+    n = 200_000
     for text in ("a" * n, "1" * n, "1." * n, "@" * n, "a@" * n, "+1" + " " * n, "1 " * n, "a.b" * n, "word " * n + "x@y.zz", " at " * n, "12 " * n):
         base = ps.base_spans(text)
         assert len(base) == (1 if text.endswith("x@y.zz") else (n // 4 if text[:2] == "1." else 0))
