@@ -1,11 +1,11 @@
 """Registered queries: name -> (Spark builder, DuckDB oracle SQL).
 
 Every builder takes (spark, sf_dir), reads the given tables through the
-derived feeds and returns a DataFrame over the whole tables.  A builder only
-plans: no job runs before the result is used, but for those of the load path
-(`src_*`, `sink_*`, `dq_raw_extract`, `dq_load_constraints`, `job_month_marts`), whose
-subject is writing and reading files.  They write under the shared folder in
-`spark.checkpoint.dir`.  Outputs carry no DECIMAL columns (cast to DOUBLE),
+derived feeds and returns a DataFrame over the whole tables.  The builder of a model only
+plans: no job runs before the result is used.  Serving and quality queries read built tables, which the first
+of them writes (`published`); those of the load path
+(`src_*`, `sink_*`, `job_*`, some `dq_*`) have writing and reading files for their subject.
+Both write under the shared folder in `spark.checkpoint.dir`.  Outputs carry no DECIMAL columns (cast to DOUBLE),
 mirroring `oracle.model_select`.
 """
 
@@ -26,9 +26,11 @@ from stormcab.plans import job, prototype, serving
 from stormcab.plans.warehouse import RawTables, Warehouse
 from stormcab.session import checkpoint_dir
 from stormcab.sources import landed as landed_files
-from stormcab.sources import writers
+from stormcab.plans import key_filters
+from stormcab.sources import commits, writers
 
 from . import feeds, oracle
+from .published import Published, fingerprint, removed_at_exit
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +59,17 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(raw_tables(spark, sf_dir))
 
 
+def published(spark: SparkSession, sf_dir: str) -> Published:
+    """The built tables of the feed."""
+    root = f"{checkpoint_dir(spark)}/published-{fingerprint(spark, sf_dir)}"
+    if root not in _published:
+        _published.add(removed_at_exit(spark, root))
+    return Published(spark, root, raw_tables(spark, sf_dir))
+
+
+_published: set[str] = set()
+
+
 def to_output(df: DataFrame, rounded: tuple[str, ...] = ()) -> DataFrame:
     """Cast DECIMAL columns to DOUBLE (nearest double of the exact value) and
     round the named order-dependent means to `oracle.OUTPUT_DIGITS`."""
@@ -117,7 +130,7 @@ def _serve(name: str, sql: str, rounded: tuple[str, ...] = ()):
     """Register a serving query: `fn(warehouse) -> DataFrame` over whole marts."""
     def deco(fn):
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return to_output(fn(warehouse(spark, sf_dir)), rounded)
+            return to_output(fn(published(spark, sf_dir)), rounded)
         build.__name__ = name
         build.__doc__ = fn.__doc__
         rep = ", ".join(f"round({c}, {oracle.OUTPUT_DIGITS}) AS {c}" for c in rounded)
@@ -134,7 +147,7 @@ _PEAK = ", ".join(str(h) for h in serving_fixed.RUSH_HOURS)
 @_serve("q_hourly_weather_demand", """
 SELECT pickup_hour, borough, weather_severity, trip_count, avg_total_amount, avg_trip_duration_min
 FROM fct_weather_impact ORDER BY pickup_hour, borough, weather_severity""")
-def _q1(wh: Warehouse) -> DataFrame:
+def _q1(wh: Published) -> DataFrame:
     """V1: hourly demand under each weather severity."""
     return serving.hourly_weather_demand(wh.fct_weather_impact)
 
@@ -144,7 +157,7 @@ SELECT l.zone AS pickup_zone, r.trip_count, CAST(r.total_revenue_amount AS DOUBL
        r.avg_fare_amount
 FROM fct_fare_revenue r JOIN dim_location l ON r.pickup_location_id = l.location_id
 ORDER BY r.total_revenue_amount DESC, r.fare_revenue_key LIMIT {serving_fixed.TOP_REVENUE_ROWS}""")
-def _q2(wh: Warehouse) -> DataFrame:
+def _q2(wh: Published) -> DataFrame:
     """V2: top revenue rows joined to their zone."""
     return serving.top_zone_revenue(wh.fct_fare_revenue, wh.dim_location)
 
@@ -153,13 +166,13 @@ def _q2(wh: Warehouse) -> DataFrame:
 SELECT borough, weather_severity, CAST(SUM(trip_count) AS BIGINT) AS trip_count
 FROM fct_weather_impact WHERE weather_severity IN ({_SEV})
 GROUP BY borough, weather_severity ORDER BY borough, weather_severity""")
-def _q3(wh: Warehouse) -> DataFrame:
+def _q3(wh: Published) -> DataFrame:
     """V3: trip volume by borough and severity."""
     return serving.borough_severity_volume(wh.fct_weather_impact)
 
 
 @_serve("m_trip_count", "SELECT CAST(COALESCE(SUM(trip_count), 0) AS BIGINT) AS trip_count FROM fct_hourly_demand")
-def _m0(wh: Warehouse) -> DataFrame:
+def _m0(wh: Published) -> DataFrame:
     """V4: Trip Count."""
     return serving.trip_count(wh.fct_hourly_demand)
 
@@ -173,7 +186,7 @@ FROM (SELECT SUM(total_revenue_amount) AS tr, SUM(gross_fare_amount) AS gf, SUM(
 
 
 @_serve("m_average_fare", _REVENUE_SQL)
-def _m1(wh: Warehouse) -> DataFrame:
+def _m1(wh: Published) -> DataFrame:
     """V5/V6: Total Revenue, Gross Fare, Average Fare, Average Revenue Per Trip."""
     return serving.revenue_measures(wh.fct_fare_revenue)
 
@@ -190,7 +203,7 @@ CROSS JOIN
 
 @_serve("m_unweighted_averages", _UNWEIGHTED_SQL,
         ("average_trip_distance", "average_trip_duration_min", "average_precipitation", "average_temperature"))
-def _m2(wh: Warehouse) -> DataFrame:
+def _m2(wh: Published) -> DataFrame:
     """V7/V8/V9: unweighted averages of the facts' means and the rush-hour count."""
     return serving.unweighted_averages(wh.fct_hourly_demand, wh.fct_weather_impact)
 
@@ -206,7 +219,7 @@ FROM (SELECT CAST(COALESCE(SUM(CASE WHEN w.weather_group = 'rain' THEN h.trip_co
 
 
 @_serve("m_rain_snow_share", _SHARE_SQL)
-def _m3(wh: Warehouse) -> DataFrame:
+def _m3(wh: Published) -> DataFrame:
     """Rain Trip Share and Snow Trip Share."""
     return serving.rain_snow_share(wh.fct_hourly_demand, wh.dim_weather)
 
@@ -216,7 +229,7 @@ SELECT peak_trip_count, trip_count - peak_trip_count AS off_peak_trip_count, tri
 FROM (SELECT CAST(COALESCE(SUM(CASE WHEN c.hour_of_day IN ({_PEAK}) THEN h.trip_count END), 0) AS BIGINT) AS peak_trip_count,
              CAST(COALESCE(SUM(h.trip_count), 0) AS BIGINT) AS trip_count
       FROM fct_hourly_demand h LEFT JOIN dim_date_time c ON h.date_hour_key = c.date_hour_key) a""")
-def _m4(wh: Warehouse) -> DataFrame:
+def _m4(wh: Published) -> DataFrame:
     """Peak Hour Trip Count and Off Peak Trip Count."""
     return serving.peak_offpeak(wh.fct_hourly_demand, wh.dim_date_time)
 
@@ -228,7 +241,7 @@ FROM (SELECT CAST(COALESCE(SUM(trip_count), 0) AS BIGINT) AS trip_count FROM fct
 CROSS JOIN ({_REVENUE_SQL}) r
 CROSS JOIN ({_UNWEIGHTED_SQL}) u
 CROSS JOIN ({_SHARE_SQL}) s""", ("average_trip_duration_min", "average_precipitation"))
-def _m5(wh: Warehouse) -> DataFrame:
+def _m5(wh: Published) -> DataFrame:
     """KPI card row."""
     return serving.kpi_row(wh.fct_hourly_demand, wh.fct_fare_revenue, wh.fct_weather_impact, wh.dim_weather)
 
@@ -237,7 +250,7 @@ def _m5(wh: Warehouse) -> DataFrame:
 SELECT c.hour_ts, CAST(SUM(h.trip_count) AS BIGINT) AS trip_count
 FROM fct_hourly_demand h JOIN dim_date_time c ON h.date_hour_key = c.date_hour_key
 GROUP BY c.hour_ts ORDER BY c.hour_ts""")
-def _v12(wh: Warehouse) -> DataFrame:
+def _v12(wh: Published) -> DataFrame:
     """Trips by hour (line chart)."""
     return serving.hourly_trip_line(wh.fct_hourly_demand, wh.dim_date_time)
 
@@ -250,7 +263,7 @@ _PIVOT = ",\n".join(f"CAST(SUM(CASE WHEN c.hour_of_day = {h} THEN h.trip_count E
 SELECT c.iso_weekday_number, c.weekday_name, {_PIVOT}
 FROM fct_hourly_demand h JOIN dim_date_time c ON h.date_hour_key = c.date_hour_key
 GROUP BY c.iso_weekday_number, c.weekday_name ORDER BY c.iso_weekday_number""")
-def _v13(wh: Warehouse) -> DataFrame:
+def _v13(wh: Published) -> DataFrame:
     """Weekday x hour matrix."""
     return serving.weekday_hour_matrix(wh.fct_hourly_demand, wh.dim_date_time)
 
@@ -259,7 +272,7 @@ def _v13(wh: Warehouse) -> DataFrame:
 SELECT l.location_id, l.zone, CAST(SUM(h.trip_count) AS BIGINT) AS trip_count
 FROM fct_hourly_demand h JOIN dim_location l ON h.pickup_location_id = l.location_id
 GROUP BY l.location_id, l.zone ORDER BY trip_count DESC, l.location_id LIMIT {serving_fixed.TOP_ZONES}""")
-def _v16a(wh: Warehouse) -> DataFrame:
+def _v16a(wh: Published) -> DataFrame:
     """Top pickup zones by trips."""
     return serving.top_zones_by_trips(wh.fct_hourly_demand, wh.dim_location)
 
@@ -269,7 +282,7 @@ SELECT l.location_id, l.zone, CAST(SUM(r.total_revenue_amount) AS DOUBLE) AS tot
 FROM fct_fare_revenue r JOIN dim_location l ON r.pickup_location_id = l.location_id
 GROUP BY l.location_id, l.zone ORDER BY SUM(r.total_revenue_amount) DESC, l.location_id
 LIMIT {serving_fixed.TOP_ZONES}""")
-def _v16b(wh: Warehouse) -> DataFrame:
+def _v16b(wh: Published) -> DataFrame:
     """Top pickup zones by revenue."""
     return serving.top_zones_by_revenue(wh.fct_fare_revenue, wh.dim_location)
 
@@ -278,7 +291,7 @@ def _v16b(wh: Warehouse) -> DataFrame:
 SELECT l.borough, l.zone, l.location_id, CAST(SUM(h.trip_count) AS BIGINT) AS trip_count
 FROM fct_hourly_demand h JOIN dim_location l ON h.pickup_location_id = l.location_id
 GROUP BY l.borough, l.zone, l.location_id""")
-def _v17(wh: Warehouse) -> DataFrame:
+def _v17(wh: Published) -> DataFrame:
     """Trips by borough and zone (map data)."""
     return serving.zone_map(wh.fct_hourly_demand, wh.dim_location)
 
@@ -292,7 +305,7 @@ JOIN (SELECT pickup_location_id, SUM(gross_fare_amount) AS gf, SUM(trip_count) A
              SUM(total_revenue_amount) AS tr FROM fct_fare_revenue GROUP BY pickup_location_id) r
   ON t.pickup_location_id = r.pickup_location_id
 JOIN dim_location l ON t.pickup_location_id = l.location_id""")
-def _v18(wh: Warehouse) -> DataFrame:
+def _v18(wh: Published) -> DataFrame:
     """Zone table."""
     return serving.zone_table(wh.fct_hourly_demand, wh.fct_fare_revenue, wh.dim_location)
 
@@ -300,7 +313,7 @@ def _v18(wh: Warehouse) -> DataFrame:
 @_serve("v_hourly_precip_trips", """
 SELECT pickup_hour, CAST(SUM(trip_count) AS BIGINT) AS trip_count, AVG(avg_precipitation_mm) AS average_precipitation
 FROM fct_weather_impact GROUP BY pickup_hour ORDER BY pickup_hour""", ("average_precipitation",))
-def _v19(wh: Warehouse) -> DataFrame:
+def _v19(wh: Published) -> DataFrame:
     """Trips and average precipitation by hour."""
     return serving.hourly_precip_trips(wh.fct_weather_impact)
 
@@ -309,7 +322,7 @@ def _v19(wh: Warehouse) -> DataFrame:
 SELECT weather_severity, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
        SUM(avg_fare_amount * trip_count) / NULLIF(CAST(SUM(trip_count) AS DOUBLE), 0) AS average_fare
 FROM fct_weather_impact GROUP BY weather_severity""", ("average_fare",))
-def _v20(wh: Warehouse) -> DataFrame:
+def _v20(wh: Published) -> DataFrame:
     """Trips and average fare by severity."""
     return serving.severity_profile(wh.fct_weather_impact)
 
@@ -318,7 +331,7 @@ def _v20(wh: Warehouse) -> DataFrame:
 SELECT borough, pickup_hour, AVG(avg_precipitation_mm) AS average_precipitation,
        CAST(SUM(trip_count) AS BIGINT) AS trip_count
 FROM fct_weather_impact GROUP BY borough, pickup_hour""", ("average_precipitation",))
-def _v21(wh: Warehouse) -> DataFrame:
+def _v21(wh: Published) -> DataFrame:
     """Precipitation against trips per borough and hour."""
     return serving.precip_scatter(wh.fct_weather_impact)
 
@@ -327,7 +340,7 @@ def _v21(wh: Warehouse) -> DataFrame:
 SELECT pickup_borough AS borough, weather_severity, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
        AVG(avg_trip_duration_min) AS average_trip_duration_min
 FROM fct_hourly_demand GROUP BY pickup_borough, weather_severity""", ("average_trip_duration_min",))
-def _v22(wh: Warehouse) -> DataFrame:
+def _v22(wh: Published) -> DataFrame:
     """Borough x severity matrix."""
     return serving.borough_severity_matrix(wh.fct_hourly_demand)
 
@@ -338,7 +351,7 @@ def _v22(wh: Warehouse) -> DataFrame:
 SELECT c.hour_ts, CAST(SUM(h.trip_count) AS BIGINT) AS trip_count
 FROM fct_hourly_demand h JOIN dim_date_time c ON h.date_hour_key = c.date_hour_key
 WHERE CAST(h.pickup_hour AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-02-05' GROUP BY c.hour_ts""")
-def _s1(wh: Warehouse) -> DataFrame:
+def _s1(wh: Published) -> DataFrame:
     """F16: date range."""
     return serving.hourly_trip_line(wh.fct_hourly_demand, wh.dim_date_time, serving.Slicers(date_from="2024-01-10", date_to="2024-02-05"))
 
@@ -347,7 +360,7 @@ def _s1(wh: Warehouse) -> DataFrame:
 SELECT l.borough, l.zone, l.location_id, CAST(SUM(h.trip_count) AS BIGINT) AS trip_count
 FROM fct_hourly_demand h JOIN dim_location l ON h.pickup_location_id = l.location_id
 WHERE h.pickup_borough IN ('Bronx', 'EWR') GROUP BY l.borough, l.zone, l.location_id""")
-def _s2(wh: Warehouse) -> DataFrame:
+def _s2(wh: Published) -> DataFrame:
     """F16: borough."""
     return serving.zone_map(wh.fct_hourly_demand, wh.dim_location, serving.Slicers(boroughs=("Bronx", "EWR")))
 
@@ -356,13 +369,13 @@ def _s2(wh: Warehouse) -> DataFrame:
 SELECT pickup_borough AS borough, weather_severity, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
        AVG(avg_trip_duration_min) AS average_trip_duration_min
 FROM fct_hourly_demand WHERE weather_severity IN ('light', 'severe') GROUP BY pickup_borough, weather_severity""", ("average_trip_duration_min",))
-def _s3(wh: Warehouse) -> DataFrame:
+def _s3(wh: Published) -> DataFrame:
     """F16: weather severity."""
     return serving.borough_severity_matrix(wh.fct_hourly_demand, serving.Slicers(severities=("light", "severe")))
 
 
 @_serve("v_sliced_payment", _REVENUE_SQL.replace("FROM fct_fare_revenue", "FROM fct_fare_revenue WHERE payment_type_name = 'Cash'"))
-def _s4(wh: Warehouse) -> DataFrame:
+def _s4(wh: Published) -> DataFrame:
     """F16: payment type."""
     return serving.revenue_measures(wh.fct_fare_revenue, serving.Slicers(payment_types=("Cash",)))
 
@@ -370,7 +383,7 @@ def _s4(wh: Warehouse) -> DataFrame:
 @_serve("v_sliced_hour", """
 SELECT pickup_hour, CAST(SUM(trip_count) AS BIGINT) AS trip_count, AVG(avg_precipitation_mm) AS average_precipitation
 FROM fct_weather_impact WHERE hour(pickup_hour) IN (7, 8, 9) GROUP BY pickup_hour""", ("average_precipitation",))
-def _s5(wh: Warehouse) -> DataFrame:
+def _s5(wh: Published) -> DataFrame:
     """F16: hour of day."""
     return serving.hourly_precip_trips(wh.fct_weather_impact, serving.Slicers(hours_of_day=(7, 8, 9)))
 
@@ -378,7 +391,7 @@ def _s5(wh: Warehouse) -> DataFrame:
 @_serve("v_sliced_weather_group", """
 SELECT CAST(COALESCE(SUM(h.trip_count), 0) AS BIGINT) AS trip_count
 FROM fct_hourly_demand h WHERE h.weather_key IN (SELECT weather_key FROM dim_weather WHERE weather_group = 'rain')""")
-def _s6(wh: Warehouse) -> DataFrame:
+def _s6(wh: Published) -> DataFrame:
     """F16: weather group."""
     return serving.trip_count(wh.fct_hourly_demand, serving.Slicers(weather_groups=("rain",)), wh.dim_weather)
 
@@ -420,25 +433,25 @@ _REL_SQL = "\nUNION ALL\n".join(
 @register("dq_not_null", oracle.with_models(_NOT_NULL_SQL))
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1: NULL rows of the 23 declared not-null columns."""
-    return quality.not_null_checks(warehouse(spark, sf_dir).model)
+    return quality.not_null_checks(published(spark, sf_dir).model)
 
 
 @register("dq_unique", oracle.with_models(_UNIQUE_SQL))
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2: duplicated values of the 13 declared unique columns."""
-    return quality.unique_checks(warehouse(spark, sf_dir).model)
+    return quality.unique_checks(published(spark, sf_dir).model)
 
 
 @register("dq_accepted_values", oracle.with_models(_ACCEPTED_SQL))
 def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3-Q5: values outside the accepted lists."""
-    return quality.accepted_values_checks(warehouse(spark, sf_dir).model)
+    return quality.accepted_values_checks(published(spark, sf_dir).model)
 
 
 @register("dq_relationships", oracle.with_models(_REL_SQL))
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orphan foreign keys of the 6 declared relationships."""
-    return quality.relationship_checks(warehouse(spark, sf_dir).model)
+    return quality.relationship_checks(published(spark, sf_dir).model)
 
 
 @register("dq_trip_ranges", oracle.with_models(
@@ -446,7 +459,7 @@ def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     "trip_distance <= 0 OR fare_amount < 0 OR total_amount < 0 OR passenger_count < 0 OR passenger_count > 8"))
 def dq_trip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7: fact rows outside the valid ranges (empty = pass)."""
-    return to_output(quality.trip_range_violations(warehouse(spark, sf_dir).fct_taxi_trips))
+    return to_output(quality.trip_range_violations(published(spark, sf_dir).fct_taxi_trips).drop(job.PICKUP_MONTH))
 
 
 _RANGES = ("trip_duration_min <= 0 OR trip_distance <= 0 OR fare_amount < 0 OR total_amount < 0 OR passenger_count < 0 "
@@ -459,7 +472,7 @@ SELECT record_hash, trip_duration_min FROM (
 WHERE {_RANGES}"""))
 def dq_trip_ranges_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7 on the raw trips, which have rows that staging removes."""
-    trips = raw_tables(spark, sf_dir).trips
+    trips = published(spark, sf_dir).raw_taxi_trips_yellow
     timed = trips.withColumn("trip_duration_min", C.minutes_between("pickup_datetime", "dropoff_datetime"))
     return quality.trip_range_violations(timed).select("record_hash", "trip_duration_min")
 
@@ -471,7 +484,7 @@ FROM (SELECT COALESCE(CAST(COUNT(*) FILTER (WHERE weather_key <> 'unknown') AS D
                AS weather_join_coverage FROM fct_taxi_trips) c"""))
 def dq_weather_coverage_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q9: weather join coverage of the whole table against the threshold."""
-    return quality.coverage_total(warehouse(spark, sf_dir).fct_taxi_trips)
+    return quality.coverage_total(published(spark, sf_dir).fct_taxi_trips)
 
 
 @register("dq_month_gate", oracle.with_models(f"""
@@ -483,8 +496,8 @@ SELECT (SELECT COUNT(*) FROM raw_trips WHERE ingestion_month = DATE '{feeds.MONT
         - (SELECT SUM(trip_count) FROM fct_hourly_demand WHERE pickup_hour >= DATE '{feeds.MONTHS[1]}-01' AND pickup_hour < DATE '{feeds.MONTHS[2]}-01') AS BIGINT) AS gap"""))
 def dq_month_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q13-Q16 figures of one month (F10 load month, F11 pickup month)."""
-    wh = warehouse(spark, sf_dir)
-    return quality.month_gate(feeds.MONTHS[1], wh.raw.trips, wh.raw.weather, wh.fct_taxi_trips, wh.fct_hourly_demand)
+    wh = published(spark, sf_dir)
+    return quality.month_gate(feeds.MONTHS[1], wh.raw_taxi_trips_yellow, wh.raw_weather_hourly, wh.fct_taxi_trips, wh.fct_hourly_demand)
 
 
 @register("dq_weather_coverage", oracle.with_models(f"""
@@ -497,7 +510,7 @@ FROM (SELECT CAST(date_trunc('month', pickup_ts_local) AS DATE) AS pickup_month,
       FROM fct_taxi_trips GROUP BY 1) c"""))
 def dq_weather_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather join coverage per pickup month against the threshold."""
-    return quality.weather_coverage(warehouse(spark, sf_dir).fct_taxi_trips)
+    return quality.weather_coverage(published(spark, sf_dir).fct_taxi_trips)
 
 
 @register("dq_hourly_consistency", oracle.with_models("""
@@ -511,7 +524,7 @@ FULL OUTER JOIN (SELECT CAST(date_trunc('month', pickup_hour) AS DATE) AS pickup
   ON d.pickup_month = a.pickup_month"""))
 def dq_hourly_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip fact count minus hourly-mart rollup, per pickup month."""
-    wh = warehouse(spark, sf_dir)
+    wh = published(spark, sf_dir)
     return quality.hourly_consistency(wh.fct_taxi_trips, wh.fct_hourly_demand)
 
 
@@ -527,8 +540,8 @@ SELECT 'raw_weather_hourly' AS model, source_month AS month, COUNT(*) AS row_cou
 FROM raw_weather GROUP BY source_month"""))
 def dq_month_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per loaded month against the minimums."""
-    wh = warehouse(spark, sf_dir)
-    return quality.month_row_counts(wh.raw.trips, wh.raw.weather)
+    wh = published(spark, sf_dir)
+    return quality.month_row_counts(wh.raw_taxi_trips_yellow, wh.raw_weather_hourly)
 
 
 # --- prototype notebook ---------------------------------------------------------------
@@ -678,7 +691,7 @@ def norm_weather_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- load path: files under the shared folder -------------------------------------------
 
 def _folder(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4()}"
+    return removed_at_exit(spark, f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4()}")
 
 
 @register("src_trip_parquet", oracle.with_models("SELECT * EXCLUDE (file_month) FROM landed_trips"))
@@ -690,14 +703,34 @@ def src_trip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed_files.read_trip_months(spark, root, list(feeds.MONTHS)).drop("source_file")
 
 
-@register("src_weather_json", oracle.with_models(
-    f"SELECT * EXCLUDE (source_file) FROM ({_DOC_WEATHER}) m WHERE source_month = DATE '{feeds.MONTHS[0]}-01'"))
+@register("src_trip_schemas", oracle.with_models("SELECT * EXCLUDE (file_month) FROM landed_trips"))
+def src_trip_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips in 120 monthly files of three schemas (a spelling, a missing column, another type), read back in three scans."""
+    root = _folder(spark, "many-months")
+    number = F.pmod(F.timestamp_diff("MINUTE", feeds.ntz(feeds.START), F.col("tpep_pickup_datetime")), F.lit(120))
+    trips = landed_trips(spark, sf_dir).drop("file_month").withColumn("n", number)
+    forms = (trips, trips.withColumnRenamed("Airport_fee", "airport_fee").drop("cbd_congestion_fee"),
+             trips.withColumn("payment_type", F.col("payment_type").cast("int")))
+    for i, form in enumerate(forms):
+        (form.where(F.col("n") % len(forms) == i)
+             .withColumn("year", F.format_string("%04d", F.lit(2010) + F.floor(F.col("n") / 12)))
+             .withColumn("month", F.format_string("%02d", F.col("n") % 12 + 1))
+             .drop("n").write.mode("append").partitionBy("year", "month").parquet(f"{root}/taxi/yellow"))
+    months = [f"{2010 + n // 12}-{n % 12 + 1:02d}" for n in range(120)]
+    there = {p.rsplit("/", 2)[1][5:] + "-" + p[-2:] for p in commits.children(spark, f"{root}/taxi/yellow/year=*/month=*")}
+    both = landed_files.read_trip_months(spark, root, [m for m in months if m in there])
+    return both.withColumn("payment_type", F.col("payment_type").cast("bigint")).drop("source_file")
+
+
+@register("src_weather_json", oracle.with_models(f"SELECT * EXCLUDE (source_file) FROM ({_DOC_WEATHER}) m"))
 def src_weather_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A month of multi-line JSON documents, read back and normalised."""
-    root, month = _folder(spark, "weather"), feeds.MONTHS[0]
-    writers.land_weather_documents(feeds.month_documents(spark, sf_dir, month), root, month, multi_line=True)
-    docs = landed_files.read_weather_documents(spark, root, month)
-    return to_output(normalize.raw_weather_from_documents(docs, month, feeds.RUN_TS)).drop("source_file")
+    """Three months of multi-line JSON documents, read back and normalised."""
+    root, out = _folder(spark, "weather"), None
+    for month in feeds.MONTHS:
+        writers.land_weather_documents(feeds.month_documents(spark, sf_dir, month), root, month, multi_line=True)
+        rows = normalize.raw_weather_from_documents(landed_files.read_weather_documents(spark, root, month), month, feeds.RUN_TS)
+        out = rows if out is None else out.unionByName(rows)
+    return to_output(out).drop("source_file")
 
 
 @register("src_zone_csv", oracle.with_models("SELECT location_id, borough, zone, service_zone FROM raw_zone"))
@@ -718,12 +751,12 @@ def _monthly_trips(spark: SparkSession, sf_dir: str, month: str) -> DataFrame:
     replaced=oracle.LOADED))
 def sink_month_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: three months loaded, the second replaced by the trips of one vendor, read back."""
-    path = _folder(spark, "raw")
+    root, name = _folder(spark, "raw"), "raw_taxi_trips_yellow"
     for month in feeds.MONTHS:
-        writers.replace_month(_monthly_trips(spark, sf_dir, month), path, "ingestion_month", month)
+        writers.replace_month(_monthly_trips(spark, sf_dir, month), root, name, "ingestion_month", month)
     again = _monthly_trips(spark, sf_dir, feeds.MONTHS[1]).where("vendor_id = 1")
-    writers.replace_month(again, path, "ingestion_month", feeds.MONTHS[1])
-    return spark.read.parquet(path).select("record_hash", "ingestion_month")
+    after = writers.replace_month(again, root, name, "ingestion_month", feeds.MONTHS[1])
+    return after.read(spark, name).select("record_hash", "ingestion_month")
 
 
 @register("sink_csv_export", oracle.with_models("SELECT location_id, borough, zone, service_zone, is_nyc_borough FROM dim_location"))
@@ -736,18 +769,22 @@ def sink_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("dq_raw_extract", oracle.with_models(f"""
-SELECT COUNT(DISTINCT borough) AS documents, COUNT(*) AS weather_rows,
+SELECT source_month, COUNT(DISTINCT borough) AS documents, COUNT(*) AS weather_rows,
        CAST((COUNT(DISTINCT borough) <> {serving_fixed.WEATHER_FILES_PER_MONTH})::INTEGER
             + (COUNT(*) <= {serving_fixed.MIN_WEATHER_EXTRACT_ROWS})::INTEGER AS BIGINT) AS failures
-FROM raw_weather WHERE source_month = DATE '{feeds.MONTHS[0]}-01'""", replaced=oracle.LOADED))
+FROM raw_weather GROUP BY source_month""", replaced=oracle.LOADED))
 def dq_raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q10-Q12: schema and counts of one month's extract."""
-    month = feeds.MONTHS[0]
-    docs = feeds.month_documents(spark, sf_dir, month)
-    weather = normalize.raw_weather_from_documents(docs, month, feeds.RUN_TS)
-    found = docs.count()
-    errors = quality.raw_extract_checks(_monthly_trips(spark, sf_dir, month), weather, found)
-    return weather.agg(F.lit(found).cast("bigint").alias("documents"), F.count(F.lit(1)).alias("weather_rows"), F.lit(len(errors)).cast("bigint").alias("failures"))
+    """Q10-Q12: schema and counts of each month's extract."""
+    out = None
+    for month in feeds.MONTHS:
+        docs = feeds.month_documents(spark, sf_dir, month)
+        weather = normalize.raw_weather_from_documents(docs, month, feeds.RUN_TS)
+        found = docs.count()
+        errors = quality.raw_extract_checks(_monthly_trips(spark, sf_dir, month), weather, found)
+        row = weather.agg(F.lit(f"{month}-01").cast("date").alias("source_month"), F.lit(found).cast("bigint").alias("documents"),
+                          F.count(F.lit(1)).alias("weather_rows"), F.lit(len(errors)).cast("bigint").alias("failures"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @register("dq_load_constraints", oracle.with_models("""
@@ -761,19 +798,152 @@ def dq_load_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([("raw_taxi_zone_lookup", c, n) for c, n in found.items() if n], "model string, column_name string, failures bigint")
 
 
-@register("job_month_marts", oracle.with_models(oracle.model_select("fct_hourly_demand"), replaced=oracle.LOADED))
-def job_month_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L1-L3: three months landed, loaded month by month, marts built and published; the hourly mart."""
-    landing, root = _folder(spark, "landing"), _folder(spark, "warehouse")
+def _landed(spark: SparkSession, sf_dir: str, months: tuple[str, ...] = feeds.MONTHS) -> str:
+    """The feed's months as landed files."""
+    landing = _folder(spark, "landing")
     writers.land_zone_lookup(feeds.landed_zones(spark, sf_dir), landing)
-    for month in feeds.MONTHS:
+    for month in months:
         writers.land_trip_month(feeds.landed_month(spark, sf_dir, month), landing, month)
         writers.land_weather_documents(feeds.month_documents(spark, sf_dir, month), landing, month)
-        job.load_month(spark, job.normalize_month(spark, landing, root, month, feeds.RUN_TS, weather_multi_line=False), root, month)
+    return landing
+
+
+def _loaded(spark: SparkSession, sf_dir: str, months: tuple[str, ...] = feeds.MONTHS) -> tuple[str, str, dict[str, RawTables]]:
+    """Landing root, a warehouse with the feed's months loaded, and the raw rows of each load."""
+    landing, root = _landed(spark, sf_dir, months), _folder(spark, "warehouse")
+    raw = {m: job.normalize_month(spark, landing, f"{landing}/staged-{m}", m, feeds.RUN_TS, weather_multi_line=False).raw for m in months}
+    for month in months:
+        job.load_month(spark, raw[month], root, month)
+    return landing, root, raw
+
+
+def _smaller(raw: RawTables) -> RawTables:
+    """Another delivery of a month: one vendor's trips, four boroughs' weather, zones without the airport."""
+    return RawTables(trips=raw.trips.where("vendor_id = 1"), weather=raw.weather.where("borough <> 'Bronx'"), zones=raw.zones.where("borough <> 'EWR'"))
+
+
+class _Lost(RuntimeError):
+    """A driver that ends at a step."""
+
+
+def _lost_at(wanted: str) -> job.Progress:
+    def progress(step: str) -> None:
+        if step == wanted:
+            raise _Lost(step)
+    return progress
+
+
+def _broken(run, wanted: str) -> None:
+    try:
+        run(_lost_at(wanted))
+    except _Lost:
+        return
+    raise AssertionError(f"no step {wanted}")
+
+
+_LOAD_STEPS = (*job.RAW_TABLES.values(), key_filters.TABLE, "committed")
+_SECOND = f"DATE '{feeds.MONTHS[1]}-01'"
+
+
+@register("sink_commit_recovery", oracle.with_models(f"""
+SELECT s.step AS broken_after, m.month,
+       (SELECT COUNT(*) FROM raw_trips t WHERE t.ingestion_month = m.month AND (m.month <> {_SECOND} OR s.step <> 'committed' OR t.vendor_id = 1)) AS trip_rows,
+       (SELECT COUNT(*) FROM raw_weather w WHERE w.source_month = m.month AND (m.month <> {_SECOND} OR s.step <> 'committed' OR w.borough <> 'Bronx')) AS weather_rows,
+       (SELECT COUNT(*) FROM raw_zone z WHERE s.step <> 'committed' OR z.borough <> 'EWR') AS zone_rows
+FROM (SELECT unnest([{', '.join(f"'{x}'" for x in _LOAD_STEPS)}]) AS step) s
+CROSS JOIN (SELECT DISTINCT ingestion_month AS month FROM raw_trips) m""", replaced=oracle.LOADED))
+def sink_commit_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4/K5/L3: three months loaded, then a smaller delivery of the second, broken after each step; what readers
+    see of trips, weather and zones: all of the old load before the commit, all of the new one behind it."""
+    _, root, raw = _loaded(spark, sf_dir)
+    again, out = _smaller(raw[feeds.MONTHS[1]]), None
+    for step in _LOAD_STEPS:
+        _broken(lambda progress: job.load_month(spark, again, root, feeds.MONTHS[1], progress), step)
+        seen = job.read_raw(spark, root)
+        trips = seen.trips.groupBy(F.col("ingestion_month").alias("month")).agg(F.count(F.lit(1)).alias("trip_rows"))
+        weather = seen.weather.groupBy(F.col("source_month").alias("month")).agg(F.count(F.lit(1)).alias("weather_rows"))
+        zones = seen.zones.agg(F.count(F.lit(1)).alias("zone_rows"))  # one row
+        row = trips.join(weather, "month").crossJoin(zones).select(F.lit(step).alias("broken_after"), "month", "trip_rows", "weather_rows", "zone_rows")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("dq_keys_in_other_months", oracle.with_models(f"""
+SELECT ingestion_month, record_hash FROM raw_trips o
+WHERE ingestion_month <> {_SECOND} AND record_hash IN (
+  SELECT record_hash FROM raw_trips WHERE ingestion_month = {_SECOND}
+  UNION ALL SELECT record_hash FROM raw_trips WHERE ingestion_month = DATE '{feeds.MONTHS[0]}-01' AND payment_type = 1)""", replaced=oracle.LOADED))
+def dq_keys_in_other_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: keys of a delivery of the second month, into which trips of the first have got, that other months have."""
+    _, root, raw = _loaded(spark, sf_dir)
+    first, month = raw[feeds.MONTHS[0]].trips, feeds.MONTHS[1]
+    mixed = raw[month].trips.unionByName(first.where("payment_type = 1").withColumn("ingestion_month", F.lit(f"{month}-01").cast("date")))
+    state = commits.latest(spark, root)
+    return key_filters.repeated_keys(mixed, state.read(spark, "raw_taxi_trips_yellow"), state.read(spark, key_filters.TABLE), month)
+
+
+@register("job_month_marts", oracle.with_models(oracle.model_select("fct_hourly_demand"), replaced=oracle.LOADED))
+def job_month_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1-L3: three months landed, loaded month by month, marts built and published; the hourly mart."""
+    _, root, _ = _loaded(spark, sf_dir)
     job.build_marts(spark, root)
     return to_output(job.read_mart(spark, root, "fct_hourly_demand").drop(job.PICKUP_MONTH))
 
 
+_RELOADED = {"raw_trips": f"SELECT * FROM ({oracle.MONTHLY_TRIPS_SQL}) t WHERE ingestion_month <> DATE '{feeds.MONTHS[2]}-01' OR vendor_id = 1",
+             "raw_weather": f"SELECT * FROM ({oracle.WEATHER_DOC_SQL}) w WHERE source_month <> DATE '{feeds.MONTHS[2]}-01' OR borough <> 'Bronx'",
+             "raw_zone": f"SELECT * FROM ({dict(oracle.CTES)['raw_zone']}) z WHERE borough <> 'EWR'"}
+
+
+@register("job_incremental_marts", oracle.with_models(oracle.model_select("fct_weather_impact"), replaced=_RELOADED))
+def job_incremental_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: marts of three months built, a smaller delivery of the third loaded, the months it touches rebuilt;
+    the weather mart, which must be that of a full refresh."""
+    _, root, raw = _loaded(spark, sf_dir)
+    job.build_marts(spark, root)
+    month = feeds.MONTHS[2]
+    job.load_month(spark, _smaller(raw[month]), root, month)
+    job.rebuild_months(spark, root, set(feeds.MONTHS))  # the zones changed, so every month is touched
+    return to_output(job.read_mart(spark, root, "fct_weather_impact").drop(job.PICKUP_MONTH))
+
+
+def _gate_sql(month: str) -> str:
+    span = f"{{0}} >= DATE '{month}-01' AND {{0}} < DATE '{month}-01' + INTERVAL 1 MONTH"
+    return f"""
+SELECT '{month}' AS month, (SELECT COUNT(*) FROM raw_trips WHERE ingestion_month = DATE '{month}-01') AS taxi_rows,
+       (SELECT COUNT(*) FROM raw_weather WHERE source_month = DATE '{month}-01') AS weather_rows,
+       (SELECT CAST(COUNT(*) FILTER (WHERE weather_key <> 'unknown') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) FROM fct_taxi_trips WHERE {span.format('pickup_ts_local')}) AS weather_join_coverage,
+       CAST((SELECT COUNT(*) FROM fct_taxi_trips WHERE {span.format('pickup_ts_local')}) - (SELECT SUM(trip_count) FROM fct_hourly_demand WHERE {span.format('pickup_hour')}) AS BIGINT) AS gap"""
+
+
+@register("job_month_gates", oracle.with_models(" UNION ALL ".join(map(_gate_sql, feeds.MONTHS)), replaced=oracle.LOADED))
+def job_month_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4, Q13-Q16: the gate figures of three loaded months, counted while the tables were written where they were written for the month."""
+    _, root, _ = _loaded(spark, sf_dir)
+    rows = []
+    for month in feeds.MONTHS:
+        job.build_marts(spark, root, month=month)
+        rows.append((month, *job.month_figures(commits.latest(spark, root), month)))
+    return spark.createDataFrame(rows, "month string, taxi_rows bigint, weather_rows bigint, weather_join_coverage double, gap bigint")
+
+
+@register("job_restart", oracle.with_models(oracle.model_select("fct_weather_impact"), replaced=oracle.LOADED))
+def job_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: three months, the last by a run that loses its driver after each step and is started again; the weather mart."""
+    landing, root = _landed(spark, sf_dir), _folder(spark, "warehouse")
+    for month in feeds.MONTHS[:2]:
+        job.load_month(spark, job.normalize_month(spark, landing, f"{landing}/staged-{month}", month, feeds.RUN_TS, weather_multi_line=False).raw, root, month)
+    month = feeds.MONTHS[2]
+
+    def run(progress: job.Progress) -> None:
+        job.run_month(spark, landing, root, month, weather_multi_line=False, fail=False, ingested_at=feeds.RUN_TS, progress=progress)
+
+    for step in job.STEPS:
+        _broken(run, step)
+    run(job.no_progress)
+    return to_output(job.read_mart(spark, root, "fct_weather_impact").drop(job.PICKUP_MONTH))
+
+
 def queries() -> dict[str, Builder]:
     return dict(QUERIES)
 

@@ -69,10 +69,9 @@ def minutes_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     return (_clock_micros(end) - _clock_micros(start)).cast("double") / F.lit(60000000.0)
 
 
-def mean_minutes(c: ColumnOrName) -> Column:
-    """Average of minutes that come from whole microseconds: an exact integer sum, divided once."""
-    x = _c(c)
-    return F.sum(F.round(x * F.lit(60000000.0)).cast("bigint")).cast("double") / F.lit(60000000.0) / F.count(x).cast("double")
+def microseconds(minutes: ColumnOrName) -> Column:
+    """Minutes that come from whole microseconds, as that integer: its sums are exact."""
+    return F.round(_c(minutes) * F.lit(60000000.0)).cast("bigint")
 
 
 # --- code lookups -------------------------------------------------------------

@@ -14,7 +14,7 @@ Per table, all not_null columns are counted in one scan.
 from __future__ import annotations
 
 import calendar
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -96,10 +96,12 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def not_null_checks(models: Models) -> DataFrame:
-    """Q1: NULL rows per declared column, one aggregate pass per model."""
+def not_null_checks(models: Models, known: Collection[str] = ()) -> DataFrame:
+    """Q1: NULL rows per declared column, one aggregate pass per model (but those `known`)."""
     frames = []
     for model, cols in NOT_NULL.items():
+        if model in known:
+            continue
         agg = models(model).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
         frames += [_result(agg, "not_null", model, c, F.col(c)) for c in cols]
     return _union(frames)
@@ -159,11 +161,16 @@ def relationship_checks(models: Models) -> DataFrame:
     return _union(frames)
 
 
+def out_of_range() -> Column:
+    """Q7: is a fact row outside the valid ranges?"""
+    pax = F.col("passenger_count")
+    return ((F.col("trip_duration_min") <= 0) | (F.col("trip_distance") <= 0)
+            | (F.col("fare_amount") < 0) | (F.col("total_amount") < 0) | (pax < 0) | (pax > 8))
+
+
 def trip_range_violations(fct: DataFrame) -> DataFrame:
     """Q7: fact rows outside the valid ranges (empty = pass)."""
-    pax = F.col("passenger_count")
-    return fct.filter((F.col("trip_duration_min") <= 0) | (F.col("trip_distance") <= 0)
-                      | (F.col("fare_amount") < 0) | (F.col("total_amount") < 0) | (pax < 0) | (pax > 8))
+    return fct.filter(out_of_range())
 
 
 def pickup_month(ts: str) -> Column:
@@ -230,9 +237,9 @@ def month_row_counts(raw_trips: DataFrame, raw_weather: DataFrame,
     return u.select("*", (F.col("row_count") >= F.col("min_rows")).alias("passed"))
 
 
-def generic_checks(models: Models) -> DataFrame:
-    """All 46 declared generic checks as one result frame."""
-    return _union([not_null_checks(models), unique_checks(models), accepted_values_checks(models),
+def generic_checks(models: Models, known: Collection[str] = ()) -> DataFrame:
+    """All 46 declared generic checks as one result frame; without the not_null ones of models `known` from their writes."""
+    return _union([not_null_checks(models, known), unique_checks(models), accepted_values_checks(models),
                    relationship_checks(models)])
 
 
@@ -296,10 +303,8 @@ def month_gate(month: str, raw_trips: DataFrame, raw_weather: DataFrame, fct: Da
     return taxi.crossJoin(weather).crossJoin(overall_weather_coverage(month_fct)).crossJoin(gap)
 
 
-def warehouse_checks(month: str, raw_trips: DataFrame, raw_weather: DataFrame, fct: DataFrame,
-                     hourly: DataFrame, gate: WarehouseGate = WarehouseGate()) -> list[str]:
-    """Q13-Q16 for one month; returns failure messages (empty = pass)."""
-    row = month_gate(month, raw_trips, raw_weather, fct, hourly).first()
+def gate_errors(month: str, row, gate: WarehouseGate = WarehouseGate()) -> list[str]:
+    """Q13-Q16 for one month's figures; returns failure messages (empty = pass)."""
     year, number = map(int, month.split("-"))
     wanted = calendar.monthrange(year, number)[1] * 24 * len(fixed.NYC_BOROUGHS) * gate.weather_fraction
     errors = []
@@ -314,6 +319,29 @@ def warehouse_checks(month: str, raw_trips: DataFrame, raw_weather: DataFrame, f
     return errors
 
 
+def warehouse_checks(month: str, raw_trips: DataFrame, raw_weather: DataFrame, fct: DataFrame,
+                     hourly: DataFrame, gate: WarehouseGate = WarehouseGate()) -> list[str]:
+    """Q13-Q16 for one month, read from the tables."""
+    return gate_errors(month, month_gate(month, raw_trips, raw_weather, fct, hourly).first(), gate)
+
+
+# --- figures counted while a table is written ------------------------------------------
+
+def write_metrics(model: str) -> dict[str, Column]:
+    """Q1, Q7, Q9, Q13-Q16: aggregates of a model's rows, for `DataFrame.observe` on its write."""
+    out = {"rows": F.count(F.lit(1))} | {f"null_{c}": F.count_if(F.col(c).isNull()) for c in NOT_NULL.get(model, ())}
+    if model == "fct_taxi_trips":
+        out |= {"known_weather": F.count_if(F.col("weather_key") != fixed.UNKNOWN_WEATHER), "out_of_range": F.count_if(out_of_range())}
+    if model == "fct_hourly_demand":
+        out["trips"] = F.coalesce(F.sum("trip_count"), F.lit(0))
+    return out
+
+
+def observed_not_null(facts: dict[str, dict]) -> list[tuple]:
+    """Q1 from the figures of the writes: rows of (check, model, column, failures)."""
+    return [("not_null", model, c, int(facts[model][f"null_{c}"])) for model, columns in NOT_NULL.items() if model in facts for c in columns]
+
+
 def raise_if_failed(errors: list[str]) -> None:
     """Q17: fail fast with every message."""
     if errors:

@@ -5,13 +5,13 @@ plan from the raw scans to the mart.  The trip fact joins zones and
 borough-hour weather with plain joins: read from written tables their bytes
 are known, so the planner broadcasts them under its own threshold and the trip
 side is not shuffled; beyond it, AQE splits hot keys of the sort-merge join.  The three
-aggregate facts are hash aggregations with a map-side partial step, so a hot
-zone or hour collapses to one row per task before the shuffle.
+aggregate facts are sums of one mergeable pre-aggregate (`trip_sums`), a hash aggregation with a map-side partial
+step, so a hot zone or hour collapses to one row per task before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -154,43 +154,68 @@ def fct_taxi_trips(stg_trips: DataFrame, dim_loc: DataFrame, stg_weather: DataFr
     )
 
 
-def fct_hourly_demand(fct: DataFrame) -> DataFrame:
+# sums of the trip fact at the finest grain that the three aggregate facts share
+_SUM_KEYS = ("date_hour_key", "date_key", "pickup_hour", "pickup_date", "pickup_location_id", "pickup_borough", "pickup_zone",
+             "weather_key", "weather_severity", "is_weekend", "is_rush_hour", "payment_type_name")
+_SUMMED = ("passenger_count", "trip_distance", "fare_amount", "total_amount", "tip_amount", "fare_per_mile", "precipitation_mm", "temperature_2m")
+
+
+def trip_sums(fct: DataFrame) -> DataFrame:
+    """Counts and sums of trips by hour, zone, weather condition and payment type.
+
+    Everything in it adds up: rows of different loads or months may be put together, and the
+    three facts below are sums of its rows.  Money, distances and weather are exact decimal sums, durations
+    sums of whole microseconds, so the order of adding changes no bit of them."""
+    sums = [x for c in _SUMMED for x in (F.sum(c).alias(f"s_{c}"), F.count(c).alias(f"n_{c}"))]
+    return fct.groupBy(*_SUM_KEYS).agg(F.count(F.lit(1)).alias("trips"), *sums, F.sum(C.microseconds("trip_duration_min")).alias("s_micros"),
+                                       F.count("trip_duration_min").alias("n_micros"))
+
+
+def _mean(column: str) -> Column:
+    return F.sum(f"s_{column}").cast("double") / F.sum(f"n_{column}").cast("double")
+
+
+def _mean_minutes() -> Column:
+    return F.sum("s_micros").cast("double") / F.lit(60000000.0) / F.sum("n_micros").cast("double")
+
+
+def fct_hourly_demand(sums: DataFrame) -> DataFrame:
     """A1, M7: hour x pickup zone x weather condition."""
-    g = fct.groupBy("date_hour_key", "date_key", "pickup_hour", "pickup_location_id", "pickup_borough",
-                    "pickup_zone", "weather_key", "weather_severity", "is_weekend").agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.sum("passenger_count").alias("passenger_count_total"),
-        C.mean_exact("trip_distance").alias("avg_trip_distance"),
-        C.mean_minutes("trip_duration_min").alias("avg_trip_duration_min"),
-        C.mean_exact("fare_amount").alias("avg_fare_amount"),
-        C.mean_exact("total_amount").alias("avg_total_amount"))
+    g = sums.groupBy("date_hour_key", "date_key", "pickup_hour", "pickup_location_id", "pickup_borough",
+                     "pickup_zone", "weather_key", "weather_severity", "is_weekend").agg(
+        F.sum("trips").alias("trip_count"),
+        F.sum("s_passenger_count").cast("decimal(20,2)").alias("passenger_count_total"),
+        _mean("trip_distance").alias("avg_trip_distance"),
+        _mean_minutes().alias("avg_trip_duration_min"),
+        _mean("fare_amount").alias("avg_fare_amount"),
+        _mean("total_amount").alias("avg_total_amount"))
     return g.select(C.md5_key("date_hour_key", "pickup_location_id", "weather_key").alias("hourly_demand_key"), "*")
 
 
-def fct_fare_revenue(fct: DataFrame) -> DataFrame:
+def fct_fare_revenue(sums: DataFrame) -> DataFrame:
     """A2, M8: day x pickup zone x payment type."""
-    g = fct.groupBy("date_key", "pickup_date", "pickup_location_id", "pickup_borough", "pickup_zone",
-                    "payment_type_name").agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.sum("fare_amount").alias("gross_fare_amount"),
-        F.sum("total_amount").alias("total_revenue_amount"),
-        F.sum("tip_amount").alias("total_tip_amount"),
-        C.mean_exact("fare_amount").alias("avg_fare_amount"),
-        C.mean_exact("total_amount").alias("avg_total_amount"),
-        F.avg("fare_per_mile").alias("avg_fare_per_mile"))
+    g = sums.groupBy("date_key", "pickup_date", "pickup_location_id", "pickup_borough", "pickup_zone",
+                     "payment_type_name").agg(
+        F.sum("trips").alias("trip_count"),
+        F.sum("s_fare_amount").cast("decimal(22,2)").alias("gross_fare_amount"),
+        F.sum("s_total_amount").cast("decimal(22,2)").alias("total_revenue_amount"),
+        F.sum("s_tip_amount").cast("decimal(22,2)").alias("total_tip_amount"),
+        _mean("fare_amount").alias("avg_fare_amount"),
+        _mean("total_amount").alias("avg_total_amount"),
+        _mean("fare_per_mile").alias("avg_fare_per_mile"))
     return g.select(C.md5_key("date_key", "pickup_location_id", "payment_type_name").alias("fare_revenue_key"), "*")
 
 
-def fct_weather_impact(fct: DataFrame) -> DataFrame:
+def fct_weather_impact(sums: DataFrame) -> DataFrame:
     """A3, M9: hour x borough x weather condition."""
-    g = fct.groupBy("date_hour_key", "date_key", "pickup_hour", F.col("pickup_borough").alias("borough"),
-                    "weather_key", "weather_severity").agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        C.mean_exact("fare_amount").alias("avg_fare_amount"),
-        C.mean_exact("total_amount").alias("avg_total_amount"),
-        C.mean_minutes("trip_duration_min").alias("avg_trip_duration_min"),
-        C.mean_exact("trip_distance").alias("avg_trip_distance"),
-        C.mean_exact("precipitation_mm").alias("avg_precipitation_mm"),
-        C.mean_exact("temperature_2m").alias("avg_temperature_2m"),
-        F.count_if(F.col("is_rush_hour")).alias("rush_hour_trip_count"))
+    g = sums.groupBy("date_hour_key", "date_key", "pickup_hour", F.col("pickup_borough").alias("borough"),
+                     "weather_key", "weather_severity").agg(
+        F.sum("trips").alias("trip_count"),
+        _mean("fare_amount").alias("avg_fare_amount"),
+        _mean("total_amount").alias("avg_total_amount"),
+        _mean_minutes().alias("avg_trip_duration_min"),
+        _mean("trip_distance").alias("avg_trip_distance"),
+        _mean("precipitation_mm").alias("avg_precipitation_mm"),
+        _mean("temperature_2m").alias("avg_temperature_2m"),
+        F.coalesce(F.sum(F.when(F.col("is_rush_hour"), F.col("trips"))), F.lit(0)).alias("rush_hour_trip_count"))
     return g.select(C.md5_key("date_hour_key", "borough", "weather_severity").alias("weather_impact_key"), "*")

@@ -60,17 +60,21 @@ class Warehouse:
     def fct_taxi_trips(self) -> DataFrame:
         return marts.fct_taxi_trips(self.stg_taxi_trips, self.dim_location, self.stg_weather_hourly)
 
+    @cached_property
+    def trip_sums(self) -> DataFrame:
+        return marts.trip_sums(self.fct_taxi_trips)
+
     @cached_property
     def fct_hourly_demand(self) -> DataFrame:
-        return marts.fct_hourly_demand(self.fct_taxi_trips)
+        return marts.fct_hourly_demand(self.trip_sums)
 
     @cached_property
     def fct_fare_revenue(self) -> DataFrame:
-        return marts.fct_fare_revenue(self.fct_taxi_trips)
+        return marts.fct_fare_revenue(self.trip_sums)
 
     @cached_property
     def fct_weather_impact(self) -> DataFrame:
-        return marts.fct_weather_impact(self.fct_taxi_trips)
+        return marts.fct_weather_impact(self.trip_sums)
 
     RAW_NAMES = {"raw_taxi_trips_yellow": "trips", "raw_weather_hourly": "weather",
                  "raw_taxi_zone_lookup": "zones"}

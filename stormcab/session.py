@@ -26,7 +26,8 @@ SESSION_CONF = {
     # scan splits of at most 128 MB (Parquet row groups are the unit)
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
+    # files of checkpoints go when their frame is no longer used
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

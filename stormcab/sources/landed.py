@@ -6,17 +6,21 @@ Layout of a landing root (month-partitioned, Hive style):
     <root>/weather/year=YYYY/month=MM/<borough>.json     (one document each)
     <root>/reference/taxi_zone_lookup.csv
 
-Each trip month is read on its own and months are combined with
+Trip months of one schema are read together and schemas combined with
 `unionByName(allowMissingColumns=True)`: monthly files disagree on column
 spellings and types, which a merged-schema read would reject.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
+from . import commits
 
 
 def trip_month_dir(root: str, month: str, dataset: str = "yellow") -> str:
@@ -44,11 +48,19 @@ def read_trip_month(spark: SparkSession, root: str, month: str, dataset: str = "
 
 
 def read_trip_months(spark: SparkSession, root: str, months: list[str], dataset: str = "yellow") -> DataFrame:
-    """S1 over several months: union by name, missing columns as NULL."""
-    frames = [read_trip_month(spark, root, m, dataset) for m in months]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+    """S1 over several months: union by name, missing columns as NULL.
+
+    Files disagree on spellings and types, so they are grouped by the schema in their footers and each
+    schema is one scan, however many months there are."""
+    groups: dict[str, list[str]] = {}
+    for month in months:
+        path = trip_month_dir(root, month, dataset)
+        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    out = None
+    for schema, paths in groups.items():
+        df = (spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*paths)
+              .withColumn("source_file", F.col("_metadata.file_path")))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
 
 
@@ -69,5 +81,5 @@ def read_zone_lookup(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    """A warehouse table; filters on its partition column prune directories."""
-    return spark.read.parquet(f"{warehouse}/{name}")
+    """A warehouse table as last committed; filters on its partition column prune directories."""
+    return commits.latest(spark, warehouse).read(spark, name)

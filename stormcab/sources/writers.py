@@ -1,40 +1,17 @@
 """Sinks (K1-K8): month replacement, full refresh, CSV export, landing files.
 
-Month replacement writes the month to a staging folder and moves it into the
-place of the old partition: other months survive, a failed write leaves the old
-month as it was, and a task that is retried after an executor loss rewrites the same files (the
-commit protocol moves them into place at job commit).  A month that arrives empty removes its old partition,
-matching "delete the month, then load" of the original loader.  A set of tables is
-published together by `publish`: they are written to a version folder of their own, and a
-pointer file names the version that readers use.
+Tables are written as folders of their own and published by a commit file (`commits`): other months
+survive, a failed write changes nothing that readers see, and a task that is retried after an executor
+loss writes the same files again.  A month that arrives empty has no folder any more, matching "delete the month, then
+load" of the original loader.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import landed
-
-
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return fs.exists(p)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder, if it is there."""
-    fs, p = _fs_path(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
+from . import commits, landed
 
 
 def only_month(df: DataFrame, partition_column: str, month: str) -> DataFrame:
@@ -46,65 +23,23 @@ def only_month(df: DataFrame, partition_column: str, month: str) -> DataFrame:
     return df.filter(F.when(F.col(partition_column) == first, True).otherwise(wrong))
 
 
-def replace_month(df: DataFrame, table_path: str, partition_column: str, month: str) -> None:
-    """K4/K5: replace one month partition (DELETE month + INSERT, idempotent).
+def month_written(before: commits.Snapshot, df: DataFrame, name: str, partition_column: str, month: str,
+                  metrics: dict[str, Column] | None = None) -> commits.Table:
+    """K4/K5: a table's state with one month replaced, written and not yet committed.
 
     A row of another month fails the load.  A month without rows is removed."""
-    spark = df.sparkSession
-    partition = f"{table_path}/{partition_column}={month}-01"
-    staged = f"{table_path}__staged/{uuid.uuid4()}"  # written once; the old month stays until all of the new one is there
-    only_month(df, partition_column, month).drop(partition_column).write.parquet(staged)
-    if spark.read.parquet(staged).isEmpty():
-        remove(spark, staged)
-        staged = None
-    swap_folder(spark, staged, partition)
-
-
-def swap_folder(spark: SparkSession, new: str | None, path: str) -> None:
-    """Put folder `new` (or nothing) in the place of `path` by renames, without rewriting data."""
-    fs, target = _fs_path(spark, path)
-    if fs.exists(target):
-        fs.delete(target, True)
-    if new is not None:
-        fs.mkdirs(target.getParent())
-        if not fs.rename(_fs_path(spark, new)[1], target):
-            raise OSError(f"{new} could not be moved to {path}")
-
-
-def overwrite_table(df: DataFrame, table_path: str, partition_by: str | None = None) -> None:
-    """K3/K7: full refresh of a table."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(table_path)
-
-
-CURRENT = "_current"
-
-
-def new_version(root: str) -> str:
-    """A folder for a new version of the tables under `root`, not visible to readers yet."""
-    return f"{root}/versions/{uuid.uuid4()}"
-
-
-def publish(spark: SparkSession, root: str, version: str) -> None:
-    """Make a fully written version the one that readers see, and remove the one before.
-
-    The pointer is one small file, replaced last: until then a failure leaves the old version in use."""
-    before = current_version(spark, root)
-    pointer = spark.range(1).coalesce(1).select(F.lit(version).alias("value"))
-    staged = f"{root}/{CURRENT}__staged/{uuid.uuid4()}"
-    pointer.write.text(staged)
-    swap_folder(spark, staged, f"{root}/{CURRENT}")
-    if before and before != version:
-        remove(spark, before)
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """The folder of the published version, if there is one."""
-    if not path_exists(spark, f"{root}/{CURRENT}"):
-        return None
-    return spark.read.text(f"{root}/{CURRENT}").first()["value"]
+    new = commits.write(only_month(df, partition_column, month), before.root, name, partition_column, metrics)
+    value = f"{month}-01"
+    if not new.folders and metrics:
+        new.facts.clear()
+    return before.tables[name].replaced(new, [value]) if before.has(name) else new
+
+
+def replace_month(df: DataFrame, root: str, name: str, partition_column: str, month: str) -> commits.Snapshot:
+    """K4/K5: replace one month of one table (DELETE month + INSERT, idempotent) and commit."""
+    before = commits.latest(df.sparkSession, root)
+    written = month_written(before, df, name, partition_column, month)
+    return commits.commit(df.sparkSession, before, {name: written}, f"{name} {month}")
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -46,7 +46,7 @@ def load_changed_months(spark: SparkSession, root: str, warehouse: str, dataset:
         for month in changed_months(batch):
             src = landed.read_trip_month(spark, root, month, dataset)
             raw = normalize.raw_trips(src, month, F.col("source_file"), ts)
-            writers.replace_month(raw, f"{warehouse}/{RAW_TRIPS}", "ingestion_month", month)
+            writers.replace_month(raw, warehouse, RAW_TRIPS, "ingestion_month", month)
     return handle
 
 
@@ -76,7 +76,7 @@ def load_changed_weather_months(spark: SparkSession, root: str, warehouse: str,
         for month in changed_months(batch):
             docs = landed.read_weather_documents(spark, root, month, multi_line)
             raw = normalize.raw_weather_from_documents(docs, month, ts)
-            writers.replace_month(raw, f"{warehouse}/{RAW_WEATHER}", "source_month", month)
+            writers.replace_month(raw, warehouse, RAW_WEATHER, "source_month", month)
     return handle
 
 
