@@ -179,25 +179,29 @@ def commit(spark: SparkSession, before: Snapshot, changes: dict[str, Table], not
     return after
 
 
+def _kept(spark: SparkSession, last: Snapshot) -> set[str]:
+    """Folders of the last commit and of the `KEPT` before it."""
+    states = [last, *(at(spark, last.root, n) for n in range(max(0, last.number - KEPT), last.number))]
+    return {f for s in states for t in s.tables.values() for f in t.folders.values()}
+
+
 def clean(spark: SparkSession, last: Snapshot) -> None:
-    """Remove the folders that only commits older than the kept ones name, and those commits."""
-    old = [n for n in numbers(spark, last.root) if n < last.number - KEPT]
-    if not old:
-        return
-    used = {f for n in range(max(0, last.number - KEPT), last.number + 1) for t in at(spark, last.root, n).tables.values() for f in t.folders.values()}
-    for n in old:
-        for table in at(spark, last.root, n).tables.values():
+    """Remove the folders that only the commit which is no longer kept names.
+
+    Commit files stay, so that a writer which started long ago finds its number taken."""
+    gone = last.number - KEPT - 1
+    if gone >= 0:
+        used = _kept(spark, last)
+        for table in at(spark, last.root, gone).tables.values():
             for folder in set(table.folders.values()) - used:
                 remove(spark, f"{last.root}/{folder}")
-        remove(spark, _commit_file(last.root, n))
 
 
 def sweep(spark: SparkSession, root: str) -> list[str]:
-    """Remove folders that no commit names (of broken runs); only when no writer is at work."""
-    used = {f"{root}/{f}" for n in numbers(spark, root) for t in at(spark, root, n).tables.values() for f in t.folders.values()}
+    """Remove folders that no kept commit names (of broken runs); only when no writer is at work."""
+    used = _kept(spark, latest(spark, root))
     loads = children(spark, f"{root}/*/{LOAD}=*") + children(spark, f"{root}/*/*/{LOAD}=*")
-    named = {u.split(":", 1)[-1].lstrip("/") for u in used}
-    gone = [p for p in loads if p.split(":", 1)[-1].lstrip("/") not in named]
+    gone = [p for p in loads if not any(p.endswith(f"/{f}") for f in used)]
     for p in gone:
         remove(spark, p)
     return gone
