@@ -17,8 +17,8 @@ and `title`; one that is not closed runs to the end of the page, as in browsers.
 A map over the rows: no shuffle, one batch in memory.
 
 Defined results: a null or empty body has an empty conversion and a metadata record; a null URL leaves out
-the URI headers; a null id is an id like any other; repeated rows give repeated records with the same ids; other
-columns are not read.
+the URI headers; a null id is an id like any other; repeated rows give repeated records with the same ids; an empty table gives no
+record; other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,13 +39,16 @@ DATE = "2024-01-01T00:00:00Z"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace of RFC 4122
 SLICE = 500
 
-# a head may be left unclosed, so not the head goes but what of it is not shown
-UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|noframes|template|title)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
-BLOCKS = re.compile(r"</?(?:p|div|br|hr|h[1-6]|ul|ol|li|table|tr|section|article|nav|header|footer|blockquote|pre|body|html|main|aside|title|dl|dt|dd|form)\b[^>]*>", re.I)
-TAGS = re.compile(r"<(?:[a-zA-Z/!?][^>]*)>")
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+# inside a tag a > may stand in a quoted value; a name ends at white space, / or >, so `title-bar` is no `title`
+INSIDE = r"(?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+"
+ENDS = r"(?=[\s/>])"
+# a head may be left unclosed, so not the head goes but what of it is not shown; <!--> and <!---> are whole comments
+UNSEEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style|noscript|noframes|template|title){ENDS}{INSIDE}(?:>.*?(?:</\1{ENDS}[^>]*>|\Z)|\Z)", re.S | re.I)
+BLOCKS = re.compile(rf"</?(?:p|div|br|hr|h[1-6]|ul|ol|li|table|tr|section|article|nav|header|footer|blockquote|pre|body|html|main|aside|title|dl|dt|dd|form){ENDS}{INSIDE}>", re.I)
+TAGS = re.compile(rf"<[a-zA-Z/!?]{INSIDE}>")
+TITLE = re.compile(rf"<title{ENDS}{INSIDE}>(.*?)</title\s*>", re.S | re.I)
 LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-LINKS = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+LINKS = re.compile(r"<a(?=[\s/>])[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPACES = re.compile(r"[ \t\r\f\v\xa0]+")
 LINES = re.compile(r" ?\n[ \n]*")
 

@@ -6,8 +6,10 @@ import collections
 import gzip
 import hashlib
 import random
+from html.parser import HTMLParser
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from pyspark.sql import functions as F
@@ -23,22 +25,53 @@ def test_mixing_matches_sql(spark):
     assert 0 < sum(r[6] for r in got) < len(got)
 
 
-def test_raked_shares_meet_the_targets(spark):
+def expected(rows, d):
+    """Tokens that a sample is expected to have of each value, and the value's target."""
+    held, aim = collections.Counter(), {}
+    for r in rows:
+        held[r[d]] += r.chance * r.tokens
+        aim[r[d]] = r[f"target_{d}"]
+    return held, aim
+
+
+def test_raked_samples_meet_the_targets(spark):
     rng = random.Random(2)
     cells = [(f"s{i}", f"l{j}", f"t{k}", 1, rng.randint(1, 1000)) for i in range(5) for j in range(3) for k in range(2)]
     df = spark.createDataFrame(cells, "source string, lang string, topic string, n long, tokens long")
+    total = sum(c[4] for c in cells)
     targets = {"lang": spark.createDataFrame([("l0", 0.5), ("l1", 0.25), ("l2", 0.25)], "value string, share double")}
-    rows = mixing.rake(df, targets, sweeps=15).collect()
-    by_lang = collections.Counter()
-    for r in rows:
-        by_lang[r.lang] += r.w
-    assert all(abs(by_lang[v] - s) < 1e-6 for v, s in (("l0", 0.5), ("l1", 0.25), ("l2", 0.25)))
-    for d in ("source", "topic"):
-        held, share = collections.Counter(), {}
-        for r in rows:
-            held[r[d]] += r.w
-            share[r[d]] = r[f"share_{d}"]
-        assert all(abs(held[v] - share[v]) < 1e-6 for v in held)
+    rows = mixing.rake(df, targets, keep=0.3).collect()
+    held, _ = expected(rows, "lang")
+    assert all(abs(held[v] / (0.3 * total) - s) < 1e-3 for v, s in (("l0", 0.5), ("l1", 0.25), ("l2", 0.25)))
+    for keep in (0.3, 0.8):
+        rows = mixing.rake(df, None, keep=keep).collect()
+        assert all(0 <= r.chance <= 1 for r in rows)
+        for d in mixing.DIMENSIONS:
+            held, aim = expected(rows, d)
+            assert abs(sum(held.values()) - keep * total) < 1e-3 * total
+            assert all(abs(held[v] - aim[v]) < 0.01 * keep * total for v in held)
+
+
+def test_targets_beyond_what_there_is_give_all_of_it(spark):
+    df = spark.createDataFrame([("a", 10), ("b", 90), ("c", 900)], "source string, tokens long")
+    wanted = spark.createDataFrame([("a", 0.5), ("b", 0.25), ("c", 0.25), ("nowhere", 9.0)], "value string, share double")
+    got = {r.value: r.target for r in mixing.reachable(df, "source", wanted, 500.0).collect()}
+    assert got == {"a": 10.0, "b": 90.0, "c": 400.0}
+    got = {r.value: r.target for r in mixing.reachable(df, "source", wanted, 40.0).collect()}
+    assert got["a"] == 10.0 and abs(got["b"] - 15) < 1e-9 and abs(got["c"] - 15) < 1e-9
+
+
+def test_the_sample_has_the_budget(spark):
+    rows = mixing.op5_mixing(spark, SMOKE).collect()
+    total = sum(r.n_tokens for r in rows)
+    assert abs(sum(r.probability * r.n_tokens for r in rows) - mixing.KEEP * total) < 0.001 * total
+    assert abs(sum(r.n_tokens for r in rows if r.sampled) - mixing.KEEP * total) < 0.1 * total
+
+
+def test_a_part_of_the_values_targeted(spark):
+    df = spark.createDataFrame([("a", "x", "t", 1, 100), ("b", "x", "t", 1, 300), ("b", "y", "u", 1, 50)], "source string, lang string, topic string, n long, tokens long")
+    rows = mixing.rake(df, {"source": spark.createDataFrame([("a", 1.0)], "value string, share double")}, keep=0.8).collect()
+    assert {r.source: r.chance > 0.999 for r in rows if r.lang == "x"} == {"a": True, "b": False}
 
 
 def test_mixing_edges(spark):
@@ -151,3 +184,64 @@ def test_warc_records(spark, scratch):
             back.append((fields["WARC-Record-ID"], fields["WARC-Refers-To"], fields["WARC-Block-Digest"], block))
     assert sorted(back) == sorted((r.record_id, r.refers_to, r.block_digest, r.block.encode()) for r in rows)
     assert warc_derivatives.derive(warc_derivatives.responses(pages.limit(0))).count() == 0
+
+
+class Reader(HTMLParser):
+    """The visible words of a page by the library's parser."""
+
+    BLOCK = set("p div br hr h1 h2 h3 h4 h5 h6 ul ol li table tr section article nav header footer blockquote pre body html main aside title dl dt dd form".split())
+    HIDDEN = {"script", "style", "noscript", "noframes", "template", "title"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.said, self.hidden = [], None
+
+    def handle_starttag(self, tag, attrs):
+        if self.hidden is None and tag in self.HIDDEN:
+            self.hidden = tag
+        self.said.append("\n" if tag in self.BLOCK else "")
+
+    def handle_endtag(self, tag):
+        if tag == self.hidden:
+            self.hidden = None
+        self.said.append("\n" if tag in self.BLOCK else "")
+
+    def handle_data(self, data):
+        if self.hidden is None:
+            self.said.append(data)
+
+    @classmethod
+    def words(cls, page):
+        reader = cls()
+        reader.feed(page)
+        reader.close()
+        return "".join(reader.said).split()
+
+
+PAGES = ["<body><title-bar>x</title-bar><p>all of the page</p>", "c<!-- d -->e", "<p title=\"a>b\">c</p><p title='x>y' class=z>d</p>",
+         "<style-guide>a</style-guide><script-x>b</script-x><template-y>c</template-y><noscript-z>d</noscript-z>", "<script>if (a < b) {}</script>z", "<SCRIPT src='x'>q</SCRIPT >z",
+         "<p>a<p-card>b</p-card>c", "<head><title>t</title><body>x", "1 < 2 &amp; 3 &gt; 2", "<a href=x>l</a><b>m</b>n", "<p\n class=\"a\nb\">x</p>", "", "plain", "<img alt=\"1 > 0\"/>k<br/>m"]
+
+
+def test_text_equals_a_parsers():
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"]).column("html").to_pylist()
+    assert len(pages) > 100
+    for page in [*PAGES, *(p for p in pages if p)]:
+        assert warc_derivatives.plain_text(page).split() == Reader.words(page), page[:300]
+
+
+def test_text_of_broken_and_long_pages():
+    assert warc_derivatives.plain_text("a<!-->b<!--->c<!-- d -->e") == "abce"  # as HTML has it; the parser above does not
+    assert warc_derivatives.plain_text("<p title=\"never closed>x") == "x"
+    assert warc_derivatives.plain_text("a<script>b") == "a" and warc_derivatives.plain_text("a<script b") == "a" and warc_derivatives.plain_text("a<!-- b") == "a"
+    long = "<p " + "a=\"b\" " * 100_000  # a tag that never ends
+    assert warc_derivatives.plain_text(long + "<") is not None
+    assert len(warc_derivatives.plain_text("<p>word</p>" * 200_000).split()) == 200_000
+
+
+def test_derive_leaves_other_columns_alone(spark):
+    pages = spark.createDataFrame([(1, "http://a", "<p>x</p>", "clash", "clash"), (None, None, None, None, None)],
+                                  "page_id long, url string, html string, header string, record_type string")
+    rows = warc_derivatives.derive(warc_derivatives.responses(pages)).collect()
+    assert sorted((r.record_type, r.block) for r in rows if r.record_type == "conversion") == [("conversion", ""), ("conversion", "x")]
+    assert warc_derivatives.derive(warc_derivatives.responses(pages.limit(0))).count() == 0
