@@ -9,12 +9,15 @@ decides about all of it:
 4. mixing: documents are sampled to the raked source, language and topic weights;
 5. best-fit packing: what is left goes to bins of 2,048 words.
 
-All but the last return the columns of `documents`.  A run that lost its driver can
-start again from the last stage written.
+All but the last return the columns of `documents`.  A run that lost its driver goes on behind the last stage it
+wrote if it is given that run's folder; the folder of a run without one goes when the application ends.
+An empty table gives no bin.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,12 +65,33 @@ STAGES = [
 ]
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over all documents."""
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
+def written(spark: SparkSession, path: str) -> bool:
+    """Has a stage been written whole to `path`?"""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def folder_for_now(spark: SparkSession) -> str:
+    """A folder of its own that goes when the application ends."""
+    path = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def remove() -> None:
+        with contextlib.suppress(Exception):  # the JVM may be gone before
+            fs.delete(place, True)
+
+    atexit.register(remove)
+    return path
+
+
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The rows of the last stage over all documents; stages that are whole in `folder` are not run again."""
+    folder = folder or folder_for_now(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        if not written(spark, path):
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
     return docs
