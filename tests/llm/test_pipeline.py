@@ -5,6 +5,7 @@ from __future__ import annotations
 import duckdb
 
 import corpus_pipeline as P
+import pytest
 from pyspark.sql import functions as F
 from stormcab.llm import language_id, mixing, packing
 
@@ -64,3 +65,26 @@ def test_stages(spark, scratch):
 def test_run_is_its_stages(spark):
     rows = P.run(spark, SMOKE)
     assert rows.columns == packing.RESULT.names and rows.count() > 0
+
+
+def test_a_broken_run_goes_on_behind_its_last_stage(spark, scratch, monkeypatch):
+    ran = []
+
+    def stage(name):
+        def work(spark, docs, sf_dir):
+            if lost == name:
+                raise RuntimeError("lost")
+            ran.append(name)
+            return docs.where(f"doc_id % 7 <> {len(name)}")
+        return name, work
+
+    monkeypatch.setattr(P, "STAGES", [stage("a"), stage("bb"), stage("ccc")])
+    lost = None
+    whole = sorted(r.doc_id for r in P.run(spark, SMOKE).collect())
+    for lost in ("a", "bb", "ccc"):
+        ran.clear()
+        with pytest.raises(RuntimeError):
+            P.run(spark, SMOKE, f"{scratch}/{lost}")
+        where, lost = f"{scratch}/{lost}", None
+        assert sorted(r.doc_id for r in P.run(spark, SMOKE, where).collect()) == whole
+        assert ran == ["a", "bb", "ccc"]  # none twice
