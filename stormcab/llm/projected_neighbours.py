@@ -7,7 +7,7 @@ takes candidates in order of projected distance from a kd-tree and verifies
 them on the original vectors.  It stops at projected distance p once
 p squared >= q * d squared, where d is the distance of the k-th best so far and q the
 `CONFIDENCE` quantile of that distribution: each neighbour nearer than d would then
-have been met before with that probability.
+have been met before with at least that probability.
 
 The tree's top is fitted on a bounded sample (`SAMPLE` vectors, the smallest by hash) and cuts the
 space into cells; every vector is put into its cell, and a large cell into blocks of about `BLOCK` rows.
@@ -20,9 +20,11 @@ can ever be in a result, so a vector that a third of all rows share is k + 1 ids
 Cosine and distance of unit vectors give the same order; scores are computed
 on the original vectors in double precision, in the same order of additions for every pair.
 
+Vectors whose squares would leave the range of doubles are multiplied by a power of two, which changes no cosine.
+
 Defined results: vectors that are null, zero, hold null or non-finite components, have a null id or another
-length than the most frequent one (or `dim`) take no part; rows equal in id and vector are one;
-a query has as many results as there are candidates, if fewer than k.
+length than the most frequent one (or `dim`; a cosine needs equal lengths) take no part; rows equal in id and vector are one;
+a query has as many results as there are candidates, if fewer than k; an empty table gives no row; other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,8 +39,9 @@ from pyspark.sql import functions as F
 
 from .common import frame, partitions, saved, sorted_groups, split_join, table
 
-NEAREST, PROJECTED, CONFIDENCE = 5, 8, 0.98
-SAMPLE, CELL, BLOCK, LEAF = 20_000, 4096, 8192, 64
+NEAREST, PROJECTED, CONFIDENCE = 5, 24, 0.9
+SAMPLE, CELL, BLOCK, LEAF, SLICE = 20_000, 4096, 8192, 64, 64
+EXTREME = 140  # decimal exponent from which squares might leave the doubles
 SEED = 71
 
 
@@ -70,6 +73,13 @@ def projected(vectors: np.ndarray) -> np.ndarray:
     return (vectors / norms_of(vectors)[:, None]) @ directions(vectors.shape[1])
 
 
+def in_range(values: np.ndarray) -> np.ndarray:
+    """Vectors whose squares are finite and not 0: the very large and the very small times a power of two."""
+    largest = np.abs(values).max(axis=1, initial=0.0)
+    extreme = (largest > 10.0 ** EXTREME) | (largest < 10.0 ** -EXTREME)
+    return np.where(extreme[:, None], np.ldexp(values, -np.frexp(largest)[1][:, None]), values)
+
+
 def usable(rows: DataFrame, id_col: str, vector_col: str, dim: int) -> DataFrame:
     """(vec_id, vec): the vectors that take part, as bytes of doubles."""
     schema = pa.schema([("vec_id", pa.int64()), ("vec", pa.binary())])
@@ -80,9 +90,8 @@ def usable(rows: DataFrame, id_col: str, vector_col: str, dim: int) -> DataFrame
             fits = np.array([v is not None and len(v) == dim for v in column.to_pylist()], bool) & ids.is_valid().to_numpy(zero_copy_only=False)
             column, ids = column.filter(pa.array(fits)), ids.filter(pa.array(fits))
             values = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, dim) + 0.0  # -0 is 0
-            with np.errstate(over="ignore", invalid="ignore"):
-                norms = norms_of(values)
-            good = np.isfinite(values).all(axis=1) & (norms > 0) & np.isfinite(norms)
+            good = np.isfinite(values).all(axis=1) & (values != 0).any(axis=1)
+            values[good] = in_range(values[good])
             yield frame(schema, vec_id=ids.filter(pa.array(good)), vec=[v.tobytes() for v in values[good]])
 
     return rows.select(id_col, vector_col).mapInArrow(run, "vec_id long, vec binary").distinct()
@@ -142,6 +151,7 @@ class BlockTree:
             half = np.argpartition(points[part, d], len(part) // 2)
             stack += [part[half[len(part) // 2:]], part[half[:len(part) // 2]]]
         order = np.concatenate(order)
+        self.points, self.verified = points[order], 0
         self.vectors, self.norms = vectors[order], norms_of(vectors)[order]
         self.ids = [ids[i] for i in order.tolist()]
         self.low = np.minimum.reduceat(points[order], self.cuts[:-1], axis=0)
@@ -152,14 +162,21 @@ class BlockTree:
         use (-inf: none known)."""
         point, norm = projected(vector[None])[0], norms_of(vector[None])[0]
         gaps = (np.maximum(np.maximum(self.low - point, point - self.high), 0) ** 2).sum(axis=1)
+        reach = np.inf if bound == -np.inf else quantile * max(2 - 2 * bound, 0.0)
+        rows = np.flatnonzero(np.repeat(gaps < reach, np.diff(self.cuts)))
+        away = ((self.points[rows] - point) ** 2).sum(axis=1)
+        inside = away < reach
+        rows, away = rows[inside], away[inside]
+        order = np.argsort(away)
         best: list[tuple[float, int]] = []
-        for leaf in np.argsort(gaps).tolist():
-            if bound > -np.inf and gaps[leaf] >= quantile * max(2 - 2 * bound, 0.0):
+        for at in range(0, len(order), SLICE):  # the next projected neighbours
+            if bound > -np.inf and away[order[at]] >= quantile * max(2 - 2 * bound, 0.0):
                 break
-            s, e = self.cuts[leaf], self.cuts[leaf + 1]
-            scores = (self.vectors[s:e] * vector).sum(axis=1) / (self.norms[s:e] * norm)
+            part = rows[order[at:at + SLICE]]
+            self.verified += len(part)
+            scores = (self.vectors[part] * vector).sum(axis=1) / (self.norms[part] * norm)
             for i in np.flatnonzero(scores >= bound).tolist():
-                best += [(-float(scores[i]), v) for v in self.ids[s + i]]
+                best += [(-float(scores[i]), v) for v in self.ids[part[i]]]
             best = sorted(best)[:wanted]
             if len(best) == wanted:
                 bound = max(bound, -best[-1][0])

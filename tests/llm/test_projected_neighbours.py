@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from pyspark.sql import functions as F
@@ -81,3 +82,22 @@ def test_quantile():
     # chi-square with 8 degrees of freedom: published table values
     assert abs(P.chi_square_quantile(0.95, 8) - 15.507) < 1e-3
     assert abs(P.chi_square_quantile(0.99, 8) - 20.090) < 1e-3
+
+
+def test_very_large_and_very_small_vectors_take_part(spark):
+    rows = [(0, [1e-170, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0]), (50, [1e200, 1e200]), (3, [5e-324, 0.0]), (4, [1.7e308, -1.7e308])]
+    got = by_query(P.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0))
+    assert [r.vec_id for r in got[0]] == [3, 1, 4, 50, 2] and len(got[50]) == 5
+    assert abs(got[0][0].score - 1) < 1e-12 and abs(got[50][0].score - 1.1 / math.sqrt(2 * 1.01)) < 1e-12
+
+
+def test_a_part_of_the_vectors_is_verified():
+    """Recall and verified share of one block over the given vectors (random directions, the hardest case)."""
+    vectors = np.array(pq.read_table("/root/testdata/sf0.1/embeddings.parquet").column("embedding").to_pylist(), float)
+    tree = P.BlockTree(vectors, [[i] for i in range(len(vectors))])
+    quantile, hits = P.chi_square_quantile(P.CONFIDENCE, P.PROJECTED), 0
+    unit = vectors / P.norms_of(vectors)[:, None]
+    for q in range(0, 2000, 50):
+        found = {i for _, i in tree.search(vectors[q], 6, -np.inf, quantile)} - {q}
+        hits += len(found & set(np.argsort(-(unit @ unit[q]))[1:6].tolist()))
+    assert hits >= 0.95 * 5 * 40 and tree.verified <= 0.65 * 40 * 2000
