@@ -27,7 +27,7 @@ from stormcab.plans.warehouse import RawTables, Warehouse
 from stormcab.session import checkpoint_dir
 from stormcab.sources import landed as landed_files
 from stormcab.plans import key_filters
-from stormcab.sources import commits, writers
+from stormcab.sources import bucketed, commits, writers
 
 from . import feeds, oracle
 from .published import Published, fingerprint, removed_at_exit
@@ -574,6 +574,27 @@ def _n6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prototype.star_fact(_proto_trips(spark, sf_dir))
 
 
+@_proto("proto_fact_merged", """
+SELECT t.trip_id, "VendorID", t.trip_id AS datetime_id, t.trip_id AS passenger_count_id,
+       t.trip_id AS trip_distance_id, t.trip_id AS rate_code_id, store_and_fwd_flag,
+       "PULocationID" AS pickup_location_id, "DOLocationID" AS dropoff_location_id, t.trip_id AS payment_type_id,
+       fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount
+FROM proto_trips t WHERE "PULocationID" IN (SELECT DISTINCT "PULocationID" FROM proto_trips WHERE "VendorID" = 1) AND "DOLocationID" IS NOT NULL
+  AND "RatecodeID" IS NOT NULL""")
+def _n6b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seven joins over written dimensions, of which two have lost rows."""
+    root = _folder(spark, "prototype")
+    _proto_trips(spark, sf_dir).write.parquet(f"{root}/trips")
+    trips = spark.read.parquet(f"{root}/trips")
+    kept = {"pickup_location": prototype.location_dim(trips.where("VendorID = 1"), "PULocationID", "pickup_location_id"),
+            "rate_code": prototype.rate_code_dim(trips.where("RatecodeID is not null"))}
+    dims = {}
+    for name, dim in prototype.dimensions(trips).items():
+        kept.get(name, dim).write.parquet(f"{root}/{name}")
+        dims[name] = spark.read.parquet(f"{root}/{name}")
+    return prototype.merged_fact(trips, dims)
+
+
 @_proto("proto_datetime_dim", """
 SELECT trip_id AS datetime_id, tpep_pickup_datetime,
        CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pick_hour, CAST(day(tpep_pickup_datetime) AS INTEGER) AS pick_day,
@@ -882,6 +903,55 @@ def dq_keys_in_other_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_filters.repeated_keys(mixed, state.read(spark, "raw_taxi_trips_yellow"), state.read(spark, key_filters.TABLE), month)
 
 
+_BUCKETS = 16
+
+
+@register("dq_bucketed_keys", oracle.with_models(f"""
+SELECT 'repeated' AS finding, record_hash, COUNT(*) AS rows FROM raw_trips GROUP BY record_hash HAVING COUNT(*) > 1
+UNION ALL SELECT 'known', record_hash, 1 FROM raw_trips WHERE ingestion_month = {_SECOND} AND vendor_id = 1""", replaced=oracle.LOADED))
+def dq_bucketed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded trips bucketed by key; keys that are there twice, and keys of another delivery that are there already."""
+    root, raw = _folder(spark, "bucketed"), None
+    for month in feeds.MONTHS:
+        rows = _monthly_trips(spark, sf_dir, month)
+        raw = rows if raw is None else raw.unionByName(rows)
+    name = f"trips_{uuid.uuid4().hex}"
+    trips = bucketed.write(raw, name, f"{root}/trips", "record_hash", _BUCKETS)
+    again = bucketed.write(trips.where(f"ingestion_month = {_SECOND} and vendor_id = 1"), f"{name}_new", f"{root}/new", "record_hash", _BUCKETS)
+    twice = bucketed.repeated(trips, "record_hash").select(F.lit("repeated").alias("finding"), "record_hash", "rows")
+    known = bucketed.known_keys(again, trips, "record_hash").select(F.lit("known").alias("finding"), "record_hash", F.lit(1).cast("bigint").alias("rows"))
+    return twice.unionByName(known)
+
+
+_REQUIRED = ", ".join(f"'{c}'" for c in serving_fixed.REQUIRED_TAXI_COLUMNS)
+
+
+@register("dq_rejected_inputs", oracle.with_models(f"""
+SELECT 'trips' AS feed, c AS finding, (SELECT COUNT(*) FROM landed_trips) AS rows FROM (SELECT unnest([{_REQUIRED}]) AS c)
+UNION ALL SELECT 'weather', strftime(source_month, '%Y-%m') || ' weather document of ' || borough || CASE borough WHEN 'Bronx' THEN ': its arrays differ in length' ELSE ' has no hours' END,
+       CASE borough WHEN 'Bronx' THEN COUNT(*) ELSE 0 END FROM raw_weather WHERE borough IN ('Bronx', 'Queens') GROUP BY source_month, borough""", replaced=oracle.LOADED))
+def dq_rejected_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds that a load must refuse: trips without each of the required columns, documents of two
+    boroughs with a ragged and with empty arrays; what is refused, and how many rows it has."""
+    trips = landed_trips(spark, sf_dir).drop("file_month")
+    found = []
+    for source, name in serving_fixed.TAXI_COLUMN_RENAME_MAP.items():
+        if name in serving_fixed.REQUIRED_TAXI_COLUMNS:
+            try:
+                normalize.normalize_trips(trips.drop(source), feeds.MONTHS[0], F.lit("landed"), feeds.RUN_TS)
+            except normalize.SchemaError as refused:
+                if f"[{name!r}]" in str(refused):
+                    found.append(name)
+    refused = trips.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("trips").alias("feed"), F.explode(F.lit(found)).alias("finding"), "rows")
+    docs = feeds.landed_weather_documents(spark, sf_dir)
+    h, empty = F.col("hourly"), F.array().cast("array<string>")
+    planted = docs.withColumn("hourly", F.when(F.col("requested_borough") == "Bronx", h.withField("rain", F.slice(h["rain"], 2, 10_000)))
+                              .when(F.col("requested_borough") == "Queens", h.withField("time", empty)).otherwise(h))
+    bad = normalize.rejected_documents(planted)
+    return refused.unionByName(bad.select(F.lit("weather").alias("feed"), F.concat("requested_month", F.lit(" "), "problem").alias("finding"),
+                                          F.size("hourly.time").cast("bigint").alias("rows")))
+
+
 @register("job_month_marts", oracle.with_models(oracle.model_select("fct_hourly_demand"), replaced=oracle.LOADED))
 def job_month_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1-L3: three months landed, loaded month by month, marts built and published; the hourly mart."""

@@ -103,6 +103,32 @@ def star_fact(trips: DataFrame) -> DataFrame:
         "*", *per_trip, F.col("PULocationID").alias("pickup_location_id"), F.col("DOLocationID").alias("dropoff_location_id")).select(*PROTO_FACT_COLUMNS)
 
 
+# dimension: its key, and the fact's column that is joined to it
+PROTO_DIMENSIONS = {"datetime": "datetime_id", "passenger_count": "passenger_count_id", "trip_distance": "trip_distance_id", "rate_code": "rate_code_id",
+                    "pickup_location": "pickup_location_id", "dropoff_location": "dropoff_location_id", "payment_type": "payment_type_id"}
+
+
+def dimensions(trips: DataFrame) -> dict[str, DataFrame]:
+    """The seven dimensions."""
+    return {"datetime": datetime_dim(trips), "passenger_count": passenger_count_dim(trips), "trip_distance": trip_distance_dim(trips),
+            "rate_code": rate_code_dim(trips), "payment_type": payment_type_dim(trips),
+            "pickup_location": location_dim(trips, "PULocationID", "pickup_location_id"),
+            "dropoff_location": location_dim(trips, "DOLocationID", "dropoff_location_id")}
+
+
+def merged_fact(trips: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """N6/J8 as the seven inner joins, over dimensions that have been written.
+
+    Gives the rows of `star_fact`; it is for dimensions that others may have changed.  The per-trip
+    dimensions share the trip's key, so the trips are shuffled once for all five; the locations are small."""
+    fact = trips
+    for name, key in PROTO_DIMENSIONS.items():
+        own = {"pickup_location": "PULocationID", "dropoff_location": "DOLocationID"}.get(name, "trip_id")
+        dim = dims[name].select(F.col(key).alias(f"_{key}"))
+        fact = fact.join(dim, F.col(own) == F.col(f"_{key}")).withColumnRenamed(f"_{key}", key)
+    return fact.select(*PROTO_FACT_COLUMNS)
+
+
 def weather_frame(raw_weather: DataFrame) -> DataFrame:
     """One reading per borough-hour with rain/snow flags and severity (NULL -> clear)."""
     w = latest_weather(raw_weather)
