@@ -28,6 +28,9 @@ SESSION_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     # files of checkpoints go when their frame is no longer used
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # rows to Python workers by bytes too, so that long texts do not come ten thousand at a time
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "5000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
