@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import saved, table
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
@@ -375,7 +375,7 @@ def sampled_places(docs: DataFrame) -> list[tuple[int, str, int, int]]:
     """Places of a sample of documents: per type and for none at most `PER_KIND`, of at most `PLACE` characters each."""
     total = docs.count()
     rate = min(1.0, SAMPLE_DOCUMENTS / max(1, total))
-    drawn = docs.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))).select("text")
+    drawn = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))).select("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -392,7 +392,7 @@ def sampled_places(docs: DataFrame) -> list[tuple[int, str, int, int]]:
             columns = list(zip(*rows)) if rows else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.string(), pa.int32(), pa.int32()))], names=["kind", "place", "start", "end"])
 
-    found = drawn.mapInArrow(work, SAMPLED).distinct()
+    found = saved(drawn.mapInArrow(work, SAMPLED).distinct())
     out = []
     for kind in range(-1, len(KINDS)):
         rows = found.where(F.col("kind") == kind).orderBy(F.xxhash64("place"), "place", "start", "end").limit(PER_KIND)
