@@ -19,7 +19,8 @@ shuffles the rest.
 Defined results: null and empty texts are equal to each other; ties do not
 arise (doc_ids decide); repeated rows (same doc_id, same text) are members of
 their group each and kept with the same flag; a null doc_id is kept in the output,
-wins nothing unless its whole group has null ids, and `kept` is false for it.
+wins nothing unless its whole group has null ids, and `kept` is false for it; an empty table
+gives no row; other columns are not read.
 """
 
 from __future__ import annotations

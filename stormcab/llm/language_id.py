@@ -13,7 +13,8 @@ Prediction is one map over whole texts.
 
 Defined results: a null text, or one without a letter, is `und` with score 0; rows with null
 language are not learned from; repeated rows are predicted alike; with nothing to learn
-from, all are `und`; equal scores go to the alphabetically first language.
+from, all are `und`; equal scores go to the alphabetically first language; an empty table
+gives no row.
 """
 
 from __future__ import annotations

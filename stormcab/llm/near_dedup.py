@@ -28,7 +28,8 @@ held.  The step from classes to rows broadcasts the at most 1,024 largest classe
 
 Defined results: null or empty texts have no shingles and are linked with nothing; a text
 of fewer than five words is one shingle; repeated rows are equal documents; a null doc_id
-takes part in no link, its component_id is null and it is not kept.
+takes part in no link, its component_id is null and it is not kept; an empty table gives no row; other
+columns are not read.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ or cluster with a third of all rows is spread over all groups like any other.
 
 Defined results: a text without words has one row of no tokens and no bin; null sources
 and null clusters conflict with nothing; ties go by id, then source, then cluster, so repeated rows are packed
-next to each other; a null id is an id of its own; other columns are not read.
+next to each other; a null id is an id of its own; an empty table has no bin; other columns are not read.
 """
 
 from __future__ import annotations

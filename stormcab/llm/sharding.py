@@ -11,7 +11,8 @@ bytes differ from the target by at most one document at either end.
 
 Defined results: a null text has size 1 and the checksum of no bytes; repeated
 rows and equal ids are ordered by size and checksum, and rows equal in all three
-are interchangeable; null ids come first; other columns are not read.
+are interchangeable; null ids come first; an empty table gives no row; other
+columns are not read.
 """
 
 from __future__ import annotations

@@ -22,7 +22,8 @@ automaton, and the passages are dealt to them.
 
 Defined results: null and empty texts have no words; a document with fewer than 50 words keeps
 them all; rows with equal ids are neither smaller than the
-other and each is cut by itself; a null id is no reference and keeps its words; white space is what `[^\\x20\\x09-\\x0D]+` leaves out.
+other and each is cut by itself; a null id is no reference and keeps its words; white space is what `[^\\x20\\x09-\\x0D]+` leaves out;
+an empty table gives no row; other columns are not read.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ plus what came before.
 Defined results: a null or empty text has no prefix and no tokens; repeated
 rows are counted each; every other column is passed through unread.
 A special token inside a text counts one, as the library has it by default,
-and its own prefixes count as ordinary text.
+and its own prefixes count as ordinary text.  An empty table gives no row.
 """
 
 from __future__ import annotations
