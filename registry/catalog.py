@@ -64,7 +64,7 @@ def published(spark: SparkSession, sf_dir: str) -> Published:
     root = f"{checkpoint_dir(spark)}/published-{fingerprint(spark, sf_dir)}"
     if root not in _published:
         _published.add(removed_at_exit(spark, root))
-    return Published(spark, root, raw_tables(spark, sf_dir))
+    return Published(spark, root, lambda: raw_tables(spark, sf_dir))
 
 
 _published: set[str] = set()

@@ -12,6 +12,7 @@ import atexit
 import contextlib
 import hashlib
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,12 +64,12 @@ def fingerprint(spark: SparkSession, sf_dir: str) -> str:
 class Published:
     """Tables of one dataset by name, also as attributes; written when first asked for."""
 
-    def __init__(self, spark: SparkSession, root: str, raw: RawTables):
-        self.spark, self.root, self.given = spark, root, raw
+    def __init__(self, spark: SparkSession, root: str, raw: Callable[[], RawTables]):
+        self.spark, self.root, self.given = spark, root, raw  # the feed is planned only if a raw table has to be written
 
     def _plan(self, name: str) -> DataFrame:
         if name in Warehouse.RAW_NAMES:
-            return getattr(self.given, Warehouse.RAW_NAMES[name])
+            return getattr(self.given(), Warehouse.RAW_NAMES[name])
         if name == "dim_location":
             return marts.dim_location(staging.stg_locations(self.model("raw_taxi_zone_lookup")))
         if name == "stg_weather_hourly":
@@ -91,12 +92,13 @@ class Published:
         if name == "stg_locations":
             return staging.stg_locations(self.model("raw_taxi_zone_lookup"))
         with _lock:
-            if not commits.latest(self.spark, self.root).has(name):
+            state = commits.latest(self.spark, self.root)
+            if not state.has(name):
                 for parent in PARENTS.get(name, ()):
                     self.model(parent)
                 written = commits.write(self._plan(name), self.root, name, PARTITION.get(name))
-                commits.commit(self.spark, commits.latest(self.spark, self.root), {name: written}, name)
-            return commits.latest(self.spark, self.root).read(self.spark, name)
+                state = commits.commit(self.spark, commits.latest(self.spark, self.root), {name: written}, name)
+            return state.read(self.spark, name)
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.model(name)
