@@ -16,6 +16,7 @@ commit and seen by nobody; `sweep` removes such folders when no writer is at wor
 
 from __future__ import annotations
 
+import contextlib
 import json
 import uuid
 from dataclasses import dataclass, field, replace
@@ -25,6 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 COMMITS, LOAD = "_commits", "load"
+CODEC = "zstd"  # half the bytes of MD5 texts, which the default codec cannot shorten
+OPEN_FILES = 12  # partitions that a task writes side by side
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 KEPT = 1  # commits before the last whose folders stay
 
 
@@ -123,6 +127,21 @@ def remove(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+@contextlib.contextmanager
+def _open_files(spark: SparkSession):
+    """Lets a task keep a file open for each of a few partitions, where Spark would sort its rows by partition first (and spill
+    them); beyond `OPEN_FILES` it sorts the rest.  A setting that the session has already stays."""
+    own = int(spark.conf.get(_WRITERS, "0") or 0)
+    if own:
+        yield
+        return
+    spark.conf.set(_WRITERS, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_WRITERS, "0")
+
+
 def _commit_file(root: str, number: int) -> str:
     return f"{root}/{COMMITS}/{number:012d}.json"
 
@@ -157,7 +176,9 @@ def write(df: DataFrame, root: str, name: str, partition: str | None = None, met
     by = [partition, LOAD] if partition else [LOAD]
     path = f"{root}/{name}"
     # dynamic mode stages each job's files apart and replaces nothing, as the load is new
-    df.withColumn(LOAD, F.lit(load)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    rows = df.withColumn(LOAD, F.lit(load)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
+    with _open_files(spark):
+        rows.partitionBy(*by).parquet(path)
     found = children(spark, f"{path}/{partition}=*/{LOAD}={load}" if partition else f"{path}/{LOAD}={load}")
     folders = {}
     for folder in found:
