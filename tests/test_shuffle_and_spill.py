@@ -5,7 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from stormcab.operators import normalize
+from stormcab.operators import normalize, quality
 from stormcab.sources import commits
 
 RUN = "2025-02-01 06:00:00"
@@ -41,6 +41,16 @@ def test_raw_trips_are_sorted_behind_the_shuffle_only_and_keep_the_first(spark):
     assert len(twice) == 1 and twice[0].vendor_id == 1
 
 
+def test_repeated_keys_of_any_form_are_counted(spark):
+    md5 = "00112233445566778899aabbccddeeff"
+    raw = bytes.fromhex("41" * 16)
+    keys = [md5, md5, md5.upper(), raw.hex(), raw.decode(), "x", "x", "x", "", None, None, "y", md5 + "\n"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    found = quality.unique_failures(df, "k")
+    assert "unhex" in plan(found) and found.first().n == 2
+    assert quality.unique_failures(spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int"), "k").first().n == 1
+
+
 def test_partitions_are_written_side_by_side_and_small(spark, scratch):
     df = spark.range(0, 100, 1, 2).select("id", F.md5(F.col("id").cast("string")).alias("h"), (F.col("id") % 20).cast("string").alias("p"))
     table = commits.write(df, scratch, "t", "p")
