@@ -41,9 +41,11 @@ def clean_trips(landed: DataFrame) -> DataFrame:
         "tpep_pickup_datetime": F.col("tpep_pickup_datetime").try_cast("timestamp_ntz"),
         "tpep_dropoff_datetime": F.col("tpep_dropoff_datetime").try_cast("timestamp_ntz"),
     })
-    d = typed.dropDuplicates().dropna(subset=["tpep_pickup_datetime", "tpep_dropoff_datetime"])
-    d = d.withColumn("trip_duration_min", C.minutes_between("tpep_pickup_datetime", "tpep_dropoff_datetime"))
-    d = d.filter((F.col("trip_duration_min") > 0) & (F.col("fare_amount") >= 0) & (F.col("trip_distance") > 0))
+    d = typed.dropna(subset=["tpep_pickup_datetime", "tpep_dropoff_datetime"])
+    # a filter on whole rows keeps or drops all copies of one, so it may come first; Spark moves it into the scan, where a later
+    # dropoff is cheap to test and the duration itself is not
+    d = d.filter((F.col("tpep_dropoff_datetime") > F.col("tpep_pickup_datetime")) & (F.col("fare_amount") >= 0) & (F.col("trip_distance") > 0))
+    d = d.dropDuplicates().withColumn("trip_duration_min", C.minutes_between("tpep_pickup_datetime", "tpep_dropoff_datetime"))
     return d.select(F.md5(_canonical_text(d.drop("trip_duration_min"))).alias("trip_id"), "*")
 
 

@@ -6,6 +6,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from stormcab.operators import normalize, quality
+from stormcab.plans import prototype
 from stormcab.sources import commits
 
 RUN = "2025-02-01 06:00:00"
@@ -41,6 +42,12 @@ def test_raw_trips_are_sorted_behind_the_shuffle_only_and_keep_the_first(spark):
     assert len(twice) == 1 and twice[0].vendor_id == 1
 
 
+def test_prototype_filter_is_cheap_below_the_deduplication(spark):
+    clean = prototype.clean_trips(trips(spark))
+    assert not any("unix_date" in x or "unixdate" in x.lower() for x in lines(clean, "Filter"))
+    assert sorted((r.VendorID, r.tip_amount or 0.0, r.trip_duration_min) for r in clean.collect()) == [(1, 0.0, 20.0), (1, 4.0, 20.0), (2, 3.0, 20.0)]
+
+
 def test_repeated_keys_of_any_form_are_counted(spark):
     md5 = "00112233445566778899aabbccddeeff"
     raw = bytes.fromhex("41" * 16)
