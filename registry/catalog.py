@@ -584,13 +584,13 @@ FROM proto_trips t WHERE "PULocationID" IN (SELECT DISTINCT "PULocationID" FROM
 def _n6b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The seven joins over written dimensions, of which two have lost rows."""
     root = _folder(spark, "prototype")
-    _proto_trips(spark, sf_dir).write.parquet(f"{root}/trips")
+    _proto_trips(spark, sf_dir).write.option("compression", commits.CODEC).parquet(f"{root}/trips")
     trips = spark.read.parquet(f"{root}/trips")
     kept = {"pickup_location": prototype.location_dim(trips.where("VendorID = 1"), "PULocationID", "pickup_location_id"),
             "rate_code": prototype.rate_code_dim(trips.where("RatecodeID is not null"))}
     dims = {}
     for name, dim in prototype.dimensions(trips).items():
-        kept.get(name, dim).write.parquet(f"{root}/{name}")
+        kept.get(name, dim).write.option("compression", commits.CODEC).parquet(f"{root}/{name}")
         dims[name] = spark.read.parquet(f"{root}/{name}")
     return prototype.merged_fact(trips, dims)
 
