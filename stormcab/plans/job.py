@@ -112,10 +112,10 @@ class Journal:
 def normalize_month(spark: SparkSession, landing: str, staged_root: str, month: str, ingested_at: str,
                     dataset: str = "yellow", weather_multi_line: bool = True) -> MonthFeeds:
     """L2: the month's landed feeds as raw rows, each feed written once below `staged_root`."""
-    normalize.raw_trips(landed.read_trip_month(spark, landing, month, dataset), month, F.col("source_file"), ingested_at).write.mode("overwrite").parquet(f"{staged_root}/trips")
+    normalize.raw_trips(landed.read_trip_month(spark, landing, month, dataset), month, F.col("source_file"), ingested_at).write.mode("overwrite").option("compression", commits.CODEC).parquet(f"{staged_root}/trips")
     docs = landed.read_weather_documents(spark, landing, month, weather_multi_line)
-    normalize.raw_weather_from_documents(docs, month, ingested_at).write.mode("overwrite").parquet(f"{staged_root}/weather")
-    normalize.raw_zones(landed.read_zone_lookup(spark, landing), landed.zone_file(landing), ingested_at).write.mode("overwrite").parquet(f"{staged_root}/zones")
+    normalize.raw_weather_from_documents(docs, month, ingested_at).write.mode("overwrite").option("compression", commits.CODEC).parquet(f"{staged_root}/weather")
+    normalize.raw_zones(landed.read_zone_lookup(spark, landing), landed.zone_file(landing), ingested_at).write.mode("overwrite").option("compression", commits.CODEC).parquet(f"{staged_root}/zones")
     return MonthFeeds(staged_tables(spark, staged_root), docs.select("requested_borough").count())
 
 

@@ -51,7 +51,7 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 def land_trip_month(landed_trips: DataFrame, root: str, month: str, dataset: str = "yellow") -> None:
     """Write a month of trips as the landed Parquet directory of that month."""
-    landed_trips.write.mode("overwrite").parquet(landed.trip_month_dir(root, month, dataset))
+    landed_trips.write.mode("overwrite").option("compression", commits.CODEC).parquet(landed.trip_month_dir(root, month, dataset))
 
 
 def land_weather_documents(docs: DataFrame, root: str, month: str, multi_line: bool = False) -> None:
