@@ -172,31 +172,43 @@ def split_join(rows: DataFrame, groups: DataFrame, key: str, weight: str, share:
             .unionByName(cold.join(groups.join(F.broadcast(hot), key, "left_anti"), key)))
 
 
+def narrowed(df: DataFrame, rows: int, share: int = 100_000) -> DataFrame:
+    """`df` in a task for each `share` of its `rows`, at most as many as it has.
+
+    Rounds over a few rows would else run, and leave shuffle files of, a task for each of the session's partitions."""
+    return df.coalesce(max(1, -(-rows // share)))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """Connected components of undirected `edges`: (node, component), component the smallest node.
 
     Alternating large and small stars: each round relinks every node's larger neighbours, then its
     smaller ones, to the smallest of them, until nothing changes; if `rounds` run out before, that is an error.  Minima are combined before the
-    shuffle; the joins on a hub's key are sort-merge joins, which Spark splits where they are skewed."""
+    shuffle; the joins on a hub's key are sort-merge joins, which Spark splits where they are skewed.  Links go from
+    the larger node to the smaller one, and a round never makes more of them than there were."""
+    def state(links: DataFrame) -> tuple:
+        r = links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("u").cast("decimal(38,0)") * 31 + F.col("v").cast("decimal(38,0)")).alias("s")).first()
+        return r.n, r.s
+
     links = saved(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    count = None
+    count = state(links)
     for _ in range(rounds):
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        links = narrowed(links, count[0])
+        turned = links.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        least = links.unionByName(turned).groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = turned.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(F.greatest("v", "m").alias("x"), "u", "m")
                  .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                                            F.struct(F.col("x").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").where("u <> v").distinct())
-        before, links = links, saved(small)
+        before, links = links, saved(narrowed(small, count[0]))
         release(links.sparkSession)
         # done when every node points at one root that points nowhere: the round has changed no link
-        state = links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("u").cast("decimal(38,0)") * 31 + F.col("v").cast("decimal(38,0)")).alias("s")).first()
-        if (state.n, state.s) == count and links.join(before, ["u", "v"], "left_anti").isEmpty():
+        last, count = count, state(links)
+        if count == last and links.join(before, ["u", "v"], "left_anti").isEmpty():
             break
-        count = (state.n, state.s)
     else:
         raise RuntimeError(f"components not found in {rounds} rounds")
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return saved(links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots))
+    return saved(narrowed(links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots), 2 * count[0]))

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, row_of, saved, split_join, table
+from .common import WORD, narrowed, row_of, saved, split_join, table
 
 DIMENSIONS = ("source", "lang", "topic")
 SWEEPS, KEEP, SEED = 20, 0.8, 17
@@ -108,6 +108,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, keep: fl
         raise ValueError(f"{len(lang_goal)} languages x {len(topic_goal)} topics: at most {GRID} cells")
     rows = saved(cells.groupBy("source").agg(F.collect_list(F.struct("lang", "topic", "n", "tokens")).alias("cells"))  # languages x topics
                  .join(goal["source"].select(F.col("value").alias("source"), F.col("target").alias("target_source")), "source"))
+    rows = narrowed(rows, rows.agg(F.sum(F.size("cells"))).first()[0] or 0)
     lang_factor, topic_factor = dict.fromkeys(lang_goal, 1.0), dict.fromkeys(topic_goal, 1.0)
 
     def looked_up(factor: dict[str, float], key: Column) -> Column:
@@ -163,6 +164,7 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: floa
                              F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_tokens"))
                  .withColumn("cell", F.struct(*(F.coalesce(d, F.lit("(none)")).alias(d) for d in DIMENSIONS))))
     counted = saved(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("tokens")).select("cell.*", "n", "tokens"))
+    counted = narrowed(counted, counted.count())
     chances = saved(rake(counted, targets, keep).select(F.struct(*DIMENSIONS).alias("cell"), "n", "chance"))
     found = split_join(rows, chances, "cell", "n")
     probability = F.when(F.col("n_tokens") > 0, F.col("chance")).otherwise(0.0)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from stormcab.llm import near_dedup
-from stormcab.llm.common import components
+from stormcab.llm.common import components, narrowed
 
 from .brute import SMOKE, edge_docs, rows_of
 
@@ -122,3 +122,14 @@ def test_components_are_whole_or_an_error(spark):
     assert components(path.limit(0)).count() == 0
     with pytest.raises(RuntimeError):
         components(path, rounds=2)
+
+
+def test_rounds_over_few_links_run_in_few_tasks(spark):
+    path = spark.range(0, 40, 1, 8).selectExpr("id as a", "id + 1 as b")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert components(path).rdd.getNumPartitions() == 1
+        assert [narrowed(path, n, 10).rdd.getNumPartitions() for n in (0, 10, 11, 1000)] == [1, 1, 2, 8]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
