@@ -48,6 +48,18 @@ def test_prototype_filter_is_cheap_below_the_deduplication(spark):
     assert sorted((r.VendorID, r.tip_amount or 0.0, r.trip_duration_min) for r in clean.collect()) == [(1, 0.0, 20.0), (1, 4.0, 20.0), (2, 3.0, 20.0)]
 
 
+def test_whole_rows_are_deduplicated_by_a_sort_behind_one_shuffle(spark):
+    nan = float("nan")
+    rows = [(1, 0.0, "a", 1.5), (1, -0.0, "a", 1.5), (1, nan, "a", 1.5), (1, nan, "a", 1.5), (None, None, None, None), (None, None, None, None),
+            (1, 0.0, None, 1.5), (1, None, "a", 1.5), (2, 0.0, "a", 1.5), (1, 0.0, "A", 1.5)]
+    df = spark.createDataFrame(rows * 2, "a int, `b.c` double, d string, e float")
+    once = prototype.whole_rows_once(df)
+    assert once.schema == df.schema
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, df.dropDuplicates().collect())) and once.count() == 7
+    text = plan(prototype.clean_trips(trips(spark)))
+    assert "HashAggregate" not in text and text.count("Exchange") == 1
+
+
 def test_repeated_keys_of_any_form_are_counted(spark):
     md5 = "00112233445566778899aabbccddeeff"
     raw = bytes.fromhex("41" * 16)
