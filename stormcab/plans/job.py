@@ -112,7 +112,11 @@ class Journal:
 def normalize_month(spark: SparkSession, landing: str, staged_root: str, month: str, ingested_at: str,
                     dataset: str = "yellow", weather_multi_line: bool = True) -> MonthFeeds:
     """L2: the month's landed feeds as raw rows, each feed written once below `staged_root`."""
-    normalize.raw_trips(landed.read_trip_month(spark, landing, month, dataset), month, F.col("source_file"), ingested_at).write.mode("overwrite").option("compression", commits.CODEC).parquet(f"{staged_root}/trips")
+    trips, file = landed.read_trip_month(spark, landing, month, dataset), F.col("source_file")
+    with landed.small_splits(spark):
+        normalize.repeated_hash_keys(trips, month, file).write.mode("overwrite").option("compression", commits.CODEC).parquet(f"{staged_root}/repeated")
+        repeated = spark.read.parquet(f"{staged_root}/repeated")  # written, so that the planner knows its bytes
+        normalize.staged_trips(trips, month, file, ingested_at, repeated).write.mode("overwrite").options(**commits.ENCODING).parquet(f"{staged_root}/trips")
     docs = landed.read_weather_documents(spark, landing, month, weather_multi_line)
     normalize.raw_weather_from_documents(docs, month, ingested_at).write.mode("overwrite").option("compression", commits.CODEC).parquet(f"{staged_root}/weather")
     normalize.raw_zones(landed.read_zone_lookup(spark, landing), landed.zone_file(landing), ingested_at).write.mode("overwrite").option("compression", commits.CODEC).parquet(f"{staged_root}/zones")
@@ -120,7 +124,8 @@ def normalize_month(spark: SparkSession, landing: str, staged_root: str, month:
 
 
 def staged_tables(spark: SparkSession, staged_root: str) -> RawTables:
-    return RawTables(**{k: spark.read.parquet(f"{staged_root}/{k}") for k in RAW_TABLES})
+    found = {k: spark.read.parquet(f"{staged_root}/{k}") for k in RAW_TABLES}
+    return RawTables(**found | {"trips": normalize.with_record_hash(found["trips"])})
 
 
 def load_constraints(raw: RawTables) -> list[str]:

@@ -155,8 +155,7 @@ def fct_taxi_trips(stg_trips: DataFrame, dim_loc: DataFrame, stg_weather: DataFr
 
 
 # sums of the trip fact at the finest grain that the three aggregate facts share
-_SUM_KEYS = ("date_hour_key", "date_key", "pickup_hour", "pickup_date", "pickup_location_id", "pickup_borough", "pickup_zone",
-             "weather_key", "weather_severity", "is_weekend", "is_rush_hour", "payment_type_name")
+_SUM_KEYS = ("pickup_hour", "pickup_location_id", "pickup_borough", "pickup_zone", "weather_key", "weather_severity", "payment_type_name")
 _SUMMED = ("passenger_count", "trip_distance", "fare_amount", "total_amount", "tip_amount", "fare_per_mile", "precipitation_mm", "temperature_2m")
 
 
@@ -167,8 +166,13 @@ def trip_sums(fct: DataFrame) -> DataFrame:
     three facts below are sums of its rows.  Money, distances and weather are exact decimal sums, durations
     sums of whole microseconds, so the order of adding changes no bit of them."""
     sums = [x for c in _SUMMED for x in (F.sum(c).alias(f"s_{c}"), F.count(c).alias(f"n_{c}"))]
-    return fct.groupBy(*_SUM_KEYS).agg(F.count(F.lit(1)).alias("trips"), *sums, F.sum(C.microseconds("trip_duration_min")).alias("s_micros"),
-                                       F.count("trip_duration_min").alias("n_micros"))
+    g = fct.groupBy(*_SUM_KEYS).agg(F.count(F.lit(1)).alias("trips"), *sums, F.sum(C.microseconds("trip_duration_min")).alias("s_micros"),
+                                    F.count("trip_duration_min").alias("n_micros"))
+    hour, day = F.col("pickup_hour"), F.col("pickup_hour").cast("date")  # what follows from the hour is not shuffled
+    return g.select(C.date_hour_key(hour).alias("date_hour_key"), C.date_key(day).alias("date_key"), "pickup_hour", day.alias("pickup_date"),
+                    "pickup_location_id", "pickup_borough", "pickup_zone", "weather_key", "weather_severity",
+                    C.is_weekend(hour).alias("is_weekend"), C.is_rush_hour(hour).alias("is_rush_hour"), "payment_type_name",
+                    *[c for c in g.columns if c not in _SUM_KEYS])
 
 
 def _mean(column: str) -> Column:

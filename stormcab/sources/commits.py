@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 COMMITS, LOAD = "_commits", "load"
 CODEC = "zstd"  # half the bytes of MD5 texts, which the default codec cannot shorten
+ENCODING = {"compression": CODEC, "parquet.writer.version": "v2"}  # v2: numbers and texts as differences
 OPEN_FILES = 12  # partitions that a task writes side by side
 _WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 KEPT = 1  # commits before the last whose folders stay
@@ -176,7 +177,7 @@ def write(df: DataFrame, root: str, name: str, partition: str | None = None, met
     by = [partition, LOAD] if partition else [LOAD]
     path = f"{root}/{name}"
     # dynamic mode stages each job's files apart and replaces nothing, as the load is new
-    rows = df.withColumn(LOAD, F.lit(load)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
+    rows = df.withColumn(LOAD, F.lit(load)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**ENCODING)
     with _open_files(spark):
         rows.partitionBy(*by).parquet(path)
     found = children(spark, f"{path}/{partition}=*/{LOAD}={load}" if partition else f"{path}/{LOAD}={load}")

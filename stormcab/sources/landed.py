@@ -13,6 +13,7 @@ spellings and types, which a merged-schema read would reject.
 
 from __future__ import annotations
 
+import contextlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,24 @@ from .. import schemas
 from . import commits
 
 
+SPLIT_BYTES = 32 * 1024 * 1024  # of landed files: rows that a task sorts without spilling
+_SPLIT = "spark.sql.files.maxPartitionBytes"
+
+
+@contextlib.contextmanager
+def small_splits(spark: SparkSession):
+    """Scans started within read at most `SPLIT_BYTES` a task; a smaller setting of the session stays."""
+    own = spark.conf.get(_SPLIT)
+    if spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(own) <= SPLIT_BYTES:
+        yield
+        return
+    spark.conf.set(_SPLIT, str(SPLIT_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SPLIT, own)
+
+
 def trip_month_dir(root: str, month: str, dataset: str = "yellow") -> str:
     year, mm = month.split("-")
     return f"{root}/taxi/{dataset}/year={year}/month={mm}"

@@ -6,8 +6,8 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from stormcab.operators import normalize, quality
-from stormcab.plans import prototype
-from stormcab.sources import commits
+from stormcab.plans import marts, prototype
+from stormcab.sources import commits, landed
 
 RUN = "2025-02-01 06:00:00"
 COLUMNS = ("VendorID int, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, trip_distance double, fare_amount double, "
@@ -42,6 +42,67 @@ def test_raw_trips_are_sorted_behind_the_shuffle_only_and_keep_the_first(spark):
     assert len(twice) == 1 and twice[0].vendor_id == 1
 
 
+def _staged(spark, folder, rows):
+    """Raw rows by way of the staged ones, and the plan that makes these."""
+    rows.write.mode("overwrite").parquet(f"{folder}/landed")
+    given = spark.read.parquet(f"{folder}/landed")
+    normalize.repeated_hash_keys(given, "2025-01", "f").write.mode("overwrite").parquet(f"{folder}/repeated")
+    repeated = spark.read.parquet(f"{folder}/repeated")
+    staged = normalize.staged_trips(given, "2025-01", "f", RUN, repeated)
+    assert "record_hash" not in staged.columns
+    staged.write.mode("overwrite").options(**commits.ENCODING).parquet(f"{folder}/staged")
+    return normalize.with_record_hash(spark.read.parquet(f"{folder}/staged")), plan(staged), repeated.count()
+
+
+def test_staged_trips_shuffle_repeated_rows_only(spark, scratch):
+    every = trips(spark)
+    nulls = spark.createDataFrame([(None,) * 9] * 3 + [(1, *(None,) * 8)], COLUMNS)
+    for rows, several in ((every, 1), (every.unionByName(nulls), 2), (every.unionByName(every), 6), (every.limit(0), 0), (every.where("trip_distance = 0"), 0)):
+        raw, text, found = _staged(spark, scratch, rows)
+        want = normalize.raw_trips(rows, "2025-01", "f", RUN)
+        assert found == several and ("Window" in text) == (several > 0)
+        assert several or "Exchange" not in text
+        assert raw.columns == want.columns
+        assert sorted(map(repr, raw.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_staged_trips_lie_in_the_order_of_pickup(spark, scratch):
+    t = [datetime(2025, 1, 6, 8, m) for m in (50, 10, 40, 20, 30)]
+    rows = spark.createDataFrame([(1, x, None, 2.5, 10.0, 12.0, i, 2, 3.0) for i, x in enumerate(t)], COLUMNS).coalesce(1)
+    raw, _, _ = _staged(spark, scratch, rows)
+    assert [r.pickup_datetime for r in raw.collect()] == sorted(t)
+
+
+def test_landed_files_are_read_in_small_splits_for_the_sort_only(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    own = spark.conf.get(key)
+    try:
+        for given, within in (("128m", str(landed.SPLIT_BYTES)), ("16m", "16m"), ("134217728", str(landed.SPLIT_BYTES))):
+            spark.conf.set(key, given)
+            with landed.small_splits(spark):
+                assert spark.conf.get(key) == within
+            assert spark.conf.get(key) == given
+    finally:
+        spark.conf.set(key, own)
+
+
+def test_trip_sums_do_not_shuffle_what_follows_from_the_hour(spark):
+    hours = [datetime(2024, 1, 5, 7), datetime(2024, 1, 6, 23), datetime(2024, 1, 7, 0)]
+    fct = spark.createDataFrame([(h, 1, "Queens", "A", "k", "clear", "Cash", 1.0, 2.0) for h in hours * 2],
+                                "pickup_hour timestamp_ntz, pickup_location_id int, pickup_borough string, pickup_zone string, weather_key string, "
+                                "weather_severity string, payment_type_name string, trip_duration_min double, fare_per_mile double")
+    for c in ("passenger_count", "trip_distance", "fare_amount", "total_amount", "tip_amount", "precipitation_mm", "temperature_2m"):
+        fct = fct.withColumn(c, F.lit("1.00").cast("decimal(10,2)"))
+    derived = {"date_hour_key": F.lit(0).cast("bigint"), "date_key": F.lit(0).cast("bigint"), "pickup_date": F.col("pickup_hour").cast("date"),
+               "is_weekend": F.lit(True), "is_rush_hour": F.lit(True)}
+    sums = marts.trip_sums(fct.withColumns(derived))
+    exchanged = [x for x in plan(sums).splitlines() if "hashpartitioning" in x]
+    assert exchanged and not any(c in x for x in exchanged for c in ("date_hour_key", "date_key", "pickup_date", "is_weekend", "is_rush_hour"))
+    found = sorted((r.date_hour_key, r.date_key, str(r.pickup_date), r.is_weekend, r.is_rush_hour, r.trips) for r in sums.collect())
+    assert found == [(2024010507, 20240105, "2024-01-05", False, True, 2), (2024010623, 20240106, "2024-01-06", True, False, 2),
+                     (2024010700, 20240107, "2024-01-07", True, False, 2)]
+
+
 def test_prototype_filter_is_cheap_below_the_deduplication(spark):
     clean = prototype.clean_trips(trips(spark))
     assert not any("unix_date" in x or "unixdate" in x.lower() for x in lines(clean, "Filter"))
