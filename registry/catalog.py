@@ -823,8 +823,8 @@ def _landed(spark: SparkSession, sf_dir: str, months: tuple[str, ...] = feeds.MO
     """The feed's months as landed files."""
     landing = _folder(spark, "landing")
     writers.land_zone_lookup(feeds.landed_zones(spark, sf_dir), landing)
+    writers.land_trip_months(landed_trips(spark, sf_dir), landing, "file_month", months)  # one join of the given tables
     for month in months:
-        writers.land_trip_month(feeds.landed_month(spark, sf_dir, month), landing, month)
         writers.land_weather_documents(feeds.month_documents(spark, sf_dir, month), landing, month)
     return landing
 

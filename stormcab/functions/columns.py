@@ -27,7 +27,7 @@ def _c(c: ColumnOrName) -> Column:
 def hour_floor(ts: ColumnOrName) -> Column:
     """Truncate a TIMESTAMP_NTZ to its hour, independent of the session zone."""
     t = _c(ts)
-    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
+    return t.cast("date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(t))
 
 
 def date_hour_key(ts: ColumnOrName) -> Column:

@@ -168,7 +168,9 @@ def load_month(spark: SparkSession, raw: RawTables, warehouse: str, month: str,
         else:
             new[name] = commits.write(getattr(raw, kind), warehouse, name, None, quality.write_metrics(name))
         progress(name)
-    new[key_filters.TABLE] = writers.month_written(before, key_filters.key_filter(raw.trips), key_filters.TABLE, "ingestion_month", month)
+    trips = RAW_TABLES["trips"]  # the keys of what was written, which are made of seven columns in `raw`
+    loaded = commits.Snapshot(warehouse, tables=new).read(spark, trips).where(F.col(MONTH_COLUMN["trips"]) == F.lit(f"{month}-01").cast("date"))
+    new[key_filters.TABLE] = writers.month_written(before, key_filters.key_filter(loaded), key_filters.TABLE, "ingestion_month", month)
     progress(key_filters.TABLE)
     after = commits.commit(spark, before, new, f"load {month}")
     progress("committed")
@@ -194,7 +196,7 @@ def _month_metrics(model: str, month: str | None) -> dict:
     if month:
         here = F.col(PICKUP_MONTH) == F.lit(f"{month}-01").cast("date")
         if model == "fct_taxi_trips":
-            metrics |= {"month_rows": F.count_if(here), "month_known": F.count_if(here & (F.col("weather_key") != quality.fixed.UNKNOWN_WEATHER))}
+            metrics |= {"month_rows": quality.rows_where(here), "month_known": quality.rows_where(here & (F.col("weather_key") != quality.fixed.UNKNOWN_WEATHER))}
         if model == "fct_hourly_demand":
             metrics["month_trips"] = F.coalesce(F.sum(F.when(here, F.col("trip_count"))), F.lit(0))
     return metrics

@@ -129,7 +129,7 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 @contextlib.contextmanager
-def _open_files(spark: SparkSession):
+def open_files(spark: SparkSession):
     """Lets a task keep a file open for each of a few partitions, where Spark would sort its rows by partition first (and spill
     them); beyond `OPEN_FILES` it sorts the rest.  A setting that the session has already stays."""
     own = int(spark.conf.get(_WRITERS, "0") or 0)
@@ -178,7 +178,7 @@ def write(df: DataFrame, root: str, name: str, partition: str | None = None, met
     path = f"{root}/{name}"
     # dynamic mode stages each job's files apart and replaces nothing, as the load is new
     rows = df.withColumn(LOAD, F.lit(load)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**ENCODING)
-    with _open_files(spark):
+    with open_files(spark):
         rows.partitionBy(*by).parquet(path)
     found = children(spark, f"{path}/{partition}=*/{LOAD}={load}" if partition else f"{path}/{LOAD}={load}")
     folders = {}

@@ -42,9 +42,13 @@ def small_splits(spark: SparkSession):
         spark.conf.set(_SPLIT, own)
 
 
+def trip_root(root: str, dataset: str = "yellow") -> str:
+    return f"{root}/taxi/{dataset}"
+
+
 def trip_month_dir(root: str, month: str, dataset: str = "yellow") -> str:
     year, mm = month.split("-")
-    return f"{root}/taxi/{dataset}/year={year}/month={mm}"
+    return f"{trip_root(root, dataset)}/year={year}/month={mm}"
 
 
 def trip_month_file(root: str, month: str, dataset: str = "yellow") -> str:

@@ -54,6 +54,18 @@ def land_trip_month(landed_trips: DataFrame, root: str, month: str, dataset: str
     landed_trips.write.mode("overwrite").option("compression", commits.CODEC).parquet(landed.trip_month_dir(root, month, dataset))
 
 
+def land_trip_months(landed_trips: DataFrame, root: str, month_column: str, months: tuple[str, ...], dataset: str = "yellow") -> None:
+    """Write trips of several months, each to the landed directory of its own, in one pass; a month without trips gets empty files."""
+    spark, text = landed_trips.sparkSession, F.col(month_column)
+    rows = landed_trips.where(text.isin(*months)).withColumns({"year": F.substring(text, 1, 4), "month": F.substring(text, 6, 2)}).drop(month_column)
+    with commits.open_files(spark):
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", commits.CODEC)
+             .partitionBy("year", "month").parquet(landed.trip_root(root, dataset)))
+    for month in months:
+        if not commits.children(spark, landed.trip_month_dir(root, month, dataset)):
+            land_trip_month(landed_trips.limit(0).drop(month_column), root, month, dataset)
+
+
 def land_weather_documents(docs: DataFrame, root: str, month: str, multi_line: bool = False) -> None:
     """Write weather documents under the month directory: JSON lines (read
     them back with `multi_line=False`), or one indented document per file."""
