@@ -903,7 +903,7 @@ def dq_keys_in_other_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_filters.repeated_keys(mixed, state.read(spark, "raw_taxi_trips_yellow"), state.read(spark, key_filters.TABLE), month)
 
 
-_BUCKETS = 16
+_BUCKETS = 16  # at least
 
 
 @register("dq_bucketed_keys", oracle.with_models(f"""
@@ -911,15 +911,15 @@ SELECT 'repeated' AS finding, record_hash, COUNT(*) AS rows FROM raw_trips GROUP
 UNION ALL SELECT 'known', record_hash, 1 FROM raw_trips WHERE ingestion_month = {_SECOND} AND vendor_id = 1""", replaced=oracle.LOADED))
 def dq_bucketed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded trips bucketed by key; keys that are there twice, and keys of another delivery that are there already."""
-    root, raw = _folder(spark, "bucketed"), None
-    for month in feeds.MONTHS:
-        rows = _monthly_trips(spark, sf_dir, month)
-        raw = rows if raw is None else raw.unionByName(rows)
+    root, buckets = _folder(spark, "bucketed"), bucketed.width(spark, _BUCKETS)
+    landed = landed_trips(spark, sf_dir).where(F.col("file_month").isin(*feeds.MONTHS))
+    raw = normalize.raw_trips_by_key(landed, *_file_columns(), buckets)
     name = f"trips_{uuid.uuid4().hex}"
-    trips = bucketed.write(raw, name, f"{root}/trips", "record_hash", _BUCKETS)
-    again = bucketed.write(trips.where(f"ingestion_month = {_SECOND} and vendor_id = 1"), f"{name}_new", f"{root}/new", "record_hash", _BUCKETS)
-    twice = bucketed.repeated(trips, "record_hash").select(F.lit("repeated").alias("finding"), "record_hash", "rows")
-    known = bucketed.known_keys(again, trips, "record_hash").select(F.lit("known").alias("finding"), "record_hash", F.lit(1).cast("bigint").alias("rows"))
+    trips = bucketed.write(raw, name, f"{root}/trips", "record_hash", buckets)
+    again = bucketed.write(trips.where(f"ingestion_month = {_SECOND} and vendor_id = 1"), f"{name}_new", f"{root}/new", "record_hash", buckets)
+    text = F.lower(F.hex("record_hash")).alias("record_hash")
+    twice = bucketed.repeated(trips, "record_hash").select(F.lit("repeated").alias("finding"), text, "rows")
+    known = bucketed.known_keys(again, trips, "record_hash").select(F.lit("known").alias("finding"), text, F.lit(1).cast("bigint").alias("rows"))
     return twice.unionByName(known)
 
 

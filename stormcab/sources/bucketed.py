@@ -11,15 +11,40 @@ session.  A key that many rows share is in one bucket; the keys here are MD5 tex
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import commits
+
+_AUTO = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+
+
+def width(spark: SparkSession, least: int) -> int:
+    """Buckets for a table as large as the session's shuffles: as wide as these, so that a bucket is sorted without spilling."""
+    return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@contextlib.contextmanager
+def _by_bucket(spark: SparkSession):
+    """Bucketed tables are scanned bucket by bucket, also for a write alone: rows that come dealt out by the key are not shuffled again."""
+    own = spark.conf.get(_AUTO)
+    spark.conf.set(_AUTO, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_AUTO, own)
+
 
 def write(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
-    """Write `df` as table `name` at `path`, bucketed and sorted by `key`; an older one of that name is replaced."""
+    """Write `df` as table `name` at `path`, bucketed and sorted by `key`; an older one of that name is replaced.
+
+    Rows that are dealt out by `key` in as many parts already are not shuffled: Spark leaves the second dealing out."""
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
-       .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    with _by_bucket(df.sparkSession):
+        (df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path).options(**commits.ENCODING)
+           .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
     return df.sparkSession.table(name)
 
 
