@@ -574,6 +574,10 @@ def _n6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prototype.star_fact(_proto_trips(spark, sf_dir))
 
 
+_BUCKETS = 16  # at least
+_LOCATIONS = ("pickup_location_id", "dropoff_location_id")
+
+
 @_proto("proto_fact_merged", """
 SELECT t.trip_id, "VendorID", t.trip_id AS datetime_id, t.trip_id AS passenger_count_id,
        t.trip_id AS trip_distance_id, t.trip_id AS rate_code_id, store_and_fwd_flag,
@@ -583,16 +587,22 @@ FROM proto_trips t WHERE "PULocationID" IN (SELECT DISTINCT "PULocationID" FROM
   AND "RatecodeID" IS NOT NULL""")
 def _n6b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The seven joins over written dimensions, of which two have lost rows."""
-    root = _folder(spark, "prototype")
-    _proto_trips(spark, sf_dir).write.option("compression", commits.CODEC).parquet(f"{root}/trips")
-    trips = spark.read.parquet(f"{root}/trips")
+    root, buckets, name = _folder(spark, "prototype"), bucketed.width(spark, _BUCKETS), f"proto_{uuid.uuid4().hex}"
+    cleaned = prototype.clean_trips_by_key(landed_trips(spark, sf_dir).drop("file_month"), buckets)
+    trips = bucketed.write(cleaned, f"{name}_trips", f"{root}/trips", "trip_id", buckets)
     kept = {"pickup_location": prototype.location_dim(trips.where("VendorID = 1"), "PULocationID", "pickup_location_id"),
             "rate_code": prototype.rate_code_dim(trips.where("RatecodeID is not null"))}
     dims = {}
-    for name, dim in prototype.dimensions(trips).items():
-        kept.get(name, dim).write.option("compression", commits.CODEC).parquet(f"{root}/{name}")
-        dims[name] = spark.read.parquet(f"{root}/{name}")
-    return prototype.merged_fact(trips, dims)
+    for dim, rows in prototype.dimensions(trips).items():
+        rows, path = kept.get(dim, rows), f"{root}/{dim}"
+        if prototype.PROTO_DIMENSIONS[dim] in _LOCATIONS:
+            rows.write.options(**commits.ENCODING).parquet(path)
+            dims[dim] = spark.read.parquet(path)
+        else:
+            dims[dim] = bucketed.write(rows, f"{name}_{dim}", path, prototype.PROTO_DIMENSIONS[dim], buckets)
+    fact = prototype.merged_fact(trips, dims)
+    per_trip = {"trip_id", *prototype.PROTO_DIMENSIONS.values()} - set(_LOCATIONS)
+    return fact.select(*[F.lower(F.hex(c)).alias(c) if c in per_trip else c for c in fact.columns])
 
 
 @_proto("proto_datetime_dim", """
@@ -903,9 +913,6 @@ def dq_keys_in_other_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_filters.repeated_keys(mixed, state.read(spark, "raw_taxi_trips_yellow"), state.read(spark, key_filters.TABLE), month)
 
 
-_BUCKETS = 16  # at least
-
-
 @register("dq_bucketed_keys", oracle.with_models(f"""
 SELECT 'repeated' AS finding, record_hash, COUNT(*) AS rows FROM raw_trips GROUP BY record_hash HAVING COUNT(*) > 1
 UNION ALL SELECT 'known', record_hash, 1 FROM raw_trips WHERE ingestion_month = {_SECOND} AND vendor_id = 1""", replaced=oracle.LOADED))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from registry import catalog, feeds
 from stormcab.operators import normalize
+from stormcab.plans import prototype
 from stormcab.sources import bucketed
 
 RUN = "2025-02-01 06:00:00"
@@ -59,6 +60,29 @@ def test_buckets_are_as_many_as_parts_of_a_shuffle(spark):
         spark.conf.set("spark.sql.shuffle.partitions", own)
 
 
+def test_cleaned_trips_by_key_are_the_cleaned_trips(spark):
+    by_key, want = prototype.clean_trips_by_key(trips(spark), 16), prototype.clean_trips(trips(spark))
+    assert plan(by_key).count("Exchange hashpartitioning") == 1 and by_key.columns == want.columns
+    text = by_key.withColumn("trip_id", F.lower(F.hex("trip_id")))
+    assert sorted(map(repr, text.collect())) == sorted(map(repr, want.collect())) and want.count() == 3
+
+
+def test_merged_fact_joins_its_dimensions_without_a_shuffle(spark):
+    fact = catalog.QUERIES["proto_fact_merged"](spark, SMOKE)
+    own = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large dimensions; the location ids are shuffled, which are few
+        joins = plan(fact.select("*"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", own)
+    assert "hashpartitioning(trip_id" not in joins and "hashpartitioning(_" not in joins.replace("hashpartitioning(_pickup_location_id", "").replace("hashpartitioning(_dropoff_location_id", "")
+    cleaned = catalog._proto_trips(spark, SMOKE)
+    at = [r.PULocationID for r in cleaned.where("VendorID = 1").select("PULocationID").distinct().collect()]
+    want = catalog.to_output(prototype.star_fact(cleaned.where(F.col("PULocationID").isin(at) & F.col("RatecodeID").isNotNull())))
+    assert fact.columns == want.columns and fact.count() == want.count() > 1000
+    assert fact.exceptAll(want).count() == 0
+
+
 def test_bucketed_keys_are_found_for_each_month(spark):
     found = catalog.QUERIES["dq_bucketed_keys"](spark, SMOKE)
     raw = None
