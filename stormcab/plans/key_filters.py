@@ -21,13 +21,18 @@ BITS = 4
 NO_DAY = "0001-01-01"  # of trips without a pickup time
 
 
+def _day() -> Column:
+    return F.coalesce(F.col("pickup_date"), F.lit(NO_DAY).cast("date"))
+
+
 def _addressed(trips: DataFrame) -> DataFrame:
     """Day, word and bits of each key."""
     key = F.col("record_hash")
     spread = F.xxhash64(key, F.lit("bits"))
     bits = [F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.shiftright(spread, 6 * i), F.lit(64)).cast("int")) for i in range(BITS)]
-    return trips.select("ingestion_month", "record_hash", F.coalesce(F.col("pickup_date"), F.lit(NO_DAY).cast("date")).alias("day"),
-                        F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("word"), reduce(Column.bitwiseOR, bits).alias("mask"))
+    word, mask = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int"), reduce(Column.bitwiseOR, bits)
+    # never NULL, and Spark has to see it: else it asks below the join if they are, making the key anew for each time it is named
+    return trips.select("ingestion_month", "record_hash", _day().alias("day"), F.coalesce(word, F.lit(0)).alias("word"), F.coalesce(mask, F.lit(0).cast("bigint")).alias("mask"))
 
 
 def key_filter(trips: DataFrame) -> DataFrame:
@@ -38,7 +43,9 @@ def key_filter(trips: DataFrame) -> DataFrame:
 def candidates(new: DataFrame, filters: DataFrame, month: str) -> DataFrame:
     """(ingestion_month, record_hash): keys of `new` that another month may have."""
     other = filters.where(F.col("ingestion_month") != F.lit(f"{month}-01").cast("date"))
-    keys = _addressed(new).select("record_hash", "day", "word", "mask")
+    # days are few: of the trips of other days, which are nearly all of a month's, no key is made or shuffled
+    near = new.join(F.broadcast(other.select("day").distinct()), _day() == F.col("day"), "left_semi")
+    keys = _addressed(near).select("record_hash", "day", "word", "mask")
     return (keys.join(other, ["day", "word"]).where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
             .select("ingestion_month", "record_hash"))
 

@@ -100,3 +100,20 @@ def test_trips_of_several_months_land_in_one_pass(spark, scratch):
         once, each = (landed.read_trip_month(spark, f"{scratch}/{x}", month).drop("source_file") for x in ("once", "each"))
         assert once.schema == each.schema and sorted(map(repr, once.collect())) == sorted(map(repr, each.collect()))
     assert not commits.children(spark, f"{scratch}/once/taxi/yellow/year=*/month=04")
+
+
+def test_keys_are_made_of_trips_whose_day_other_months_have(spark, scratch):
+    raw = raw_tables(spark)
+    late = raw.trips.where("trip_distance = 3.5 or pickup_datetime is null").withColumn("ingestion_month", F.lit("2025-02-01").cast("date"))
+    job.load_month(spark, raw, scratch, MONTH)
+    state = commits.latest(spark, scratch)
+    staged = late.unionByName(late.withColumns({c: F.col(c) + F.expr("interval 40 days") for c in ("pickup_datetime", "pickup_date")}).where("pickup_date is not null"))
+    staged.drop("record_hash").write.parquet(f"{scratch}/staged")
+    new = normalize.with_record_hash(spark.read.parquet(f"{scratch}/staged"))
+    filters = state.read(spark, key_filters.TABLE)
+    found = key_filters.candidates(new, filters, "2025-02")
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("md5(") == 1 and "LeftSemi" in text
+    assert sorted(r.record_hash for r in found.collect()) == sorted(r.record_hash for r in late.collect())
+    again = key_filters.repeated_keys(new, state.read(spark, job.RAW_TABLES["trips"]), filters, "2025-02")
+    assert sorted(r.record_hash for r in again.collect()) == sorted(r.record_hash for r in late.collect())
