@@ -216,7 +216,7 @@ def _write_facts(spark: SparkSession, fct: DataFrame, root: str, metrics: Callab
     new: dict[str, commits.Table] = {}
 
     def written(name: str, df: DataFrame) -> DataFrame:
-        new[name] = commits.write(only(df), root, name, PICKUP_MONTH, metrics(name))
+        new[name] = commits.write(df, root, name, PICKUP_MONTH, metrics(name), only)
         return commits.Snapshot(root, tables=new).read(spark, name)
 
     trips = written("fct_taxi_trips", fct.withColumn(PICKUP_MONTH, F.trunc("pickup_date", "MM")))

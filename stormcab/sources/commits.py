@@ -19,6 +19,7 @@ from __future__ import annotations
 import contextlib
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -163,17 +164,24 @@ def latest(spark: SparkSession, root: str) -> Snapshot:
     return at(spark, root, found[-1]) if found else Snapshot(root)
 
 
-def write(df: DataFrame, root: str, name: str, partition: str | None = None, metrics: dict | None = None) -> Table:
+def counted(df: DataFrame, observed, metrics: dict, check: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """The rows to write, counted first and checked then: together with the rows themselves the check would be too long a method to be compiled."""
+    if metrics:
+        df = df.observe(observed, *[c.alias(k) for k, c in metrics.items()])
+    return check(df) if check else df
+
+
+def write(df: DataFrame, root: str, name: str, partition: str | None = None, metrics: dict | None = None,
+          check: Callable[[DataFrame], DataFrame] | None = None) -> Table:
     """Write rows as new folders of a table, seen by nobody until a commit names them.
 
     `metrics` (name -> aggregate) are counted while writing; they are the facts of the partition, of all
-    of them together ('') if there are several."""
+    of them together ('') if there are several.  `check` gives the same rows, or fails when they are run."""
     from pyspark.sql import Observation
     spark, load = df.sparkSession, uuid.uuid4().hex
     schema = df.schema.json()
     observed = Observation(f"write {name} {load}") if metrics else None
-    if observed:
-        df = df.observe(observed, *[c.alias(k) for k, c in metrics.items()])
+    df = counted(df, observed, metrics or {}, check)
     by = [partition, LOAD] if partition else [LOAD]
     path = f"{root}/{name}"
     # dynamic mode stages each job's files apart and replaces nothing, as the load is new

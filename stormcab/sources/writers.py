@@ -28,7 +28,7 @@ def month_written(before: commits.Snapshot, df: DataFrame, name: str, partition_
     """K4/K5: a table's state with one month replaced, written and not yet committed.
 
     A row of another month fails the load.  A month without rows is removed."""
-    new = commits.write(only_month(df, partition_column, month), before.root, name, partition_column, metrics)
+    new = commits.write(df, before.root, name, partition_column, metrics, lambda rows: only_month(rows, partition_column, month))
     value = f"{month}-01"
     if not new.folders and metrics:
         new.facts.clear()

@@ -3,11 +3,12 @@
 import re
 from datetime import datetime
 
+import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stormcab import schemas
-from stormcab.operators import normalize, quality
+from stormcab.operators import normalize, quality, staging
 from stormcab.plans import job, key_filters, marts
 from stormcab.plans.warehouse import RawTables, Warehouse
 from stormcab.sources import commits, landed, writers
@@ -60,6 +61,21 @@ def test_counted_trip_fact_is_compiled(spark, scratch):
     assert new.facts == {"2025-01-01": {"rows": 3, "null_trip_id": 0, "known_weather": 2, "out_of_range": 0, "month_rows": 3, "month_known": 2}}
 
 
+def test_counted_month_of_the_trip_fact_is_compiled_and_checked(spark, scratch):
+    raw = raw_tables(spark)
+    raw = job.raw_tables_of(spark, job.load_month(spark, raw, scratch, MONTH))
+    wh = Warehouse(raw)
+    _, loc, weather = job._write_dimensions(spark, wh, scratch)
+    first = F.lit("2025-01-01").cast("date")
+    here = (F.col("pickup_datetime") >= first.cast("timestamp_ntz")) & (F.col("pickup_datetime") < F.add_months(first, 1).cast("timestamp_ntz"))
+    fct = marts.fct_taxi_trips(staging.stg_taxi_trips(raw.trips.filter(here)), loc, weather).withColumn(job.PICKUP_MONTH, F.trunc("pickup_date", "MM"))
+    rows = commits.counted(fct, Observation(), quality.write_metrics("fct_taxi_trips"), lambda df: writers.only_month(df, job.PICKUP_MONTH, MONTH))
+    assert longest_method(rows) < JIT_BYTES
+    assert rows.count() == 3
+    with pytest.raises(Exception, match="a row of pickup_month 2025-01-01 in the load of 2025-02"):
+        commits.write(fct, scratch, "x", job.PICKUP_MONTH, quality.write_metrics("fct_taxi_trips"), lambda df: writers.only_month(df, job.PICKUP_MONTH, "2025-02"))
+
+
 def test_conditions_that_are_null_are_not_counted(spark):
     df = spark.createDataFrame([(1, 1.0), (None, -1.0), (2, None)], "trip_id int, fare_amount double")
     observed = Observation()
